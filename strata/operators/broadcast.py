@@ -1,0 +1,22 @@
+"""Broadcast behind a checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when it has at most this many rows (checked).
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
+
+
+def small_enough(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. Reads at most
+    ``max_rows + 1`` rows, so the check is cheap whatever the size."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is within the bound, else ``df``
+    unchanged (the join then shuffles both sides; AQE may still turn it into a
+    broadcast join at run time from measured sizes, or split skewed keys)."""
+    return F.broadcast(df) if small_enough(df, max_rows) else df
