@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strata import oracle as O  # noqa: E402
+from strata.plans import content as content_plan  # noqa: E402
 from strata.plans import orders as orders_plan  # noqa: E402
 from strata.sources import testdata as TD  # noqa: E402
 
@@ -51,6 +52,44 @@ def q_top_customers(spark, sf_dir):
     return orders_plan.top_customers(_silver_orders(spark, sf_dir), 10)
 
 
+# ----------------------------------------------------------------- content
+
+def _silver_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_plan.clean_pages(TD.raw_pages(spark, sf_dir))
+
+
+def _silver_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_plan.clean_comments(TD.raw_comments(spark, sf_dir))
+
+
+def q_silver_spaces(spark, sf_dir):
+    return content_plan.clean_spaces(TD.raw_spaces(spark, sf_dir))
+
+
+def q_silver_pages(spark, sf_dir):
+    return _silver_pages(spark, sf_dir)
+
+
+def q_silver_comments(spark, sf_dir):
+    return _silver_comments(spark, sf_dir)
+
+
+def q_content_by_space(spark, sf_dir):
+    return content_plan.content_by_space(_silver_pages(spark, sf_dir))
+
+
+def q_author_activity(spark, sf_dir):
+    return content_plan.author_activity(_silver_pages(spark, sf_dir), _silver_comments(spark, sf_dir))
+
+
+def q_content_timeline(spark, sf_dir):
+    return content_plan.content_timeline(_silver_pages(spark, sf_dir), _silver_comments(spark, sf_dir))
+
+
+def q_most_discussed(spark, sf_dir):
+    return content_plan.most_discussed(_silver_pages(spark, sf_dir), _silver_comments(spark, sf_dir))
+
+
 _MONEY = "total_amount::decimal(18,2)"
 
 ORACLE = {
@@ -85,12 +124,61 @@ ORACLE = {
         from t left join f on t.customer_id = f.customer_id and f.rn = 1"""),
 }
 
+ORACLE.update({
+    "silver_spaces": O.SILVER_SPACES,
+    "silver_pages": O.content_sql("select * from silver_pages"),
+    "silver_comments": O.content_sql("select * from silver_comments"),
+    "content_by_space": O.content_sql("""
+        select space_key, count(page_id) as page_count, coalesce(sum(word_count), 0)::bigint as total_words,
+               round_even(avg(word_count), 0)::bigint as avg_word_count,
+               coalesce(sum(content_length), 0)::bigint as total_content_length,
+               max(last_updated_date) as latest_update
+        from silver_pages where space_key is not null group by space_key"""),
+    "author_activity": O.content_sql("""
+        , p as (select created_by as author, count(page_id) as pages_created, sum(word_count) as pages_total_words
+               from silver_pages where created_by is not null group by created_by),
+        c as (select author, count(comment_id) as comments_made, sum(word_count) as comments_total_words
+              from silver_comments where author is not null group by author)
+        select coalesce(p.author, c.author) as author,
+               coalesce(pages_created, 0)::bigint as pages_created,
+               coalesce(pages_total_words, 0)::bigint as pages_total_words,
+               coalesce(comments_made, 0)::bigint as comments_made,
+               coalesce(comments_total_words, 0)::bigint as comments_total_words,
+               (coalesce(pages_created, 0) + coalesce(comments_made, 0))::bigint as total_contributions
+        from p full outer join c on p.author = c.author"""),
+    "content_timeline": O.content_sql("""
+        , p as (select cast(created_date as date) as d, count(page_id) as n from silver_pages
+               where created_date is not null group by 1),
+        c as (select cast(created_date as date) as d, count(comment_id) as n from silver_comments
+              where created_date is not null group by 1),
+        j as (select coalesce(p.d, c.d) as d, coalesce(p.n, 0)::bigint as pages_created,
+                     coalesce(c.n, 0)::bigint as comments_created
+              from p full outer join c on p.d = c.d)
+        select d as "day", pages_created, comments_created,
+               (pages_created + comments_created)::bigint as total_activity,
+               (sum(pages_created) over (order by d rows between unbounded preceding and current row))::bigint
+                 as cumulative_pages
+        from j"""),
+    "most_discussed": O.content_sql("""
+        , c as (select page_id, count(comment_id) as n from silver_comments where page_id is not null
+               group by page_id)
+        select p.page_id, p.title, p.space_key, p.word_count, coalesce(c.n, 0)::bigint as comment_count
+        from silver_pages p left join c on p.page_id = c.page_id"""),
+})
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_orders": q_silver_orders,
     "revenue_by_country": q_revenue_by_country,
     "revenue_by_category": q_revenue_by_category,
     "daily_revenue": q_daily_revenue,
     "top_customers": q_top_customers,
+    "silver_spaces": q_silver_spaces,
+    "silver_pages": q_silver_pages,
+    "silver_comments": q_silver_comments,
+    "content_by_space": q_content_by_space,
+    "author_activity": q_author_activity,
+    "content_timeline": q_content_timeline,
+    "most_discussed": q_most_discussed,
 }
 
 

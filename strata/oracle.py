@@ -119,3 +119,59 @@ def with_views(body: str, **views: str) -> str:
 def orders_sql(body: str) -> str:
     silver = f"select * from ({SILVER_ORDERS}) where status is distinct from 'cancelled'"
     return with_views(body, raw_orders=RAW_ORDERS, silver_orders=silver)
+
+
+def _day(e: str) -> str:
+    return f"(timestamp '2024-01-01 00:00:00' + to_days(cast({e} as int)))"
+
+
+RAW_PAGES = f"""
+select cast(page_id as varchar) as page_id, ' ' || split_part(url, '/', 3) as space_key,
+       regexp_extract(html, '<title>(.*?)</title>', 1) as title, 'current' as status, html as body_html,
+       1 as version_number, 'u' || (page_id % 25) as created_by, {_day('page_id % 60')} as created_date,
+       'u' || (page_id % 25) as last_updated_by, {_day('page_id % 60')} as last_updated_date
+from pages
+union all
+select cast(page_id as varchar), ' ' || split_part(url, '/', 3), regexp_extract(html, '<title>(.*?)</title>', 1),
+       'current', '<h2>Revised</h2>' || html, 2, 'u' || (page_id % 25), {_day('page_id % 60')},
+       'u' || ((page_id + 1) % 25), {_day('page_id % 60 + 1')}
+from pages where page_id % 10 = 0
+"""
+
+RAW_COMMENTS = f"""
+select cast(conv_id * 1000 + turn as varchar) as comment_id, cast(conv_id as varchar) as page_id,
+       '<p>' || text || '</p>' as body_html, ' u' || ((conv_id * 7 + turn) % 40) as author,
+       {_day('(conv_id + turn) % 60')} as created_date
+from conversations
+"""
+
+SILVER_PAGES = f"""
+select *, {word_count('body_text')} as word_count, coalesce(length(body_text), 0)::bigint as content_length
+from (select page_id, {strip('upper(space_key)')} as space_key, {strip('title')} as title,
+             {strip('lower(status)')} as status, body_html, version_number::bigint as version_number,
+             created_by, created_date, last_updated_by, last_updated_date,
+             {html_to_text('body_html')} as body_text
+      from raw_pages
+      qualify row_number() over (partition by page_id order by version_number desc,
+                                 last_updated_date desc) = 1) p
+"""
+
+SILVER_COMMENTS = f"""
+select *, {word_count('comment_text')} as word_count
+from (select comment_id, page_id, body_html, {strip('author')} as author, created_date,
+             {html_to_text('body_html')} as comment_text
+      from raw_comments
+      qualify row_number() over (partition by comment_id order by created_date desc) = 1) c
+"""
+
+SILVER_SPACES = f"""
+select host as space_id, {strip("upper(' ' || host || ' ')")} as space_key,
+       {strip('chr(9) || host')} as space_name, {strip("lower(' Global')")} as space_type,
+       {html_to_text("'<p>Pages of <b>' || host || '</b> &amp; more</p>'")} as description
+from (select distinct split_part(url, '/', 3) as host from pages) h
+"""
+
+
+def content_sql(body: str) -> str:
+    return with_views(body, raw_pages=RAW_PAGES, raw_comments=RAW_COMMENTS,
+                      silver_pages=SILVER_PAGES, silver_comments=SILVER_COMMENTS)
