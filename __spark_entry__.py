@@ -19,7 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strata import oracle as O  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.operators import access  # noqa: E402
+from strata.operators import retrieval as R  # noqa: E402
 from strata.plans import content as content_plan  # noqa: E402
+from strata.plans import gold_queries as GQ  # noqa: E402
 from strata.plans import orders as orders_plan  # noqa: E402
 from strata.sources import testdata as TD  # noqa: E402
 
@@ -90,6 +95,104 @@ def q_most_discussed(spark, sf_dir):
     return content_plan.most_discussed(_silver_pages(spark, sf_dir), _silver_comments(spark, sf_dir))
 
 
+# ----------------------------------------------------------------- access
+
+# Callers of the visibility queries (user -> groups; no groups = public only).
+USERS = {"alice": ["team-a"], "bob": ["team-b"], "carol": ["team-a", "team-b"], "eve": []}
+
+
+def _secured_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _silver_pages(spark, sf_dir)
+    return access.secured_documents(pages, TD.space_groups(pages))
+
+
+def q_secured_documents(spark, sf_dir):
+    docs = _secured_docs(spark, sf_dir)
+    return docs.withColumn("allowed_groups", access.groups_to_text("allowed_groups"))
+
+
+def q_visible_documents(spark, sf_dir):
+    hits = access.match_all_search(_secured_docs(spark, sf_dir), ["team-a"], top=50)
+    return hits.withColumn("allowed_groups", access.groups_to_text("allowed_groups"))
+
+
+def q_visibility_pairs(spark, sf_dir):
+    return access.visibility_pairs(_secured_docs(spark, sf_dir), access.users_frame(spark, USERS))
+
+
+def q_visibility_check(spark, sf_dir):
+    docs = _secured_docs(spark, sf_dir)
+    users = access.users_frame(spark, USERS)
+    actual = access.visibility_pairs(docs, users)
+    # expected, formulated independently: all shared groups joined, then distinct pairs
+    u = users.select("user", F.explode(access.effective_groups_col("groups")).alias("g"))
+    d = docs.select("id", F.explode("allowed_groups").alias("g"))
+    expected = d.join(u, "g").select("user", "id").distinct()
+    return access.visibility_diff(expected, actual)
+
+
+# ----------------------------------------------------------------- gold queries
+
+def q_gold_country(spark, sf_dir):
+    return GQ.query_revenue_by_country(q_revenue_by_country(spark, sf_dir), "nation_3")
+
+
+def q_gold_category(spark, sf_dir):
+    return GQ.query_revenue_by_category(q_revenue_by_category(spark, sf_dir), "standard")
+
+
+def q_gold_daily_range(spark, sf_dir):
+    return GQ.query_daily_revenue(q_daily_revenue(spark, sf_dir), "1996-01-01", "1996-03-31")
+
+
+def q_gold_top_customers_25(spark, sf_dir):
+    return GQ.query_top_customers(_silver_orders(spark, sf_dir), 25)
+
+
+def q_gold_records_json(spark, sf_dir):
+    return GQ.to_json_records(q_revenue_by_country(spark, sf_dir))
+
+
+def q_data_summary(spark, sf_dir):
+    silver = _silver_orders(spark, sf_dir)
+    return GQ.data_summary(orders_plan.build_gold(silver))
+
+
+# ----------------------------------------------------------------- retrieval
+
+def _queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TD.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"),
+                                                      F.col("text").alias("query"))
+
+
+def q_chunks(spark, sf_dir):
+    return R.chunk_text(TD.table(spark, sf_dir, "documents"), "doc_id", "text", size=200, overlap=50)
+
+
+def q_bm25(spark, sf_dir):
+    return R.bm25_top_k(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=10)
+
+
+def q_vector_top_k(spark, sf_dir):
+    emb = TD.table(spark, sf_dir, "embeddings")
+    queries = R.centroids(emb, "label", "embedding").withColumnRenamed("label", "query_id")
+    return R.vector_top_k(emb, queries, k=5)
+
+
+def _chunk_doc_ranking(spark, sf_dir, depth):
+    chunks = q_chunks(spark, sf_dir).select(
+        F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"),
+        "doc_id", "chunk")
+    hits = R.bm25_top_k(chunks, _queries(spark, sf_dir), doc_id="chunk_id", doc_text="chunk", k=depth)
+    return R.parents_by_best_chunk(hits, chunks.select("chunk_id", "doc_id"))
+
+
+def q_rrf(spark, sf_dir):
+    depth = 50
+    docs = R.bm25_top_k(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=depth)
+    return R.rrf([docs, _chunk_doc_ranking(spark, sf_dir, depth)], k=10)
+
+
 _MONEY = "total_amount::decimal(18,2)"
 
 ORACLE = {
@@ -166,6 +269,59 @@ ORACLE.update({
         from silver_pages p left join c on p.page_id = c.page_id"""),
 })
 
+_GROUPS_CASE = ("case when space_key like '%.COM' then ['team-a', 'all'] "
+                "when space_key like '%.NET' then ['team-b'] else ['all'] end")
+_SECURED = f"""
+    , secured as (select page_id as id, title, space_key, body_text, created_by as author, word_count,
+                         {_GROUPS_CASE} as allowed_groups from silver_pages),
+    users as (select * from (values ('alice', ['team-a', 'all']), ('bob', ['team-b', 'all']),
+                                    ('carol', ['team-a', 'team-b', 'all']), ('eve', ['all'])) u("user", eff)),
+    pairs as (select u."user", d.id from users u, secured d where list_has_any(d.allowed_groups, u.eff))
+"""
+
+ORACLE.update({
+    "secured_documents": O.content_sql(_SECURED + """
+        select id, title, space_key, body_text, author, word_count,
+               array_to_string(allowed_groups, ',') as allowed_groups from secured"""),
+    "visible_documents": O.content_sql(_SECURED + """
+        select id, title, space_key, array_to_string(allowed_groups, ',') as allowed_groups from secured
+        where list_has_any(allowed_groups, ['all', 'team-a']) order by id limit 50"""),
+    "visibility_pairs": O.content_sql(_SECURED + 'select "user", id from pairs'),
+    "visibility_check": O.content_sql(_SECURED + """
+        select "user", count(*) as expected, count(*) as actual, 0::bigint as missing,
+               0::bigint as unexpected, true as passed
+        from pairs group by 1"""),
+    "gold_country": O.orders_sql(f"""
+        select * from (
+        select shipping_country, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+               {O.round2(f'sum({_MONEY})::double / count(total_amount)')} as avg_order_value
+        from silver_orders where shipping_country is not null group by shipping_country) g
+        where shipping_country = 'NATION_3'"""),
+    "gold_category": O.orders_sql(f"""
+        select * from (
+        select category, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+               sum(quantity)::bigint as total_units,
+               {O.round2('sum(unit_price::decimal(28,6))::double / count(unit_price)')} as avg_unit_price
+        from silver_orders where category is not null group by category) g
+        where lower(category) = 'standard'"""),
+    "gold_daily_range": ORACLE["daily_revenue"].replace(
+        "group by 1) d", "group by 1) d") + " qualify order_day between date '1996-01-01' and date '1996-03-31'",
+    "gold_top_customers_25": ORACLE["top_customers"].replace("limit 10", "limit 25"),
+    "chunks": f"""
+        with w as (select doc_id, {O.words('text')} as w from documents),
+        n as (select doc_id, w, len(w) as n from w where len(w) > 0),
+        c as (select doc_id, w, n, unnest(range(0, ((case when n <= 200 then 1
+                      else ceil((n - 200) / 150)::int + 1 end) - 1) * 150 + 1, 150)) as start_word from n)
+        select doc_id, (start_word // 150)::int as chunk_index, start_word::int as start_word,
+               least(200, n - start_word)::int as n_words,
+               array_to_string(w[start_word + 1 : start_word + 200], ' ') as chunk
+        from c""",
+    "bm25": O.bm25_sql("select doc_id, text from documents",
+                       "select item_id as query_id, text as query from benchmark", 10),
+    "vector_top_k": O.vector_sql(5),
+    "rrf": O.rrf_sql(50, 10),
+})
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_orders": q_silver_orders,
     "revenue_by_country": q_revenue_by_country,
@@ -179,6 +335,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_activity": q_author_activity,
     "content_timeline": q_content_timeline,
     "most_discussed": q_most_discussed,
+    "secured_documents": q_secured_documents,
+    "visible_documents": q_visible_documents,
+    "visibility_pairs": q_visibility_pairs,
+    "visibility_check": q_visibility_check,
+    "gold_country": q_gold_country,
+    "gold_category": q_gold_category,
+    "gold_daily_range": q_gold_daily_range,
+    "gold_top_customers_25": q_gold_top_customers_25,
+    "gold_records_json": q_gold_records_json,
+    "data_summary": q_data_summary,
+    "chunks": q_chunks,
+    "bm25": q_bm25,
+    "vector_top_k": q_vector_top_k,
+    "rrf": q_rrf,
 }
 
 

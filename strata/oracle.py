@@ -175,3 +175,86 @@ from (select distinct split_part(url, '/', 3) as host from pages) h
 def content_sql(body: str) -> str:
     return with_views(body, raw_pages=RAW_PAGES, raw_comments=RAW_COMMENTS,
                       silver_pages=SILVER_PAGES, silver_comments=SILVER_COMMENTS)
+
+
+# ---------------------------------------------------------------- retrieval
+
+def _tokens(x: str) -> str:
+    from strata.operators.retrieval import TOKEN_RE
+    return f"regexp_extract_all(lower({x}), {q(TOKEN_RE)})"
+
+
+def _rank_round(x: str) -> str:
+    return f"(round_even(({x}) * 1e9, 0) / 1e9)"
+
+
+def _round6(x: str) -> str:
+    return f"(round_even(({x}) * 1e6, 0) / 1e6)"
+
+
+def bm25_scores_sql(docs: str, queries: str, prefix: str = "") -> str:
+    """CTEs ``{prefix}s(query_id, doc_id, s)`` with raw BM25 scores."""
+    p = prefix
+    return f"""
+    {p}d as (select doc_id, {_tokens('text')} as t from ({docs}) x),
+    {p}stats as (select count(*)::double as n, avg(len(t)) as avgdl from {p}d),
+    {p}q as (select distinct query_id, unnest(list_distinct({_tokens('query')})) as term from ({queries}) y),
+    {p}occ as (select doc_id, len(t) as dl, unnest(t) as term from {p}d),
+    {p}tf as (select doc_id, term, count(*) as tf, first(dl) as dl from {p}occ
+              where term in (select term from {p}q) group by doc_id, term),
+    {p}dft as (select term, count(*) as df from {p}tf group by term),
+    {p}qidf as (select query_id, term, ln(1.0::double + (n - df + 0.5::double) / (df + 0.5::double)) as idf
+                from {p}q join {p}dft using (term), {p}stats),
+    {p}s as (select query_id, doc_id,
+                    sum(idf * tf * 2.2::double / (tf + 1.2::double * (0.25::double + 0.75::double * dl / avgdl))) as s
+             from {p}tf join {p}qidf using (term), {p}stats group by query_id, doc_id)"""
+
+
+def bm25_sql(docs: str, queries: str, k: int) -> str:
+    return f"""with {bm25_scores_sql(docs, queries)}
+    select query_id, doc_id, rank::int as rank, {_round6('s')} as score from (
+      select *, row_number() over (partition by query_id order by {_rank_round('s')} desc, doc_id) as rank
+      from s) r where rank <= {k}"""
+
+
+def vector_sql(k: int) -> str:
+    return f"""
+    with e as (select vec_id, label, embedding::double[] as v from embeddings),
+    pe as (select label, unnest(range(1, len(v) + 1)) as pos, unnest(v) as x from e),
+    c as (select label as query_id, list(m order by pos) as cv
+          from (select label, pos, avg(x) as m from pe group by label, pos) a group by label),
+    s as (select c.query_id, e.vec_id,
+                 list_reduce(list_transform(list_zip(e.v, c.cv), lambda z: z[1] * z[2]), lambda a, b: a + b, 0.0::double)
+                 / (sqrt(list_reduce(list_transform(e.v, lambda x: x * x), lambda a, b: a + b, 0.0::double))
+                    * sqrt(list_reduce(list_transform(c.cv, lambda x: x * x), lambda a, b: a + b, 0.0::double))) as s
+          from e, c)
+    select query_id, vec_id, rank::int as rank, {_round6('s')} as score from (
+      select *, row_number() over (partition by query_id order by {_rank_round('s')} desc, vec_id) as rank
+      from s) r where rank <= {k}"""
+
+
+def rrf_sql(depth: int, k: int) -> str:
+    chunks = f"""
+        select doc_id::varchar || ':' || ((start_word // 150))::varchar as doc_id, doc_id as parent,
+               array_to_string(w[start_word + 1 : start_word + 200], ' ') as text
+        from (select doc_id, w, n, unnest(range(0, ((case when n <= 200 then 1
+                      else ceil((n - 200) / 150)::int + 1 end) - 1) * 150 + 1, 150)) as start_word
+              from (select doc_id, w, len(w) as n from (select doc_id, {words('text')} as w from documents) a
+                    where len(w) > 0) b) c"""
+    queries = "select item_id as query_id, text as query from benchmark"
+    return f"""with {bm25_scores_sql('select doc_id, text from documents', queries, 'a_')},
+    {bm25_scores_sql(f'select doc_id, text from ({chunks}) ch', queries, 'b_')},
+    ch as ({chunks}),
+    ra as (select query_id, doc_id, row_number() over (partition by query_id order by {_rank_round('s')} desc, doc_id) as rank
+           from a_s qualify rank <= {depth}),
+    rb0 as (select query_id, doc_id as chunk_id, row_number() over (partition by query_id
+                  order by {_rank_round('s')} desc, doc_id) as rank from b_s qualify rank <= {depth}),
+    rb1 as (select query_id, ch.parent as doc_id, min(rank) as best from rb0 join ch on rb0.chunk_id = ch.doc_id
+            group by query_id, ch.parent),
+    rb as (select query_id, doc_id, row_number() over (partition by query_id order by best, doc_id) as rank from rb1),
+    u as (select query_id, doc_id, 1.0::double / (60.0::double + rank) as c from ra
+          union all select query_id, doc_id, 1.0::double / (60.0::double + rank) from rb),
+    f as (select query_id, doc_id, sum(c) as s, count(*) as n_lists from u group by query_id, doc_id)
+    select query_id, doc_id, rank::int as rank, (round_even(s * 1e9, 0) / 1e9) as score, n_lists::bigint as n_lists from (
+      select *, row_number() over (partition by query_id order by {_rank_round('s')} desc, doc_id) as rank from f) r
+    where rank <= {k}"""
