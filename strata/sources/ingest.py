@@ -23,12 +23,18 @@ def run_timestamp() -> str:
 
 
 def stamp_lineage(df: DataFrame, source: str | None = None, ingested_at: str | None = None) -> DataFrame:
-    """A4: ``_ingested_at`` (run stamp), ``_source_file`` (file base name from
-    the scan metadata, or ``source``), ``_ingest_seq`` (position of the row in
-    its source: increases with the file offset inside one file).
+    """A4: ``_ingested_at`` (run stamp), ``_source_file`` (``source``, else an
+    existing ``_source_file`` column, else the file base name from the scan
+    metadata), ``_ingest_seq`` (position of the row in its source: increases
+    with the file offset inside one file).
     """
     ts = ingested_at or run_timestamp()
-    src = F.lit(source) if source is not None else F.col("_metadata.file_name")
+    if source is not None:
+        src = F.lit(source)
+    elif "_source_file" in df.columns:
+        src = F.col("_source_file")
+    else:
+        src = F.col("_metadata.file_name")
     return df.withColumns({
         "_ingested_at": F.lit(ts),
         "_source_file": src,

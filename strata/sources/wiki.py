@@ -30,11 +30,11 @@ PAGES_RESPONSE = _st(
     ("space_key", _S),
     ("results", T.ArrayType(_st(("id", _S), ("title", _S), ("status", _S), ("body", _BODY),
                                 ("version", _st(("number", T.IntegerType()), ("when", _S), ("by", _BY))),
-                                ("history", _st(("createdDate", _S), ("createdBy", _BY))))))))
+                                ("history", _st(("createdDate", _S), ("createdBy", _BY)))))))
 COMMENTS_RESPONSE = _st(
     ("page_id", _S),
     ("results", T.ArrayType(_st(("id", _S), ("body", _BODY),
-                                ("version", _st(("when", _S), ("by", _BY))))))))
+                                ("version", _st(("when", _S), ("by", _BY)))))))
 
 
 def _text(path: str) -> F.Column:
