@@ -184,7 +184,7 @@ def _chunk_doc_ranking(spark, sf_dir, depth):
         F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"),
         "doc_id", "chunk")
     hits = R.bm25_top_k(chunks, _queries(spark, sf_dir), doc_id="chunk_id", doc_text="chunk", k=depth)
-    return R.parents_by_best_chunk(hits, chunks.select("chunk_id", "doc_id"))
+    return R.parents_by_best_chunk(hits, F.split(F.col("doc_id"), ":")[0].cast("long"))
 
 
 def q_rrf(spark, sf_dir):

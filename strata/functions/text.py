@@ -84,14 +84,19 @@ def strip_title(c) -> Column:
     return title_case(strip(c))
 
 
-def word_count(c) -> Column:
-    """``len(x.split())``; null text counts 0 words."""
-    return F.coalesce(F.regexp_count(as_col(c), F.lit(WORD_RE)).cast("long"), F.lit(0).cast("long"))
+def words(c) -> Column:
+    """``x.split()`` as an array of strings (empty array for null).
+
+    A split at white-space runs gives an empty first/last element when the
+    text starts/ends with white space; those are dropped.
+    """
+    parts = F.split(F.coalesce(as_col(c), F.lit("")), WS_CLASS + "+", -1)
+    return F.filter(parts, lambda w: w != "")
 
 
-def words(c) -> Column:
-    """``x.split()`` as an array of strings (empty array for null)."""
-    return F.coalesce(F.regexp_extract_all(as_col(c), F.lit(WORD_RE), 0), F.array().cast("array<string>"))
+def word_count(c) -> Column:
+    """``len(x.split())``; null text counts 0 words."""
+    return F.size(words(c)).cast("long")
 
 
 def text_length(c) -> Column:

@@ -38,8 +38,14 @@ MAX_QUERY_VECTORS = 1024
 # -------------------------------------------------------------------------
 
 
+NON_TOKEN_RE = r"[^\p{L}\p{N}]+"
+
+
 def tokens(c) -> Column:
-    return F.regexp_extract_all(F.lower(c if isinstance(c, Column) else F.col(c)), F.lit(TOKEN_RE), 0)
+    """Lower-cased runs of letters/digits (split at everything else; the empty
+    pieces a split leaves at the ends are dropped)."""
+    low = F.lower(F.coalesce(c if isinstance(c, Column) else F.col(c), F.lit("")))
+    return F.filter(F.split(low, NON_TOKEN_RE, -1), lambda t: t != "")
 
 
 def top_k_per(df: DataFrame, group: str, score: str, key: str, k: int, rank_col: str = "rank") -> DataFrame:
@@ -65,16 +71,31 @@ def chunk_text(df: DataFrame, id_col: str, text_col: str, size: int = 200, overl
     n_chunks = F.when(F.col("__n") <= size, F.lit(1)).otherwise(
         F.ceil((F.col("__n") - size) / F.lit(step)).cast("int") + 1)
     starts = F.sequence(F.lit(0), (n_chunks - 1) * step, F.lit(step))
-    exploded = w.filter(F.col("__n") > 0).select(id_col, "__w", "__n", F.posexplode(starts).alias("chunk_index", "start_word"))
+    # chunk texts are built inside the row, so the word array is not copied
+    # into every exploded chunk row
+    chunks = F.transform(starts, lambda s: F.struct(
+        s.alias("start_word"), F.least(F.lit(size), F.col("__n") - s).alias("n_words"),
+        F.array_join(F.slice("__w", s + 1, size), " ").alias("chunk")))
+    chunks = F.when(F.col("__n") > 0, chunks)
+    exploded = (w.select(id_col, F.posexplode_outer(chunks).alias("chunk_index", "__c"))
+                .filter(F.col("__c").isNotNull()))
     return exploded.select(
         id_col, F.col("chunk_index").cast("int").alias("chunk_index"),
-        F.col("start_word").cast("int").alias("start_word"),
-        F.least(F.lit(size), F.col("__n") - F.col("start_word")).cast("int").alias("n_words"),
-        F.array_join(F.slice("__w", F.col("start_word") + 1, size), " ").alias("chunk"))
+        F.col("__c.start_word").cast("int").alias("start_word"),
+        F.col("__c.n_words").cast("int").alias("n_words"),
+        F.col("__c.chunk").alias("chunk"))
 
 
 # --------------------------------------------------------------------- M2
 
+def explode_nonempty(arr: Column, name: str) -> Column:
+    """``explode`` for use with :func:`drop_null`: ``explode_outer`` keeps
+    Spark from inferring a ``size(arr) > 0`` filter that would be pushed below
+    the projection and evaluate the (costly) array expression a second time;
+    the one null row of an empty array is dropped right after."""
+    return F.explode_outer(arr).alias(name)
+
+
 def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
                query_id: str = "query_id", query_text: str = "query", k: int = 10,
                k1: float = BM25_K1, b: float = BM25_B, places: int = 6) -> DataFrame:
@@ -85,32 +106,35 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
         idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * |d| / avgdl)),
     idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)).
 
-    Plan: (1) collection stats N and avgdl: one global aggregate (two numbers
-    come back); (2) query terms, distinct per query (broadcast when within the
-    checked bound); (3) document terms are exploded and immediately
-    semi-joined to the query terms, so only matching terms travel; document
-    frequency and term frequency are counted with map-side partial
-    aggregation; (4) per-term contributions are summed per (query, document);
-    (5) ``row_number() <= k`` per query with the per-task pre-limit.
+    One lazy plan: (1) N and avgdl are scalar subqueries (one global
+    aggregate each, run by Spark before the scoring stage); (2) query terms,
+    distinct per query, broadcast when within the checked bound; (3) the
+    document rows are hash-partitioned by ``doc_id`` once, so the exploded
+    tokens of a document stay in its task: term frequencies, the broadcast
+    join to the query terms, the per-(query, document) sums and the per-task
+    top-``k`` pre-limit all run in that one stage, without shuffling the
+    (query, document) pairs; (4) only ``k`` rows per query and task cross the
+    final exchange. Document frequencies are a partial aggregate per term.
+    Documents stored bucketed by ``doc_id`` would skip the one exchange.
     Visibility filters (C5) belong on ``docs`` before the call.
     """
-    spark = docs.sparkSession
-    dtoks = docs.select(F.col(doc_id).alias("doc_id"), tokens(doc_text).alias("__t")) \
-                .withColumn("__dl", F.size("__t"))
-    stats = dtoks.agg(F.count(F.lit(1)).alias("n"), F.avg("__dl").alias("avgdl")).first()
-    n_docs, avgdl = int(stats["n"] or 0), float(stats["avgdl"] or 0.0)
+    by_doc = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("__text")).repartition("doc_id")
+    dtoks = (by_doc.select("doc_id", tokens("__text").alias("__t"))
+             .withColumn("__dl", F.size("__t")))
+    n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
+    avgdl = dtoks.agg(F.avg("__dl")).scalar()
     qterms = (queries.select(F.col(query_id).alias("query_id"),
-                             F.explode(F.array_distinct(tokens(query_text))).alias("term")).distinct())
-    if n_docs == 0:
-        return spark.createDataFrame([], "query_id long, doc_id long, rank int, score double")
+                             explode_nonempty(F.array_distinct(tokens(query_text)), "term"))
+              .filter(F.col("term").isNotNull()).distinct())
     vocab = maybe_broadcast(qterms.select("term").distinct())
-    occ = (dtoks.select("doc_id", "__dl", F.explode("__t").alias("term"))
+    occ = (dtoks.select("doc_id", "__dl", explode_nonempty("__t", "term"))
+           .filter(F.col("term").isNotNull())
            .join(vocab, "term", "left_semi"))
     tf = occ.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("__dl").alias("dl"))
     df_t = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log(F.lit(1.0) + (F.lit(float(n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     qidf = qterms.join(df_t, "term").select("query_id", "term", idf.alias("idf"))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl > 0 else 1.0))
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     contrib = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     scores = (tf.join(maybe_broadcast(qidf), "term")
               .groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("__s"))
@@ -120,14 +144,13 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
                       round_half_even("__s", places).alias("score"))
 
 
-def parents_by_best_chunk(chunk_hits: DataFrame, chunk_parent: DataFrame, chunk_id: str = "chunk_id",
-                          parent: str = "doc_id") -> DataFrame:
+def parents_by_best_chunk(chunk_hits: DataFrame, parent_of: Column, parent: str = "doc_id") -> DataFrame:
     """Chunk-level hits (``query_id``, ``doc_id`` = chunk id, ``rank``) ->
     document ranking by the best rank of any of its chunks (ties -> smaller
-    document id). ``chunk_parent`` maps chunk ids to document ids."""
-    cp = chunk_parent.select(F.col(chunk_id).alias("__chunk"), F.col(parent).alias("__parent"))
-    hits = chunk_hits.select("query_id", F.col("doc_id").alias("__chunk"), F.col("rank").alias("__r"))
-    best = hits.join(cp, "__chunk").groupBy("query_id", "__parent").agg(F.min("__r").alias("__best"))
+    document id). ``parent_of`` derives the document id from ``doc_id`` (the
+    chunk id), so no join back to the chunk table is needed."""
+    best = (chunk_hits.select("query_id", parent_of.alias("__parent"), F.col("rank").alias("__r"))
+            .groupBy("query_id", "__parent").agg(F.min("__r").alias("__best")))
     w = Window.partitionBy("query_id").orderBy(F.col("__best"), F.col("__parent"))
     return best.select("query_id", F.col("__parent").alias(parent), F.row_number().over(w).alias("rank"))
 
