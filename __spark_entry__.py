@@ -26,6 +26,7 @@ from strata.operators import retrieval as R  # noqa: E402
 from strata.plans import content as content_plan  # noqa: E402
 from strata.plans import gold_queries as GQ  # noqa: E402
 from strata.plans import orders as orders_plan  # noqa: E402
+from strata.session import materialize  # noqa: E402
 from strata.sources import testdata as TD  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -154,7 +155,9 @@ def q_gold_records_json(spark, sf_dir):
 
 
 def q_data_summary(spark, sf_dir):
-    silver = _silver_orders(spark, sf_dir)
+    # gold tables are summarised from one stored silver (a Parquet table in the
+    # shared folder of spark.checkpoint.dir), as the pipeline reads it back
+    silver = materialize(_silver_orders(spark, sf_dir), "silver_orders")
     return GQ.data_summary(orders_plan.build_gold(silver))
 
 
