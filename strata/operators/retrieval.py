@@ -133,11 +133,14 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
     tf = occ.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("__dl").alias("dl"))
     df_t = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    qidf = qterms.join(df_t, "term").select("query_id", "term", idf.alias("idf"))
+    idf_t = df_t.select("term", idf.alias("idf"))
+    # the weight of a term in a document does not depend on the query: it is
+    # computed once per (document, term) before fanning out to the queries
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
-    contrib = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scores = (tf.join(maybe_broadcast(qidf), "term")
-              .groupBy("query_id", "doc_id").agg(F.sum(contrib).alias("__s"))
+    weight = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
+    weights = tf.join(maybe_broadcast(idf_t), "term").select("doc_id", "term", weight.alias("w"))
+    scores = (weights.join(maybe_broadcast(qterms), "term")
+              .groupBy("query_id", "doc_id").agg(F.sum("w").alias("__s"))
               .withColumn("__rs", round_half_even("__s", RANK_PLACES)))
     top = top_k_per(scores, "query_id", "__rs", "doc_id", k)
     return top.select("query_id", "doc_id", F.col("rank").cast("int").alias("rank"),
