@@ -126,7 +126,12 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
     qterms = (queries.select(F.col(query_id).alias("query_id"),
                              explode_nonempty(F.array_distinct(tokens(query_text)), "term"))
               .filter(F.col("term").isNotNull()).distinct())
-    vocab = maybe_broadcast(qterms.select("term").distinct())
+    # Size checks look at the query side only: the vocabulary bounds the rows
+    # of every per-term table below, so no check needs a pass over documents.
+    vocab = qterms.select("term").distinct()
+    small_vocab = small_enough(vocab)
+    if small_vocab:
+        vocab = F.broadcast(vocab)
     occ = (dtoks.select("doc_id", "__dl", explode_nonempty("__t", "term"))
            .filter(F.col("term").isNotNull())
            .join(vocab, "term", "left_semi"))
@@ -138,7 +143,8 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
     # computed once per (document, term) before fanning out to the queries
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     weight = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    weights = tf.join(maybe_broadcast(idf_t), "term").select("doc_id", "term", weight.alias("w"))
+    weights = (tf.join(F.broadcast(idf_t) if small_vocab else idf_t, "term")
+               .select("doc_id", "term", weight.alias("w")))
     scores = (weights.join(maybe_broadcast(qterms), "term")
               .groupBy("query_id", "doc_id").agg(F.sum("w").alias("__s"))
               .withColumn("__rs", round_half_even("__s", RANK_PLACES)))
