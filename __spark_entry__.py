@@ -328,8 +328,8 @@ ORACLE.update({
                {O.round2('sum(unit_price::decimal(28,6))::double / count(unit_price)')} as avg_unit_price
         from silver_orders where category is not null group by category) g
         where lower(category) = 'standard'"""),
-    "gold_daily_range": ORACLE["daily_revenue"].replace(
-        "group by 1) d", "group by 1) d") + " qualify order_day between date '1996-01-01' and date '1996-03-31'",
+    "gold_daily_range": ("select * from (" + ORACLE["daily_revenue"] + ") g "
+                         "where order_day between date '1996-01-01' and date '1996-03-31'"),
     "gold_top_customers_25": ORACLE["top_customers"].replace("limit 10", "limit 25"),
     "chunks": f"""
         with w as (select doc_id, {O.words('text')} as w from documents),
