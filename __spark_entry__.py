@@ -26,7 +26,7 @@ from strata.operators import retrieval as R  # noqa: E402
 from strata.plans import content as content_plan  # noqa: E402
 from strata.plans import gold_queries as GQ  # noqa: E402
 from strata.plans import orders as orders_plan  # noqa: E402
-from strata.session import checkpoint_root, materialize  # noqa: E402
+from strata.session import checkpoint_root, configure, materialize  # noqa: E402
 from strata.sources.lake import Lake  # noqa: E402
 from strata.streaming import incremental  # noqa: E402
 from strata.sources import testdata as TD  # noqa: E402
@@ -380,11 +380,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: revenue by country over the cleaned order lines of sf0.001."""
-    return q_revenue_by_country(spark, SMOKE_DIR)
+    return q_revenue_by_country(configure(spark), SMOKE_DIR)
+
+
+def _configured(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(configure(spark), sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {name: _configured(fn) for name, fn in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

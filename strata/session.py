@@ -41,8 +41,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    return configure(spark)
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the library's session settings to an existing session
+    (idempotent): results depend on the session time zone being UTC."""
     for key, value in SESSION_DEFAULTS.items():
-        spark.conf.set(key, value)
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     checkpoint_root(spark)
     return spark
 
