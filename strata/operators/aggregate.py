@@ -14,6 +14,16 @@ def exact_sum_double(c, scale: int = 6) -> Column:
     return F.sum(as_col(c).cast(f"decimal(28,{scale})")).cast("double")
 
 
+def distinct_count(c, approx: bool = False, rsd: float = 0.05) -> Column:
+    """number of distinct non-null values (``nunique``). ``approx=True``
+    uses HyperLogLog++ (``approx_count_distinct``, relative standard deviation
+    ``rsd``): fixed-size buffers and no extra shuffle for very large groups.
+    On a table that holds one row per key, a plain ``count`` is exact and
+    cheapest; the gold builders use that on silver."""
+    c = as_col(c)
+    return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
+
+
 def mode_by_group(df: DataFrame, key: str, value: str, out: str | None = None) -> DataFrame:
     """most frequent non-null ``value`` per ``key``; ties go to the smallest
     value. Keys whose values are all null are absent (callers left-join and
@@ -31,4 +41,4 @@ def mode_by_group(df: DataFrame, key: str, value: str, out: str | None = None) -
             .select(key, F.col(value).alias(out)))
 
 
-__all__ = ["exact_sum_double", "mode_by_group"]
+__all__ = ["distinct_count", "exact_sum_double", "mode_by_group"]

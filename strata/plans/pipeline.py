@@ -31,9 +31,12 @@ def run_orders_etl(lake: Lake, source_csv: str, top_n: int = 10,
     stored = lake.read_parquet("silver", "orders")
     gold = {}
     for name, df in orders_plan.build_gold(stored, top_n).items():
-        lake.write_parquet(df.withColumn("_aggregated_at", _stamp(ingested_at)), "gold", name)
+        out = metrics.tap(df.withColumn("_aggregated_at", _stamp(ingested_at)), f"gold_{name}")
+        lake.write_parquet(out, "gold", name)
         gold[name] = lake.read_parquet("gold", name)
-    return {"gold": gold, "metrics": orders_plan.order_step_counts(metrics)}
+    counts = orders_plan.order_step_counts(metrics)
+    counts["groups_out"] = {n: v["rows"] for n, v in metrics.values().items() if n.startswith("gold_")}
+    return {"gold": gold, "metrics": counts}
 
 
 def run_content_etl(lake: Lake, spaces: DataFrame | None, pages: DataFrame | None,

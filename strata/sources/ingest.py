@@ -81,12 +81,16 @@ def ingest_dataframe(lake: Lake, df: DataFrame, table: str, source_label: str =
 def ingest_all(lake: Lake, tables: dict[str, DataFrame | None], source_label: str = "api",
                ingested_at: str | None = None) -> dict[str, int]:
     """Land several tables; absent or empty ones are skipped (not
-    written). Returns rows written per table; the counts come from the
-    written tables' Parquet footers, not from a second pass over the input."""
-    counts: dict[str, int] = {}
+    written). Returns rows written per table, counted by the write job itself
+    (``observe``), not by a second pass."""
+    from strata.plans.metrics import StepMetrics
+    metrics = StepMetrics()
+    written = []
     for name, df in tables.items():
         if df is None or df.isEmpty():
             continue
-        stored = ingest_dataframe(lake, df, name, source_label, ingested_at)
-        counts[name] = stored.count()
-    return counts
+        stamped = metrics.tap(stamp_lineage(df, source_label, ingested_at), name)
+        lake.write_parquet(stamped, "bronze", name)
+        written.append(name)
+    values = metrics.values()
+    return {name: values[name]["rows"] for name in written}

@@ -38,7 +38,11 @@ def test_table_management(spark, scratch):
 def test_run_orders_etl(spark, scratch):
     lake = Lake(spark, scratch)
     out = pipeline.run_orders_etl(lake, SAMPLE_ORDERS_CSV, ingested_at="2024-02-01T00:00:00+00:00")
-    assert out["metrics"] == {"rows_in": 30, "duplicates_removed": 0, "cancelled_removed": 1, "rows_out": 29}
+    m = out["metrics"]
+    assert {k: m[k] for k in ("rows_in", "duplicates_removed", "cancelled_removed", "rows_out")} == \
+        {"rows_in": 30, "duplicates_removed": 0, "cancelled_removed": 1, "rows_out": 29}
+    assert m["groups_out"] == {"gold_revenue_by_country": 8, "gold_revenue_by_category": 2,
+                               "gold_daily_revenue": 15, "gold_top_customers": 10}
     assert set(lake.list_tables("gold")) == {"revenue_by_country", "revenue_by_category", "daily_revenue", "top_customers"}
     top = out["gold"]["top_customers"].orderBy(F.col("total_spend").desc()).first()
     assert (top["customer_id"], top["total_spend"]) == ("C-101", 1429.97)

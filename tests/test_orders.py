@@ -132,3 +132,10 @@ def test_cumulative_equals_total(spark):
     for r in daily:
         running += round(r["daily_revenue"] * 100)
         assert round(r["cumulative_revenue"] * 100) == running
+
+
+def test_distinct_count_options(spark):
+    from strata.operators.aggregate import distinct_count
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("a", None)], "k string, v int")
+    row = df.groupBy("k").agg(distinct_count("v").alias("e"), distinct_count("v", approx=True).alias("a")).first()
+    assert (row["e"], row["a"]) == (2, 2)
