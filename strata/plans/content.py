@@ -160,9 +160,9 @@ def build_gold(pages: DataFrame | None, comments: DataFrame | None,
     comments_in = comments if comments is not None else empty(spark, SILVER_COMMENTS_SCHEMA)
     out: dict[str, DataFrame] = {}
     if pages is not None:
-        out["confluence_content_by_space"] = content_by_space(pages)
-        out["confluence_author_activity"] = author_activity(pages, comments_in)
-        out["confluence_most_discussed"] = most_discussed(pages, comments_in)
+        out["wiki_content_by_space"] = content_by_space(pages)
+        out["wiki_author_activity"] = author_activity(pages, comments_in)
+        out["wiki_most_discussed"] = most_discussed(pages, comments_in)
     pages_in = pages if pages is not None else empty(spark, SILVER_PAGES_SCHEMA)
-    out["confluence_content_timeline"] = content_timeline(pages_in, comments_in)
+    out["wiki_content_timeline"] = content_timeline(pages_in, comments_in)
     return out

@@ -43,11 +43,11 @@ def run_content_etl(lake: Lake, spaces: DataFrame | None, pages: DataFrame | Non
                     comments: DataFrame | None, ingested_at: str | None = None) -> dict[str, DataFrame]:
     """L2: flattened API tables -> bronze -> silver (Parquet + CSV) -> gold
     (Parquet + CSV). Empty or absent inputs are skipped at every layer."""
-    landed = ingest.ingest_all(lake, {"confluence_spaces": spaces, "confluence_pages": pages,
-                                      "confluence_comments": comments}, ingested_at=ingested_at)
-    cleaners = {"confluence_spaces": content_plan.clean_spaces,
-                "confluence_pages": content_plan.clean_pages,
-                "confluence_comments": content_plan.clean_comments}
+    landed = ingest.ingest_all(lake, {"wiki_spaces": spaces, "wiki_pages": pages,
+                                      "wiki_comments": comments}, ingested_at=ingested_at)
+    cleaners = {"wiki_spaces": content_plan.clean_spaces,
+                "wiki_pages": content_plan.clean_pages,
+                "wiki_comments": content_plan.clean_comments}
     silver: dict[str, DataFrame] = {}
     for name, clean in cleaners.items():
         if name not in landed:
@@ -56,7 +56,7 @@ def run_content_etl(lake: Lake, spaces: DataFrame | None, pages: DataFrame | Non
         lake.write_parquet(out, "silver", name)
         silver[name] = lake.read_parquet("silver", name)
         lake.write_csv(silver[name], "silver", name)
-    gold = content_plan.build_gold(silver.get("confluence_pages"), silver.get("confluence_comments"),
+    gold = content_plan.build_gold(silver.get("wiki_pages"), silver.get("wiki_comments"),
                                    spark=lake.spark)
     result = {}
     for name, df in gold.items():

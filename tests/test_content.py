@@ -81,13 +81,13 @@ def test_absent_inputs(spark, scratch):
     s, p, c = bronze(spark, scratch)
     pages, comments = P.clean_pages(p), P.clean_comments(c)
     only_pages = P.build_gold(pages, None)
-    assert set(only_pages) == {"confluence_content_by_space", "confluence_author_activity",
-                               "confluence_most_discussed", "confluence_content_timeline"}
-    assert {r["comment_count"] for r in only_pages["confluence_most_discussed"].collect()} == {0}
-    assert {r["comments_made"] for r in only_pages["confluence_author_activity"].collect()} == {0}
+    assert set(only_pages) == {"wiki_content_by_space", "wiki_author_activity",
+                               "wiki_most_discussed", "wiki_content_timeline"}
+    assert {r["comment_count"] for r in only_pages["wiki_most_discussed"].collect()} == {0}
+    assert {r["comments_made"] for r in only_pages["wiki_author_activity"].collect()} == {0}
     only_comments = P.build_gold(None, comments)
-    assert set(only_comments) == {"confluence_content_timeline"}
-    assert {r["cumulative_pages"] for r in only_comments["confluence_content_timeline"].collect()} == {0}
+    assert set(only_comments) == {"wiki_content_timeline"}
+    assert {r["cumulative_pages"] for r in only_comments["wiki_content_timeline"].collect()} == {0}
     assert P.build_gold(None, None) == {}
 
 

@@ -56,10 +56,10 @@ def test_run_content_etl(spark, scratch):
     s, p, c = bronze(spark, scratch)
     lake = Lake(spark, f"{scratch}/lake")
     gold = pipeline.run_content_etl(lake, s, p, c.limit(0), ingested_at="t")
-    assert "confluence_comments" not in lake.list_tables("bronze")   # empty input skipped
-    assert set(gold) == {"confluence_content_by_space", "confluence_author_activity",
-                         "confluence_most_discussed", "confluence_content_timeline"}
-    assert os.path.isdir(lake.path("gold", "confluence_most_discussed", "csv"))
+    assert "wiki_comments" not in lake.list_tables("bronze")   # empty input skipped
+    assert set(gold) == {"wiki_content_by_space", "wiki_author_activity",
+                         "wiki_most_discussed", "wiki_content_timeline"}
+    assert os.path.isdir(lake.path("gold", "wiki_most_discussed", "csv"))
 
 
 def write_csv(path, rows):
