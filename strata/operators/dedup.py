@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.functions.common import as_col
 
@@ -24,7 +25,13 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | st
     before the shuffle, so every map task sends at most one row per key; a key
     that holds a large share of the rows does not flood one reducer.
     """
-    w = Window.partitionBy(*keys).orderBy(*[as_col(c).desc_nulls_last() for c in order_by])
+    order = list(order_by)
+    if not order:
+        # no lineage to go by: the greatest whole row wins (deterministic)
+        sortable = [f.name for f in df.schema.fields
+                    if f.name not in keys and not isinstance(f.dataType, T.MapType)]
+        order = [F.col(c) for c in sortable]
+    w = Window.partitionBy(*keys).orderBy(*[as_col(c).desc_nulls_last() for c in order])
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 

@@ -24,7 +24,7 @@ SILVER_COMMENTS_SCHEMA = (
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
-    """A0: an absent table is an empty frame with the declared schema."""
+    """An absent table is an empty frame with the declared schema."""
     return spark.createDataFrame([], schema)
 
 

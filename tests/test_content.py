@@ -97,3 +97,18 @@ def test_content_by_space_rounding(spark):
         .withColumn("content_length", F.col("word_count") * 2)
     got = {r["space_key"]: (r["page_count"], r["avg_word_count"]) for r in P.content_by_space(df).collect()}
     assert got == {"A": (2, 10), "B": (1, 5)}   # mean 10.5 rounds half to even
+
+
+def test_comment_page_keys(spark):
+    """Comments with no page id or an unknown one count for no page."""
+    pages = spark.createDataFrame([("1", "t", "S", 3)], "page_id string, title string, space_key string, word_count long")
+    comments = spark.createDataFrame([("c1", "1"), ("c2", None), ("c3", "None"), ("c4", "2")],
+                                     "comment_id string, page_id string")
+    assert [(r["page_id"], r["comment_count"]) for r in P.most_discussed(pages, comments).collect()] == [("1", 1)]
+
+
+def test_keep_last_without_lineage(spark):
+    from strata.operators.dedup import keep_last
+    df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("j", 5, "z")], "key string, n int, s string")
+    got = sorted(tuple(r) for r in keep_last(df, ["key"], []).collect())
+    assert got == [("j", 5, "z"), ("k", 2, "b")]
