@@ -124,8 +124,9 @@ USERS = {"alice": ["team-a"], "bob": ["team-b"], "carol": ["team-a", "team-b"],
 
 
 def _secured_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _silver_pages(spark, sf_dir)
-    return access.secured_documents(pages, TD.space_groups(pages))
+    # the space -> groups map comes from the spaces table (one row per space)
+    spaces = content_plan.clean_spaces(TD.raw_spaces(spark, sf_dir))
+    return access.secured_documents(_silver_pages(spark, sf_dir), TD.space_groups(spaces))
 
 
 def q_secured_documents(spark, sf_dir):
