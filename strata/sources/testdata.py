@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.broadcast import maybe_broadcast
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -60,8 +59,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     joined = (li.join(o, li.l_orderkey == o.o_orderkey)
               .join(c, F.col("o_custkey") == c.c_custkey)
-              # nation: 25 rows by definition of the schema; still size-checked.
-              .join(maybe_broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+              # nation has 25 rows by definition of the schema: a proven bound
+              .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
               .join(p, F.col("l_partkey") == p.p_partkey))
     text = lambda c: F.col(c).cast("string")
     return joined.select(

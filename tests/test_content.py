@@ -112,3 +112,14 @@ def test_keep_last_without_lineage(spark):
     df = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("j", 5, "z")], "key string, n int, s string")
     got = sorted(tuple(r) for r in keep_last(df, ["key"], []).collect())
     assert got == [("j", 5, "z"), ("k", 2, "b")]
+
+
+def test_author_totals_equal_input_totals(spark):
+    """E1 property: the outer join loses no page and no comment."""
+    from strata.sources import testdata as TD
+    pages = P.clean_pages(TD.raw_pages(spark, "/root/testdata/sf0.001"))
+    comments = P.clean_comments(TD.raw_comments(spark, "/root/testdata/sf0.001"))
+    aa = P.author_activity(pages, comments).agg(F.sum("pages_created"), F.sum("comments_made"),
+                                                 F.sum("pages_total_words")).first()
+    assert aa[0] == pages.count() and aa[1] == comments.count()
+    assert aa[2] == pages.agg(F.sum("word_count")).first()[0]

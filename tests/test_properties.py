@@ -46,3 +46,24 @@ def test_word_count_and_words(spark, values):
 def test_html_of_plain_text_is_stripped_text(spark, values):
     plain = [v.replace("<", " ").replace("&", " ") for v in values]
     assert run(spark, plain, T.html_to_text) == [v.strip() for v in plain]
+
+
+ROWS = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5), st.integers(-3, 3)),
+                min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(ROWS)
+def test_keep_last_matches_pandas(spark, rows):
+    """D1 against pandas ``drop_duplicates(keep="last")`` after sorting by
+    the explicit order (null keys form one group)."""
+    import pandas as pd
+
+    from strata.operators.dedup import keep_last
+    seq = [(k, s, v, i) for i, (k, s, v) in enumerate(rows)]
+    df = spark.createDataFrame(seq, "k string, s int, v int, i int")
+    got = sorted((r["k"] or "", r["i"]) for r in keep_last(df, ["k"], ["s", "i"]).collect())
+    pdf = pd.DataFrame(seq, columns=["k", "s", "v", "i"]).sort_values(["s", "i"])
+    want = sorted((k or "", i) for k, i in pdf.drop_duplicates(subset=["k"], keep="last")[["k", "i"]].itertuples(
+        index=False, name=None))
+    assert got == want
