@@ -89,10 +89,10 @@ def chunk_text(df: DataFrame, id_col: str, text_col: str, size: int = 200, overl
 # --------------------------------------------------------------------- M2
 
 def explode_nonempty(arr: Column, name: str) -> Column:
-    """``explode`` for use with :func:`drop_null`: ``explode_outer`` keeps
-    Spark from inferring a ``size(arr) > 0`` filter that would be pushed below
-    the projection and evaluate the (costly) array expression a second time;
-    the one null row of an empty array is dropped right after."""
+    """``explode`` without Spark's inferred ``size(arr) > 0`` filter: that
+    filter would be pushed below the projection and evaluate the (costly) array
+    expression a second time per row. ``explode_outer`` yields one null row for
+    an empty array; callers drop it with ``filter(isNotNull)`` right after."""
     return F.explode_outer(arr).alias(name)
 
 

@@ -65,7 +65,7 @@ def revenue_by_country(silver: DataFrame) -> DataFrame:
     """per country total revenue, distinct orders, mean order value."""
     return (silver.filter(F.col("shipping_country").isNotNull())
             .groupBy("shipping_country")
-            .agg(F.sum(C.to_cents("total_amount")).alias("_cents"),
+            .agg(C.sum_cents("total_amount").alias("_cents"),
                  # silver holds one row per order_id, so distinct = non-null count
                  F.count("order_id").alias("order_count"),
                  F.count("total_amount").alias("_n"))
@@ -80,7 +80,7 @@ def revenue_by_category(silver: DataFrame) -> DataFrame:
     """per category revenue, distinct orders, units, mean unit price."""
     return (silver.filter(F.col("category").isNotNull())
             .groupBy("category")
-            .agg(F.sum(C.to_cents("total_amount")).alias("_cents"),
+            .agg(C.sum_cents("total_amount").alias("_cents"),
                  F.count("order_id").alias("order_count"),
                  F.sum("quantity").alias("total_units"),
                  exact_sum_double("unit_price").alias("_price_sum"),
@@ -99,7 +99,7 @@ def daily_revenue(silver: DataFrame) -> DataFrame:
     daily = (silver.withColumn("order_day", F.to_date("order_date"))
              .filter(F.col("order_day").isNotNull())
              .groupBy("order_day")
-             .agg(F.sum(C.to_cents("total_amount")).alias("_cents"),
+             .agg(C.sum_cents("total_amount").alias("_cents"),
                   F.count("order_id").alias("order_count")))
     with_total = running_total(daily, "order_day", "_cents", "_cum_cents")
     return (with_total.select(
@@ -127,7 +127,7 @@ def top_customers(silver: DataFrame, top_n: int = 10) -> DataFrame:
         raise ValueError(f"top_n must be in 1..{MAX_TOP_N}")
     totals = (silver.filter(F.col("customer_id").isNotNull())
               .groupBy("customer_id")
-              .agg(F.sum(C.to_cents("total_amount")).alias("_cents"),
+              .agg(C.sum_cents("total_amount").alias("_cents"),
                    F.count("order_id").alias("order_count"),
                    F.min("order_date").alias("first_order"),
                    F.max("order_date").alias("last_order"),

@@ -139,3 +139,13 @@ def test_distinct_count_options(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("a", None)], "k string, v int")
     row = df.groupBy("k").agg(distinct_count("v").alias("e"), distinct_count("v", approx=True).alias("a")).first()
     assert (row["e"], row["a"]) == (2, 2)
+
+
+def test_money_sums_beyond_long_range(spark):
+    """Three lines of 5e16 each are 1.5e19 cents: past the range of a long."""
+    rows = [(f"O{i}", "C1", "p", "a", "1", "50000000000000000", "2024-01-01", "x", "us", "m", "completed", 1)
+            for i in range(3)]
+    silver = P.clean_orders(rows_frame(spark, rows), order_by=["_seq"])
+    got = P.revenue_by_country(silver).first()
+    assert got["total_revenue"] == 1.5e17 and got["order_count"] == 3
+    assert P.daily_revenue(silver).first()["cumulative_revenue"] == 1.5e17
