@@ -59,8 +59,9 @@ def round_to_long(c) -> Column:
 
 
 def to_cents(c) -> Column:
-    """Money (double) -> exact whole cents as a long (one row's amount)."""
-    return F.rint(as_col(c) * F.lit(100.0)).cast("long")
+    """Money (double) -> exact whole cents as ``decimal(38,0)``. Amounts that
+    do not fit (or are not finite) give null instead of failing the job."""
+    return F.rint(as_col(c) * F.lit(100.0)).try_cast("decimal(38,0)")
 
 
 def sum_cents(c) -> Column:
@@ -71,7 +72,7 @@ def sum_cents(c) -> Column:
     order line, a few 1e11 lines in one group pass 9.2e18). Turn it back into
     money with :func:`cents_to_money`.
     """
-    return F.sum(to_cents(c).cast("decimal(38,0)"))
+    return F.sum(to_cents(c))
 
 
 def cents_to_money(c) -> Column:
