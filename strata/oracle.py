@@ -133,9 +133,9 @@ select cast(page_id as varchar) as page_id, ' ' || split_part(url, '/', 3) as sp
 from pages
 union all
 select cast(page_id as varchar), ' ' || split_part(url, '/', 3), regexp_extract(html, '<title>(.*?)</title>', 1),
-       'current', '<h2>Revised</h2>' || html, 2, 'u' || (page_id % 25), {_day('page_id % 60')},
-       'u' || ((page_id + 1) % 25), {_day('page_id % 60 + 1')}
-from pages where page_id % 10 = 0
+       'current', '<h2>Revised</h2>' || html, cast(page_id % 3 as int), 'u' || (page_id % 25),
+       {_day('page_id % 60')}, 'u' || ((page_id + 1) % 25), {_day('page_id % 60 + 1')}
+from pages
 """
 
 RAW_COMMENTS = f"""

@@ -91,34 +91,31 @@ def _day(e) -> F.Column:
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wiki pages: every page as version 1, every tenth page also as a
-    revised version 2 (so keep-last has work)."""
+    """Wiki pages, each delivered twice: the original (version 1) and a
+    revision (another body, updated a day later) whose version number is
+    ``page_id % 3``. Keep-last therefore keeps the original where the revision
+    has version 0, and the revision otherwise (higher version, or the same
+    version and a later update)."""
     pg = table(spark, sf_dir, "pages")
-    base = pg.select(
-        F.col("page_id").cast("string").alias("page_id"),
-        F.concat(F.lit(" "), F.split_part(F.col("url"), F.lit("/"), F.lit(3))).alias("space_key"),
-        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
-        F.lit("current").alias("status"),
-        F.col("html").alias("body_html"),
-        F.lit(1).alias("version_number"),
-        F.concat(F.lit("u"), (F.col("page_id") % 25).cast("string")).alias("created_by"),
-        _day(F.col("page_id") % 60).alias("created_date"),
-        F.concat(F.lit("u"), (F.col("page_id") % 25).cast("string")).alias("last_updated_by"),
-        _day(F.col("page_id") % 60).alias("last_updated_date"),
-    )
-    revised = (pg.filter(F.col("page_id") % 10 == 0).select(
-        F.col("page_id").cast("string").alias("page_id"),
-        F.concat(F.lit(" "), F.split_part(F.col("url"), F.lit("/"), F.lit(3))).alias("space_key"),
-        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
-        F.lit("current").alias("status"),
-        F.concat(F.lit("<h2>Revised</h2>"), F.col("html")).alias("body_html"),
-        F.lit(2).alias("version_number"),
-        F.concat(F.lit("u"), (F.col("page_id") % 25).cast("string")).alias("created_by"),
-        _day(F.col("page_id") % 60).alias("created_date"),
-        F.concat(F.lit("u"), ((F.col("page_id") + 1) % 25).cast("string")).alias("last_updated_by"),
-        _day(F.col("page_id") % 60 + 1).alias("last_updated_date"),
-    ))
-    return base.unionByName(revised)
+
+    def copy(body, version, updated_by, updated_day):
+        return pg.select(
+            F.col("page_id").cast("string").alias("page_id"),
+            F.concat(F.lit(" "), F.split_part(F.col("url"), F.lit("/"), F.lit(3))).alias("space_key"),
+            F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
+            F.lit("current").alias("status"),
+            body.alias("body_html"),
+            version.cast("int").alias("version_number"),
+            F.concat(F.lit("u"), (F.col("page_id") % 25).cast("string")).alias("created_by"),
+            _day(F.col("page_id") % 60).alias("created_date"),
+            F.concat(F.lit("u"), (updated_by % 25).cast("string")).alias("last_updated_by"),
+            _day(updated_day).alias("last_updated_date"),
+        )
+
+    original = copy(F.col("html"), F.lit(1), F.col("page_id"), F.col("page_id") % 60)
+    revised = copy(F.concat(F.lit("<h2>Revised</h2>"), F.col("html")), F.col("page_id") % 3,
+                   F.col("page_id") + 1, F.col("page_id") % 60 + 1)
+    return original.unionByName(revised)
 
 
 def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
