@@ -348,6 +348,66 @@ ORACLE.update({
     "incremental_orders": ORACLE["silver_orders"],
 })
 
+# Gold-table bodies over silver_orders, for the JSON oracles below.
+_F10 = f"""select shipping_country, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+               {O.round2(f'sum({_MONEY})::double / count(total_amount)')} as avg_order_value
+        from silver_orders where shipping_country is not null group by shipping_country"""
+_F11 = f"""select category, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+               sum(quantity)::bigint as total_units,
+               {O.round2('sum(unit_price::decimal(28,6))::double / count(unit_price)')} as avg_unit_price
+        from silver_orders where category is not null group by category"""
+_F12 = f"""select order_day, daily_revenue, order_count,
+               (sum(daily_revenue::decimal(18,2)) over (order by order_day
+                    rows between unbounded preceding and current row))::double as cumulative_revenue
+        from (select cast(order_date as date) as order_day, sum({_MONEY})::double as daily_revenue,
+                     count(order_id) as order_count
+              from silver_orders where order_date is not null group by 1) d"""
+_F13 = f"""with t as (select customer_id, sum({_MONEY}) as spend, count(order_id) as order_count,
+                      min(order_date) as first_order, max(order_date) as last_order
+               from silver_orders where customer_id is not null group by customer_id
+               order by spend desc, customer_id limit 10),
+        f as (select customer_id, category,
+                     row_number() over (partition by customer_id order by count(*) desc, category) as rn
+              from silver_orders where customer_id in (select customer_id from t) and category is not null
+              group by customer_id, category)
+        select t.customer_id, spend::double as total_spend, order_count, first_order, last_order,
+               coalesce(f.category, 'Unknown') as favorite_category
+        from t left join f on t.customer_id = f.customer_id and f.rn = 1"""
+
+_ISO_TS = "'%Y-%m-%dT%H:%M:%S.%g'"
+_JSON_ROW = {
+    "rbc": "struct_pack(shipping_country := shipping_country, total_revenue := total_revenue::decimal(38,2), "
+           "order_count := order_count, avg_order_value := avg_order_value::decimal(38,2))",
+    "cat": "struct_pack(category := category, total_revenue := total_revenue::decimal(38,2), "
+           "order_count := order_count, total_units := total_units, "
+           "avg_unit_price := avg_unit_price::decimal(38,2))",
+    "daily": "struct_pack(order_day := strftime(order_day, '%Y-%m-%d'), "
+             "daily_revenue := daily_revenue::decimal(38,2), order_count := order_count, "
+             "cumulative_revenue := cumulative_revenue::decimal(38,2))",
+    "top": f"struct_pack(customer_id := customer_id, total_spend := total_spend::decimal(38,2), "
+           f"order_count := order_count, first_order := strftime(first_order, {_ISO_TS}), "
+           f"last_order := strftime(last_order, {_ISO_TS}), favorite_category := favorite_category)",
+}
+_SUMMARY = [("revenue_by_country", "rbc", "shipping_country,total_revenue,order_count,avg_order_value",
+             "total_revenue desc, shipping_country"),
+            ("revenue_by_category", "cat", "category,total_revenue,order_count,total_units,avg_unit_price",
+             "total_revenue desc, category"),
+            ("daily_revenue", "daily", "order_day,daily_revenue,order_count,cumulative_revenue", "order_day"),
+            ("top_customers", "top",
+             "customer_id,total_spend,order_count,first_order,last_order,favorite_category",
+             "total_spend desc, customer_id")]
+
+ORACLE.update({
+    "gold_records_json": O.orders_sql(f"select to_json({_JSON_ROW['rbc']}) as record from ({_F10}) g"),
+    "data_summary": O.orders_sql(
+        f", rbc as ({_F10}), cat as ({_F11}), daily as ({_F12}), top as ({_F13})\n" + "\nunion all\n".join(
+            f"""select '{name}' as table_name, (select count(*) from {v}) as row_count,
+                       '{cols}' as column_names,
+                       (select to_json(list({_JSON_ROW[v]} order by {order}))
+                        from (select * from {v} order by {order} limit 3) s) as sample"""
+            for name, v, cols, order in _SUMMARY)),
+})
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_orders": q_silver_orders,
     "revenue_by_country": q_revenue_by_country,

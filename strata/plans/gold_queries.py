@@ -13,11 +13,18 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.plans import orders as orders_plan
 
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSS"
-JSON_OPTIONS = {"timestampFormat": ISO_TIMESTAMP, "timestampNTZFormat": ISO_TIMESTAMP, "dateFormat": "yyyy-MM-dd"}
+# ISO dates and times; null fields written as null (not left out).
+JSON_OPTIONS = {"timestampFormat": ISO_TIMESTAMP, "timestampNTZFormat": ISO_TIMESTAMP, "dateFormat": "yyyy-MM-dd",
+                "ignoreNullFields": "false"}
+# Money columns of the gold tables: written to JSON as decimals with two
+# places (plain digits, e.g. 17533562241.92, rather than a double's 1.75E10).
+MONEY_COLUMNS = ("total_revenue", "avg_order_value", "avg_unit_price", "daily_revenue", "cumulative_revenue",
+                 "total_spend")
 
 # Sort order that defines "the first rows" of each gold table.
 # (column, descending) pairs.
@@ -83,9 +90,22 @@ def query_top_customers(silver_or_gold: DataFrame, top_n: int = 10) -> DataFrame
     return silver_or_gold.orderBy(*gold_order("top_customers", silver_or_gold.columns)).limit(top_n)
 
 
+def json_fields(df: DataFrame) -> list:
+    """The columns of ``df`` as JSON fields: money columns as two-place
+    decimals, the rest as they are."""
+    out = []
+    for f in df.schema.fields:
+        if f.name in MONEY_COLUMNS and isinstance(f.dataType, T.DoubleType):
+            out.append(F.col(f.name).cast("decimal(38,2)").alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return out
+
+
 def to_json_records(df: DataFrame, col: str = "record") -> DataFrame:
-    """One JSON object per row (ISO dates), computed on the executors."""
-    return df.select(F.to_json(F.struct(*df.columns), JSON_OPTIONS).alias(col))
+    """One JSON object per row (ISO dates, money with two places),
+    computed on the executors."""
+    return df.select(F.to_json(F.struct(*json_fields(df)), JSON_OPTIONS).alias(col))
 
 
 def data_summary(store: Mapping[str, DataFrame], sample_rows: int = 3) -> DataFrame:
@@ -102,7 +122,7 @@ def data_summary(store: Mapping[str, DataFrame], sample_rows: int = 3) -> DataFr
         ranked = top.withColumn("__i", F.row_number().over(Window.orderBy(*order)))
         sample = ranked.agg(
             F.lit(None).cast("long").alias("row_count"),
-            F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("__i", F.struct(*df.columns).alias("r")))),
+            F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("__i", F.struct(*json_fields(df)).alias("r")))),
                                   lambda x: x["r"]), JSON_OPTIONS).alias("sample"))
         count = df.agg(F.count(F.lit(1)).alias("row_count"), F.lit(None).cast("string").alias("sample"))
         parts.append(count.unionByName(sample).agg(
