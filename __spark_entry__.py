@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from strata import oracle as O  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
+from strata import oracle as O  # noqa: E402
 from strata.operators import access  # noqa: E402
 from strata.operators import retrieval as R  # noqa: E402
 from strata.plans import content as content_plan  # noqa: E402
@@ -28,8 +28,8 @@ from strata.plans import gold_queries as GQ  # noqa: E402
 from strata.plans import orders as orders_plan  # noqa: E402
 from strata.session import checkpoint_root, configure, materialize  # noqa: E402
 from strata.sources.lake import Lake  # noqa: E402
-from strata.streaming import incremental  # noqa: E402
 from strata.sources import testdata as TD  # noqa: E402
+from strata.streaming import incremental  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -220,26 +220,21 @@ def q_rrf(spark, sf_dir):
 
 _MONEY = "total_amount::decimal(18,2)"
 
-ORACLE = {
-    "silver_orders": O.orders_sql("select * from silver_orders"),
-    "revenue_by_country": O.orders_sql(f"""
-        select shipping_country, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+# Gold-table bodies over silver_orders (F10-F13), shared by the oracles below.
+_F10 = f"""select shipping_country, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
                {O.round2(f'sum({_MONEY})::double / count(total_amount)')} as avg_order_value
-        from silver_orders where shipping_country is not null group by shipping_country"""),
-    "revenue_by_category": O.orders_sql(f"""
-        select category, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+        from silver_orders where shipping_country is not null group by shipping_country"""
+_F11 = f"""select category, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
                sum(quantity)::bigint as total_units,
                {O.round2('sum(unit_price::decimal(28,6))::double / count(unit_price)')} as avg_unit_price
-        from silver_orders where category is not null group by category"""),
-    "daily_revenue": O.orders_sql(f"""
-        select order_day, daily_revenue, order_count,
+        from silver_orders where category is not null group by category"""
+_F12 = f"""select order_day, daily_revenue, order_count,
                (sum(daily_revenue::decimal(18,2)) over (order by order_day
                     rows between unbounded preceding and current row))::double as cumulative_revenue
         from (select cast(order_date as date) as order_day, sum({_MONEY})::double as daily_revenue,
                      count(order_id) as order_count
-              from silver_orders where order_date is not null group by 1) d"""),
-    "top_customers": O.orders_sql(f"""
-        , t as (select customer_id, sum({_MONEY}) as spend, count(order_id) as order_count,
+              from silver_orders where order_date is not null group by 1) d"""
+_F13 = f"""with t as (select customer_id, sum({_MONEY}) as spend, count(order_id) as order_count,
                       min(order_date) as first_order, max(order_date) as last_order
                from silver_orders where customer_id is not null group by customer_id
                order by spend desc, customer_id limit 10),
@@ -249,7 +244,14 @@ ORACLE = {
               group by customer_id, category)
         select t.customer_id, spend::double as total_spend, order_count, first_order, last_order,
                coalesce(f.category, 'Unknown') as favorite_category
-        from t left join f on t.customer_id = f.customer_id and f.rn = 1"""),
+        from t left join f on t.customer_id = f.customer_id and f.rn = 1"""
+
+ORACLE = {
+    "silver_orders": O.orders_sql("select * from silver_orders"),
+    "revenue_by_country": O.orders_sql(_F10),
+    "revenue_by_category": O.orders_sql(_F11),
+    "daily_revenue": O.orders_sql(_F12),
+    "top_customers": O.orders_sql(f"select * from ({_F13}) x"),
 }
 
 ORACLE.update({
@@ -316,19 +318,8 @@ ORACLE.update({
         select "user", count(*) as expected, count(*) as actual, 0::bigint as missing,
                0::bigint as unexpected, true as passed
         from pairs group by 1"""),
-    "gold_country": O.orders_sql(f"""
-        select * from (
-        select shipping_country, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
-               {O.round2(f'sum({_MONEY})::double / count(total_amount)')} as avg_order_value
-        from silver_orders where shipping_country is not null group by shipping_country) g
-        where shipping_country = 'NATION_3'"""),
-    "gold_category": O.orders_sql(f"""
-        select * from (
-        select category, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
-               sum(quantity)::bigint as total_units,
-               {O.round2('sum(unit_price::decimal(28,6))::double / count(unit_price)')} as avg_unit_price
-        from silver_orders where category is not null group by category) g
-        where lower(category) = 'standard'"""),
+    "gold_country": O.orders_sql(f"select * from ({_F10}) g where shipping_country = 'NATION_3'"),
+    "gold_category": O.orders_sql(f"select * from ({_F11}) g where lower(category) = 'standard'"),
     "gold_daily_range": ("select * from (" + ORACLE["daily_revenue"] + ") g "
                          "where order_day between date '1996-01-01' and date '1996-03-31'"),
     "gold_top_customers_25": ORACLE["top_customers"].replace("limit 10", "limit 25"),
@@ -348,32 +339,6 @@ ORACLE.update({
     "incremental_orders": ORACLE["silver_orders"],
 })
 
-# Gold-table bodies over silver_orders, for the JSON oracles below.
-_F10 = f"""select shipping_country, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
-               {O.round2(f'sum({_MONEY})::double / count(total_amount)')} as avg_order_value
-        from silver_orders where shipping_country is not null group by shipping_country"""
-_F11 = f"""select category, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
-               sum(quantity)::bigint as total_units,
-               {O.round2('sum(unit_price::decimal(28,6))::double / count(unit_price)')} as avg_unit_price
-        from silver_orders where category is not null group by category"""
-_F12 = f"""select order_day, daily_revenue, order_count,
-               (sum(daily_revenue::decimal(18,2)) over (order by order_day
-                    rows between unbounded preceding and current row))::double as cumulative_revenue
-        from (select cast(order_date as date) as order_day, sum({_MONEY})::double as daily_revenue,
-                     count(order_id) as order_count
-              from silver_orders where order_date is not null group by 1) d"""
-_F13 = f"""with t as (select customer_id, sum({_MONEY}) as spend, count(order_id) as order_count,
-                      min(order_date) as first_order, max(order_date) as last_order
-               from silver_orders where customer_id is not null group by customer_id
-               order by spend desc, customer_id limit 10),
-        f as (select customer_id, category,
-                     row_number() over (partition by customer_id order by count(*) desc, category) as rn
-              from silver_orders where customer_id in (select customer_id from t) and category is not null
-              group by customer_id, category)
-        select t.customer_id, spend::double as total_spend, order_count, first_order, last_order,
-               coalesce(f.category, 'Unknown') as favorite_category
-        from t left join f on t.customer_id = f.customer_id and f.rn = 1"""
-
 _ISO_TS = "'%Y-%m-%dT%H:%M:%S.%g'"
 _JSON_ROW = {
     "rbc": "struct_pack(shipping_country := shipping_country, total_revenue := total_revenue::decimal(38,2), "
