@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.plans import content as content_plan
 from strata.plans import orders as orders_plan
 from strata.plans.metrics import StepMetrics
+from strata.session import tune_for_input
 from strata.sources import ingest
 from strata.sources.lake import Lake
 
@@ -24,6 +25,7 @@ def run_orders_etl(lake: Lake, source_csv: str, top_n: int = 10,
     Returns the gold frames (read back from storage) and the step metrics
     (rows in/out, duplicates and cancelled rows removed, groups per table).
     """
+    tune_for_input(lake.spark, source_csv)
     bronze = ingest.ingest_csv(lake, source_csv, "orders", ingested_at=ingested_at)
     metrics = StepMetrics()
     silver = orders_plan.clean_orders(bronze, metrics=metrics)

@@ -80,3 +80,36 @@ def materialize(df, name: str = "table"):
     path = f"{checkpoint_root(df.sparkSession).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+# Target bytes of input per shuffle partition / scan split at scale.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (Hadoop content summary: a
+    metadata call, no data is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += int(fs.getContentSummary(hp).getLength())
+    return total
+
+
+def tune_for_input(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Size shuffles for the input: ``spark.sql.shuffle.partitions`` becomes
+    about input bytes / ``target_bytes`` (never lowered below its current
+    value), so no shuffle partition outgrows executor memory and spills at
+    100 TB; AQE then coalesces small partitions back to
+    ``advisoryPartitionSizeInBytes``. Returns the partition count in use."""
+    import math
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, math.ceil(input_bytes(spark, paths) / target_bytes))
+    if wanted != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    return wanted

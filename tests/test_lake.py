@@ -91,3 +91,17 @@ def test_checkpoint_dir_from_session(spark):
     from strata.session import checkpoint_root
     root = checkpoint_root(spark)
     assert root and spark.sparkContext.getCheckpointDir()
+
+
+def test_tune_for_input(spark, scratch):
+    from strata.session import input_bytes, tune_for_input
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert input_bytes(spark, "/root/testdata/sf0.01/lineitem.parquet") > 0
+    assert input_bytes(spark, f"{scratch}/missing") == 0
+    try:
+        n = tune_for_input(spark, "/root/testdata/sf0.01/lineitem.parquet", target_bytes=64 * 1024)
+        assert n > before and int(spark.conf.get("spark.sql.shuffle.partitions")) == n
+        assert tune_for_input(spark, "/root/testdata/sf0.001/region.parquet") == n   # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(before))
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
