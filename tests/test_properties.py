@@ -67,3 +67,13 @@ def test_keep_last_matches_pandas(spark, rows):
     want = sorted((k or "", i) for k, i in pdf.drop_duplicates(subset=["k"], keep="last")[["k", "i"]].itertuples(
         index=False, name=None))
     assert got == want
+
+
+@SETTINGS
+@given(ROWS)
+def test_keep_last_idempotent(spark, rows):
+    from strata.operators.dedup import keep_last
+    df = spark.createDataFrame([(k, s, v, i) for i, (k, s, v) in enumerate(rows)], "k string, s int, v int, i int")
+    once = keep_last(df, ["k"], ["s", "i"])
+    twice = keep_last(once, ["k"], ["s", "i"])
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr)
