@@ -61,13 +61,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     at a shared file system). Only when it is unset, as in local tests, a
     scratch folder is used.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext
+        sc = None
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strata-ckpt-")
+    root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 

@@ -43,8 +43,12 @@ def spread(df: DataFrame) -> DataFrame:
 
     Rows are hash-partitioned on the table's leading id column: deterministic
     on retry without the per-task sort that round-robin partitioning needs."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (Spark Connect): leave the scan as it is
+        return df
+    if splits >= slots:
         return df
     return df.repartition(slots, df.columns[0])
 
