@@ -149,3 +149,26 @@ def test_money_sums_beyond_long_range(spark):
     got = P.revenue_by_country(silver).first()
     assert got["total_revenue"] == 1.5e17 and got["order_count"] == 3
     assert P.daily_revenue(silver).first()["cumulative_revenue"] == 1.5e17
+
+
+def test_gold_query_functions(spark):
+    import json as _json
+
+    from strata.plans import gold_queries as GQ
+    silver = P.clean_orders(TD.raw_orders(spark, SF_SMALL), order_by=TD.ORDER_LINE_SEQUENCE)
+    store = P.build_gold(silver)
+    with pytest.raises(GQ.UnknownTable):
+        GQ.gold_table(store, "nope")
+    assert _json.loads(GQ.error_record("nope")) == {"error": "nope data not loaded"}
+    rbc = GQ.gold_table(store, "revenue_by_country")
+    assert GQ.query_revenue_by_country(rbc, None).count() == rbc.count()
+    one = GQ.query_revenue_by_country(rbc, "nation_1").collect()
+    assert [r["shipping_country"] for r in one] == ["NATION_1"]
+    days = GQ.query_daily_revenue(store["daily_revenue"], "1996-01-01", None)
+    assert days.agg(F.min("order_day")).first()[0].isoformat() >= "1996-01-01"
+    assert GQ.query_top_customers(store["top_customers"], 50).count() == 10      # stored table has 10
+    assert GQ.query_top_customers(silver, 50).count() == 50                       # computed for n
+    rec = _json.loads(GQ.to_json_records(one_df := GQ.query_revenue_by_country(rbc, "nation_1")).first()["record"])
+    assert set(rec) == set(one_df.columns)
+    with pytest.raises(ValueError):
+        GQ.query_top_customers(silver, 51)
