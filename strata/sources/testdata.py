@@ -31,7 +31,7 @@ FACT_TABLES = {"lineitem", "events", "documents", "embeddings", "pages", "conver
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread(df) if name in FACT_TABLES else df
 
 
