@@ -16,11 +16,14 @@ from strata.functions.common import as_col
 def to_timestamp_or_null(c) -> Column:
     """Text -> timestamp; unparseable text gives null.
 
-    Accepts dates, date-times and ISO-8601 with ``T`` and offsets; offsets are
-    normalised by the session zone (UTC). The rule is applied per row.
+    Accepts dates, date-times and ISO-8601 with ``T`` and offsets; the value
+    is the UTC wall-clock time (``timestamp_ntz``): an offset is applied, and
+    later day extraction does not depend on the session time zone. The rule
+    is applied per row.
     """
     c = as_col(c)
-    return F.try_to_timestamp(c.cast("string"))
+    instant = F.try_to_timestamp(c.cast("string"))
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
 
 
 def to_double_or_null(c) -> Column:

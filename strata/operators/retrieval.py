@@ -190,7 +190,8 @@ def vector_top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id",
     if not small_enough(qdf, MAX_QUERY_VECTORS):
         raise ValueError(f"more than {MAX_QUERY_VECTORS} query vectors: use vector_top_k_blocked")
     qrows = [(r["query_id"], list(r["v"])) for r in qdf.collect()]
-    return _score_block(vectors, qrows, vec_id, vec_col, k, places)
+    out = _score_block(vectors, qrows, vec_id, vec_col, k, places)
+    return out.withColumn("query_id", F.col("query_id").cast(qdf.schema["query_id"].dataType))
 
 
 def vector_top_k_blocked(vectors: DataFrame, queries: DataFrame, block_col: str, **kw) -> DataFrame:

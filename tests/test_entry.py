@@ -26,11 +26,13 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF_SMALL).toPandas()
+    stable = E.queries()[name](spark, SF_SMALL).toArrow()
     oracle = E.oracle_sql().get(name)
     if oracle is None:
-        assert len(sdf) > 0
+        assert stable.num_rows > 0
         return
-    odf = _arrow(con.execute(oracle)).to_pandas(date_as_object=True)
-    ok, msg = compare(name, sdf, odf)
+    otable = _arrow(con.execute(oracle))
+    types = lambda t: {f.name: str(f.type) for f in t.schema}
+    assert types(stable) == types(otable)
+    ok, msg = compare(name, stable.to_pandas(date_as_object=True), otable.to_pandas(date_as_object=True))
     assert ok, msg
