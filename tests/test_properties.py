@@ -77,3 +77,18 @@ def test_keep_last_idempotent(spark, rows):
     once = keep_last(df, ["k"], ["s", "i"])
     twice = keep_last(once, ["k"], ["s", "i"])
     assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, twice.collect()), key=repr)
+
+
+FRAGMENTS = st.sampled_from([
+    "<p>", "</p>", "<b>", "</b>", "<br/>", "<div class=\"x\">", "</div>", "<li>", "</li>",
+    "word", "two words", " ", "\n", "\t", "\xa0", "&amp;", "&copy;", "&quot;", "&#233;", "&#x41;", "&lt;b&gt;",
+    "<!-- note -->", "<script>var a='</p>';</script>", "<style>p{margin:0}</style>", "<![CDATA[x < y]]>",
+    "café", "a&b", "x < 1",
+])
+
+
+@SETTINGS
+@given(st.lists(FRAGMENTS, max_size=20).map("".join))
+def test_html_fragments_match_reference_parser(spark, doc):
+    from test_functions import reference_text
+    assert run(spark, [doc], T.html_to_text) == [reference_text(doc)]
