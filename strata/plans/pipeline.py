@@ -42,22 +42,32 @@ def run_orders_etl(lake: Lake, source_csv: str, top_n: int = 10,
 
 
 def run_content_etl(lake: Lake, spaces: DataFrame | None, pages: DataFrame | None,
-                    comments: DataFrame | None, ingested_at: str | None = None) -> dict[str, DataFrame]:
+                    comments: DataFrame | None, ingested_at: str | None = None,
+                    step_counts: dict | None = None) -> dict[str, DataFrame]:
     """L2: flattened API tables -> bronze -> silver (Parquet + CSV) -> gold
-    (Parquet + CSV). Empty or absent inputs are skipped at every layer."""
+    (Parquet + CSV). Empty or absent inputs are skipped at every layer.
+
+    ``step_counts`` (L3), when given, is filled per landed table with rows in,
+    rows out of silver and duplicates removed, counted by the write jobs."""
     landed = ingest.ingest_all(lake, {"wiki_spaces": spaces, "wiki_pages": pages,
                                       "wiki_comments": comments}, ingested_at=ingested_at)
     cleaners = {"wiki_spaces": content_plan.clean_spaces,
                 "wiki_pages": content_plan.clean_pages,
                 "wiki_comments": content_plan.clean_comments}
     silver: dict[str, DataFrame] = {}
+    metrics = StepMetrics()
     for name, clean in cleaners.items():
         if name not in landed:
             continue
         out = clean(lake.read_parquet("bronze", name)).withColumn("_processed_at", _stamp(ingested_at))
-        lake.write_parquet(out, "silver", name)
+        lake.write_parquet(metrics.tap(out, name), "silver", name)
         silver[name] = lake.read_parquet("silver", name)
         lake.write_csv(silver[name], "silver", name)
+    if step_counts is not None:
+        out_rows = metrics.values()
+        for name in silver:
+            rows_in, rows_out = landed[name], out_rows[name]["rows"]
+            step_counts[name] = {"rows_in": rows_in, "rows_out": rows_out, "duplicates_removed": rows_in - rows_out}
     gold = content_plan.build_gold(silver.get("wiki_pages"), silver.get("wiki_comments"),
                                    spark=lake.spark)
     result = {}

@@ -55,7 +55,10 @@ def test_run_orders_etl(spark, scratch):
 def test_run_content_etl(spark, scratch):
     s, p, c = bronze(spark, scratch)
     lake = Lake(spark, f"{scratch}/lake")
-    gold = pipeline.run_content_etl(lake, s, p, c.limit(0), ingested_at="t")
+    counts = {}
+    gold = pipeline.run_content_etl(lake, s, p, c.limit(0), ingested_at="t", step_counts=counts)
+    assert counts == {"wiki_spaces": {"rows_in": 2, "rows_out": 2, "duplicates_removed": 0},
+                      "wiki_pages": {"rows_in": 3, "rows_out": 2, "duplicates_removed": 1}}
     assert "wiki_comments" not in lake.list_tables("bronze")   # empty input skipped
     assert set(gold) == {"wiki_content_by_space", "wiki_author_activity",
                          "wiki_most_discussed", "wiki_content_timeline"}
