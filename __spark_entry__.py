@@ -404,6 +404,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+try:  # the subpackage of training-data operators may be absent
+    from strata.llm import queries as llm_queries
+except ImportError:
+    llm_queries = None
+if llm_queries is not None:
+    QUERIES.update(llm_queries.QUERIES)
+    ORACLE.update(llm_queries.ORACLE)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: revenue by country over the cleaned order lines of sf0.001."""
     return q_revenue_by_country(configure(spark), SMOKE_DIR)
