@@ -34,7 +34,9 @@ CELLS = 1 << 12             # equal parts of [0, 1) in which slots meet sources
 POINT_BITS = 48
 CHUNK = 1 << 12             # slots that are ranked together
 
-WORDS = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
+
+def word_count(col: str = "text"):
+    return F.coalesce(F.regexp_count(col, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("bigint")
 
 
 def targets(sized: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix of ``docs`` (doc_id, text, source): its segments (slot, row,
     doc_id, round, first_word, n_words), the rows (row, doc_id, source, size),
     and the sources' targets."""
-    rows = docs.select("doc_id", "source", WORDS.alias("size"), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select("doc_id", "source", word_count().alias("size"), F.monotonically_increasing_id().alias("row"))
     by = ["source", "shuffle", "row"]
     runs = ordered(rows.withColumn("shuffle", F.xxhash64("doc_id")), by, "mix-rows")
     goal = stored(targets(runs), "mix-targets")
