@@ -16,8 +16,9 @@ pairs: postings are range-partitioned by (piece, node), so one piece may span
 tasks, and every task links a piece's nodes to the first one it holds (the
 firsts of one piece are linked among themselves). Links found this way give
 components; only nodes that share a piece and still lie in different
-components are then compared across (minus pairs ruled out by the triangle
-inequality of the Jaccard distance), so no link between components is lost.
+components are then compared across: their sketches meet in blocks, and the
+pairs whose Hamming distance does not rule a link out are verified. So no
+link between components is lost, and no piece yields rows for all its pairs.
 
 Null and empty texts have an empty set and link with nothing. A null id takes
 part in nothing and gets a null component. Rows that share an id are one
@@ -248,40 +249,142 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(_verify, "hub bigint, member bigint, both bigint, either bigint"))
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """(node, n, sketch): parity sketches of four bits or more per shingle, a
+    power of two; a wide one folds to a narrow one by XOR of its halves."""
+    def make():
+        def fn(batch):
+            sizes, out = [], []
+            for raw in batch.column("own").to_pylist():
+                own = np.frombuffer(raw, dtype=np.uint64)
+                width = max(512, 1 << (4 * len(own) - 1).bit_length())
+                at = (mix(own ^ _U(0x2545F4914F6CDD1D)) & _U(width - 1)).astype(np.int64)
+                sizes.append(len(own))
+                out.append(np.packbits(np.bincount(at, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes())
+            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
+                                              ["node", "n", "sketch"])
+        return fn
+    return map_batches(sets, make, "node bigint, n bigint, sketch binary")
+
+
+def _near(percent: int, rows: list[tuple], to: list[tuple] | None) -> list[tuple[int, int]]:
+    """Pairs of nodes of different components, between ``rows`` and ``to`` (or
+    within ``rows``), whose sketches are as near as those of a link can be."""
+    other = rows if to is None else to
+    width = min(len(r[3]) for r in [*rows, *other])
+
+    def columns(some):
+        bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(r[3], dtype=np.uint64).reshape(-1, width // 8), axis=0) for r in some])
+        return *(np.array([r[i] for r in some], dtype=np.int64) for i in range(3)), bits
+    node, part, n, bits = columns(rows)
+    node2, part2, n2, bits2 = columns(other)
+    out = []
+    for i in range(len(rows)):
+        here = np.flatnonzero((part2 != part[i]) & (100 * np.minimum(n2, n[i]) >= percent * np.maximum(n2, n[i])))
+        if to is None:
+            here = here[here > i]
+        if len(here):
+            far = np.bitwise_count(bits2[here] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            here = here[far * (100 + percent) <= (n2[here] + n[i]) * (100 - percent)]
+            out += [(min(node[i], m), max(node[i], m)) for m in node2[here]]
+    return out
+
+
+def close_across(apart: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """(hub, member): nodes that share a key, lie in different components, and
+    whose sketches do not rule a link out. A key's nodes are dealt into blocks
+    of about GROUP * 4, and each pair of blocks is compared in one task: no
+    pair becomes a row unless its sketches are near."""
+    parts = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sizes = apart.groupBy("key").agg(F.ceil(F.count("*") / (GROUP * 4)).alias("blocks"))
+    block = F.expr("pmod(xxhash64(node), blocks)")
+    rows = (apart.join(sizes, "key").withColumn("block", block)
+            .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+            .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "component")
+            .join(own, "node"))
+
+    def run(batches):
+        held_key, held = None, []
+
+        def compare():
+            if len(held) < 2:
+                return []
+            if held_key[1] == held_key[2]:
+                return _near(percent, [h[1:] for h in held], None)
+            sides = [[h[1:] for h in held if (h[0] == held_key[1]) == one] for one in (True, False)]
+            return _near(percent, *sides) if all(sides) else []
+        for batch in batches:
+            out = []
+            for key, low, high, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "low", "high", "block", "node", "component", "n", "sketch"))):
+                if (key, low, high) != held_key:
+                    out += compare()
+                    held_key, held = (key, low, high), []
+                held.append(tuple(row))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["hub", "member"])
+        if out := compare():
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["hub", "member"])
+    return (rows.repartition(parts, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+            .select("key", "low", "high", "block", "node", "component", "n", "sketch").mapInArrow(run, "hub bigint, member bigint"))
+
+
+def _across(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The pairs (hub, member, ...) whose nodes lie in different components."""
+    if found is None:
+        return pairs
+    side = found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+    other = found.select(F.col("node").alias("member"), F.col("component").alias("member_component"))
+    return (pairs.join(side, "hub", "left").join(other, "member", "left")
+            .where("coalesce(hub_component, hub) <> coalesce(member_component, member)").select(*pairs.columns))
+
+
 def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) of the classes that are linked with another one."""
+    """(node, component) of the classes that are linked with another one.
+
+    First every node meets the hub with which it shares most pieces, twice
+    (what has been joined by then needs no further look), then all other hubs
+    in other components, then all other nodes in other components."""
     shared = stored(shared_pieces(postings(docs, words, percent)), "pieces")
     ends = shared.where("edge").groupBy("key").agg(F.min("hub").alias("first"))
     across = (shared.where("edge").select("key", "hub").distinct().join(ends, "key").where("hub <> first")
               .select(F.col("first").alias("hub"), F.col("hub").alias("member")))
-    pairs = stored(shared.where("hub <> node").select("hub", F.col("node").alias("member")).union(across).distinct(), "pairs")
+    pairs = stored(shared.where("hub <> node").select("hub", F.col("node").alias("member")).union(across)
+                   .groupBy("hub", "member").agg(F.count("*").alias("pieces")), "pairs")
     nodes = pairs.select(F.col("hub").alias("node")).union(pairs.select("member")).distinct()
     sets = stored(sets_of(docs, nodes, words), "sets")
-    known = stored(verify(pairs, sets), "verified")
-    linked = known.where(f"100 * both >= {percent} * either")
-    found = stored(components(linked.select(F.col("hub").alias("a"), F.col("member").alias("b"))), "components")
+    is_link = f"100 * both >= {percent} * either"
+    known = found = None
+    rest = pairs
+
+    def joined(some: DataFrame):
+        """Verify pairs; all that is known then, and the components."""
+        now = stored(verify(some, sets), "verified")
+        both = now if known is None else known.union(now)
+        if found is not None and now.where(is_link).isEmpty():
+            return both, found
+        return both, stored(components(both.where(is_link).select(F.col("hub").alias("a"), F.col("member").alias("b"))), "components")
+
+    for turn in range(3):
+        if turn < 2:
+            best = F.max(F.struct("pieces", (-F.col("hub")).alias("low")))
+            some = rest.groupBy("member").agg(best.alias("best")).select((-F.col("best.low")).alias("hub"), "member")
+        else:
+            some = rest.select("hub", "member")
+        known, found = joined(some)
+        rest = stored(_across(rest.join(known.select("hub", "member"), ["hub", "member"], "left_anti"), found), "pairs")
+        if rest.isEmpty():
+            break
 
     # nodes that share a piece and lie in different components
     part = shared.select("key", "node", "hub").distinct().join(found, "node", "left").select(
         "key", "node", "hub", F.coalesce("component", "node").alias("component"))
     split = part.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    far = known.select("hub", F.col("member").alias("node"), (1 - F.col("both") / F.col("either")).alias("d"))
-    left = stored(part.join(split, "key", "left_semi").join(far, ["hub", "node"], "left"), "apart")
-    apart = 1 - percent / 100 + 1e-9
-    x, y = left.alias("x"), left.alias("y")
-    more = (x.join(y, F.expr("x.key = y.key and x.component < y.component"))
-            .where(F.expr(f"x.hub <> y.hub or x.d is null or y.d is null or abs(x.d - y.d) <= {apart}"))
-            .select(F.expr("least(x.node, y.node)").alias("hub"), F.expr("greatest(x.node, y.node)").alias("member")).distinct()
+    apart = part.join(split, "key", "left_semi").select("key", "node", "component").distinct()
+    more = (close_across(apart, sketches(sets), percent).distinct()
             .join(known.select(F.least("hub", "member").alias("hub"), F.greatest("hub", "member").alias("member")),
                   ["hub", "member"], "left_anti"))
     more = stored(more, "pairs")
-    if more.isEmpty():
-        return found
-    late = stored(verify(more, sets).where(f"100 * both >= {percent} * either"), "verified")
-    if late.isEmpty():
-        return found
-    edges = linked.select("hub", "member").union(late.select("hub", "member"))
-    return stored(components(edges.select(F.col("hub").alias("a"), F.col("member").alias("b"))), "components")
+    return found if more.isEmpty() else joined(more)[1]
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
