@@ -36,10 +36,12 @@ TEMPLATES = [
             "without limitation the rights to use copy modify merge publish distribute sublicense and or sell "
             "copies of the software"),
     ("apache-2", "apache license version 2"),
+    ("apache-2", "apache license version 2 0"),
     ("apache-2", "licensed under the apache license version 2 0"),
     ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in "
                  "compliance with the license you may obtain a copy of the license at"),
     ("cc-by-nc", "cc by nc"),
+    ("cc-by-nc", "cc by nc 4 0"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),

@@ -101,7 +101,7 @@ class Tables:
         part, rest = divmod(radius, self.m)
         probes = []
         for reach, tables in ((part, range(0, rest + 1)), (part - 1, range(rest + 1, self.m))):
-            if reach >= 0:
+            if reach >= 0 and len(tables):
                 j = np.asarray(tables)
                 probes.append((np.bitwise_xor.outer(query[j].astype(np.int64), _BALLS[min(reach, 8)]) + 256 * j[:, None]).ravel())
         probe = np.concatenate(probes)
