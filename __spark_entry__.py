@@ -147,9 +147,11 @@ def q_visibility_check(spark, sf_dir):
     docs = _secured_docs(spark, sf_dir)
     users = access.users_frame(spark, USERS)
     actual = access.visibility_pairs(docs, users)
-    # expected, formulated independently: all shared groups joined, then distinct pairs
+    # expected: an older labelling in which the .net spaces belonged to team-a,
+    # formulated independently (all shared groups joined, then distinct pairs)
     u = users.select("user", F.explode(access.effective_groups_col("groups")).alias("g"))
-    d = docs.select("id", F.explode("allowed_groups").alias("g"))
+    old = F.when(F.col("space_key").like("%.NET"), F.array(F.lit("team-a"))).otherwise(F.col("allowed_groups"))
+    d = docs.select("id", F.explode(old).alias("g"))
     expected = d.join(u, "g").select("user", "id").distinct()
     return access.visibility_diff(expected, actual)
 
@@ -204,27 +206,43 @@ def q_vector_top_k(spark, sf_dir):
     return R.vector_top_k(emb, queries, k=5)
 
 
-def _chunk_doc_ranking(spark, sf_dir, depth):
+def _chunk_doc_ranking(spark, sf_dir):
     chunks = q_chunks(spark, sf_dir).select(
         F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"),
         "doc_id", "chunk")
-    hits = R.bm25_top_k(chunks, _queries(spark, sf_dir), doc_id="chunk_id", doc_text="chunk", k=depth)
+    hits = R.bm25_top_k(chunks, _queries(spark, sf_dir), doc_id="chunk_id", doc_text="chunk", k=None)
     return R.parents_by_best_chunk(hits, F.split(F.col("doc_id"), ":")[0].cast("long"))
 
 
 def q_rrf(spark, sf_dir):
-    depth = 50
-    docs = R.bm25_top_k(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=depth)
-    return R.rrf([docs, _chunk_doc_ranking(spark, sf_dir, depth)], k=10)
+    docs = R.bm25_top_k(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=None)
+    return R.rrf([docs, _chunk_doc_ranking(spark, sf_dir)], k=10)
+
+
+def q_rrf_hybrid(spark, sf_dir):
+    """Keyword and vector rankings, both whole, fused per query: query i is
+    benchmark text i and vector i; a vector belongs to the document of its id."""
+    words = R.bm25_top_k(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=None)
+    emb = TD.table(spark, sf_dir, "embeddings")
+    asked = (emb.join(_queries(spark, sf_dir), F.col("vec_id") == F.col("query_id"), "left_semi")
+             .select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")))
+    near = R.vector_top_k(emb, asked, k=None).withColumnRenamed("vec_id", "doc_id")
+    return R.rrf([words, near], k=10)
+
+
+def q_secured_bm25(spark, sf_dir):
+    """Keyword search over the documents a caller may see (C5, M2, top)."""
+    docs = access.visible_to(_secured_docs(spark, sf_dir), ["team-a"])
+    return R.bm25_top_k(docs, _queries(spark, sf_dir), doc_id="id", doc_text="body_text", k=10)
 
 
 _MONEY = "total_amount::decimal(18,2)"
 
 # Gold-table bodies over silver_orders (F10-F13), shared by the oracles below.
-_F10 = f"""select shipping_country, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+_F10 = f"""select shipping_country, sum({_MONEY})::double as total_revenue, count(distinct order_id) as order_count,
                {O.round2(f'sum({_MONEY})::double / count(total_amount)')} as avg_order_value
         from silver_orders where shipping_country is not null group by shipping_country"""
-_F11 = f"""select category, sum({_MONEY})::double as total_revenue, count(order_id) as order_count,
+_F11 = f"""select category, sum({_MONEY})::double as total_revenue, count(distinct order_id) as order_count,
                sum(quantity)::bigint as total_units,
                {O.round2('sum(unit_price::decimal(28,6))::double / count(unit_price)')} as avg_unit_price
         from silver_orders where category is not null group by category"""
@@ -232,9 +250,9 @@ _F12 = f"""select order_day, daily_revenue, order_count,
                (sum(daily_revenue::decimal(18,2)) over (order by order_day
                     rows between unbounded preceding and current row))::double as cumulative_revenue
         from (select cast(order_date as date) as order_day, sum({_MONEY})::double as daily_revenue,
-                     count(order_id) as order_count
+                     count(distinct order_id) as order_count
               from silver_orders where order_date is not null group by 1) d"""
-_F13 = f"""with t as (select customer_id, sum({_MONEY}) as spend, count(order_id) as order_count,
+_F13 = f"""with t as (select customer_id, sum({_MONEY}) as spend, count(distinct order_id) as order_count,
                       min(order_date) as first_order, max(order_date) as last_order
                from silver_orders where customer_id is not null group by customer_id
                order by spend desc, customer_id limit 10),
@@ -259,15 +277,15 @@ ORACLE.update({
     "silver_pages": O.content_sql("select * from silver_pages"),
     "silver_comments": O.content_sql("select * from silver_comments"),
     "content_by_space": O.content_sql("""
-        select space_key, count(page_id) as page_count, coalesce(sum(word_count), 0)::bigint as total_words,
+        select space_key, count(distinct page_id) as page_count, coalesce(sum(word_count), 0)::bigint as total_words,
                round_even(avg(word_count), 0)::bigint as avg_word_count,
                coalesce(sum(content_length), 0)::bigint as total_content_length,
                max(last_updated_date) as latest_update
         from silver_pages where space_key is not null group by space_key"""),
     "author_activity": O.content_sql("""
-        , p as (select created_by as author, count(page_id) as pages_created, sum(word_count) as pages_total_words
+        , p as (select created_by as author, count(distinct page_id) as pages_created, sum(word_count) as pages_total_words
                from silver_pages where created_by is not null group by created_by),
-        c as (select author, count(comment_id) as comments_made, sum(word_count) as comments_total_words
+        c as (select author, count(distinct comment_id) as comments_made, sum(word_count) as comments_total_words
               from silver_comments where author is not null group by author)
         select coalesce(p.author, c.author) as author,
                coalesce(pages_created, 0)::bigint as pages_created,
@@ -277,9 +295,9 @@ ORACLE.update({
                (coalesce(pages_created, 0) + coalesce(comments_made, 0))::bigint as total_contributions
         from p full outer join c on p.author = c.author"""),
     "content_timeline": O.content_sql("""
-        , p as (select cast(created_date as date) as d, count(page_id) as n from silver_pages
+        , p as (select cast(created_date as date) as d, count(distinct page_id) as n from silver_pages
                where created_date is not null group by 1),
-        c as (select cast(created_date as date) as d, count(comment_id) as n from silver_comments
+        c as (select cast(created_date as date) as d, count(distinct comment_id) as n from silver_comments
               where created_date is not null group by 1),
         j as (select coalesce(p.d, c.d) as d, coalesce(p.n, 0)::bigint as pages_created,
                      coalesce(c.n, 0)::bigint as comments_created
@@ -290,7 +308,7 @@ ORACLE.update({
                  as cumulative_pages
         from j"""),
     "most_discussed": O.content_sql("""
-        , c as (select page_id, count(comment_id) as n from silver_comments where page_id is not null
+        , c as (select page_id, count(distinct comment_id) as n from silver_comments where page_id is not null
                group by page_id)
         select p.page_id, p.title, p.space_key, p.word_count, coalesce(c.n, 0)::bigint as comment_count
         from silver_pages p left join c on p.page_id = c.page_id"""),
@@ -315,9 +333,14 @@ ORACLE.update({
         where list_has_any(allowed_groups, ['all', 'team-a']) order by id limit 50"""),
     "visibility_pairs": O.content_sql(_SECURED + 'select "user", id from pairs'),
     "visibility_check": O.content_sql(_SECURED + """
-        select "user", count(*) as expected, count(*) as actual, 0::bigint as missing,
-               0::bigint as unexpected, true as passed
-        from pairs group by 1"""),
+        , old as (select u."user", d.id from users u, secured d
+                  where list_has_any(case when space_key like '%.NET' then ['team-a'] else d.allowed_groups end, u.eff)),
+        b as (select coalesce(o."user", p."user") as "user", o.id is not null as e, p.id is not null as a
+              from old o full outer join pairs p on o."user" = p."user" and o.id = p.id)
+        select "user", count(*) filter (e) as expected, count(*) filter (a) as actual,
+               count(*) filter (e and not a) as missing, count(*) filter (a and not e) as unexpected,
+               count(*) filter (e <> a) = 0 as passed
+        from b group by 1"""),
     "gold_country": O.orders_sql(f"select * from ({_F10}) g where shipping_country = 'NATION_3'"),
     "gold_category": O.orders_sql(f"select * from ({_F11}) g where lower(category) = 'standard'"),
     "gold_daily_range": ("select * from (" + ORACLE["daily_revenue"] + ") g "
@@ -335,7 +358,28 @@ ORACLE.update({
     "bm25": O.bm25_sql("select doc_id, text from documents",
                        "select item_id as query_id, text as query from benchmark", 10),
     "vector_top_k": O.vector_sql(5),
-    "rrf": O.rrf_sql(50, 10),
+    "rrf": O.rrf_sql(10),
+    "rrf_hybrid": f"""with {O.bm25_scores_sql('select doc_id, text from documents',
+                                                 'select item_id as query_id, text as query from benchmark')},
+        e as (select vec_id, embedding::double[] as v from embeddings),
+        cs as (select q.vec_id as query_id, e.vec_id as doc_id, list_cosine_similarity(e.v, q.v) as s
+               from e, e q where q.vec_id in (select item_id from benchmark)),
+        ra as (select query_id, doc_id, row_number() over (partition by query_id
+                   order by round_even(s * 1e9, 0) desc, doc_id) as rank from s),
+        rb as (select query_id, doc_id, row_number() over (partition by query_id
+                   order by round_even(s * 1e9, 0) desc, doc_id) as rank from cs),
+        u as (select *, 1.0::double / (60.0::double + rank) as c from ra
+              union all select *, 1.0::double / (60.0::double + rank) from rb),
+        f as (select query_id, doc_id, sum(c) as s2, count(*) as n_lists from u group by 1, 2)
+        select query_id, doc_id, rank::int as rank, round_even(s2 * 1e9, 0) / 1e9 as score, n_lists::bigint as n_lists
+        from (select *, row_number() over (partition by query_id order by round_even(s2 * 1e9, 0) desc, doc_id) as rank
+              from f) r where rank <= 10""",
+    "secured_bm25": O.content_sql(_SECURED + ", " + O.bm25_scores_sql(
+        "select id as doc_id, body_text as text from secured where list_has_any(allowed_groups, ['all', 'team-a'])",
+        "select item_id as query_id, text as query from benchmark", "k_") + """
+        select query_id, doc_id, rank::int as rank, round_even(s * 1e6, 0) / 1e6 as score
+        from (select *, row_number() over (partition by query_id order by round_even(s * 1e9, 0) desc, doc_id) as rank
+              from k_s) r where rank <= 10"""),
     "incremental_orders": ORACLE["silver_orders"],
 })
 
@@ -400,6 +444,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bm25": q_bm25,
     "vector_top_k": q_vector_top_k,
     "rrf": q_rrf,
+    "rrf_hybrid": q_rrf_hybrid,
+    "secured_bm25": q_secured_bm25,
     "incremental_orders": q_incremental_orders,
 }
 

@@ -40,8 +40,10 @@ CASE_RUN_RE = CASED_CLASS + "+|" + UNCASED_CLASS + "+"
 
 # One token of an HTML document: a comment, a script or style element with
 # its content, a CDATA section, any other tag, or a run of text.
-HTML_TOKEN_RE = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-                 r"|<!\[CDATA\[.*?\]\]>|<[^>]*>|[^<]+")
+# Script and style elements without an end reach to the end of the text; a
+# quoted attribute value may hold ">" (an unbalanced quote: up to the next ">").
+HTML_TOKEN_RE = (r"(?is)<!--.*?-->|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+                 r"|<!\[CDATA\[.*?\]\]>|<[^>\x22']*(?:\x22[^\x22]*\x22[^>\x22']*|'[^']*'[^>\x22']*)*>|<[^>]*>|[^<]+")
 # A '<' that cannot open a tag is text; it is parked as U+0002 while tokenising.
 LONE_LT_RE = r"<([^A-Za-z/!?]|\z)"
 LT_MARK = "\u0002"
@@ -128,16 +130,15 @@ def unescape(c) -> Column:
 
     def piece(p: Column, i: Column) -> Column:
         name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-        dec = F.regexp_extract(p, r"^#([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(p, r"^#[xX]([0-9A-Fa-f]{1,6});", 1)
+        dec = F.regexp_extract(p, r"^#0*([0-9]{1,7});", 1)
+        hexa = F.regexp_extract(p, r"^#[xX]0*([0-9A-Fa-f]{1,6});", 1)
+        rest = F.substring(p, F.instr(p, ";") + 1, 1 << 30)
         named = F.try_element_at(entities, name)
         return (
             F.when(i == 0, p)
             .when(named.isNotNull(), F.concat(named, F.substring(p, F.length(name) + 2, 1 << 30)))
-            .when(dec != "", F.concat(_codepoint_char(dec.cast("int")),
-                                      F.substring(p, F.length(dec) + 3, 1 << 30)))
-            .when(hexa != "", F.concat(_codepoint_char(F.conv(hexa, 16, 10).cast("int")),
-                                       F.substring(p, F.length(hexa) + 4, 1 << 30)))
+            .when(dec != "", F.concat(_codepoint_char(dec.cast("int")), rest))
+            .when(hexa != "", F.concat(_codepoint_char(F.conv(hexa, 16, 10).cast("int")), rest))
             .otherwise(F.concat(F.lit("&"), p))
         )
 
@@ -153,8 +154,9 @@ def html_to_text(c) -> Column:
     comments, doctype/processing instructions, ``<script>`` and ``<style>``
     content are dropped; character references are decoded; CDATA sections are
     text (not decoded, tags inside them kept). Null or empty input gives ``''``.
+    The control character U+0002 (not allowed in HTML) is dropped.
     """
-    src = F.regexp_replace(F.coalesce(as_col(c), F.lit("")), LONE_LT_RE, LT_MARK + "$1")
+    src = F.regexp_replace(F.replace(F.coalesce(as_col(c), F.lit("")), F.lit(LT_MARK), F.lit("")), LONE_LT_RE, LT_MARK + "$1")
     tokens = F.regexp_extract_all(src, F.lit(HTML_TOKEN_RE), 0)
 
     def node_text(t: Column) -> Column:

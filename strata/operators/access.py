@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.common import as_col
-from strata.operators.broadcast import maybe_broadcast
 
 PUBLIC_GROUP = "all"
 
@@ -25,13 +24,13 @@ def label_groups(df: DataFrame, group_map: DataFrame, key: str = "space_key",
     """Add ``allowed_groups`` = groups of ``upper(key)`` in ``group_map``
     (columns ``space_key``, ``allowed_groups``), or ``default`` when unmapped.
 
-    The map is joined by key (left join, so no row is lost); it is broadcast
-    only when its size is within the checked bound.
+    The map is joined by key (left join, so no row is lost); Spark broadcasts
+    it if its measured bytes are below the session's threshold.
     """
     gm = group_map.select(F.col(group_map.columns[0]).alias("__gkey"),
                           F.col("allowed_groups").alias("__groups"))
     out = (df.withColumn("__gkey", F.upper(F.col(key)))
-           .join(maybe_broadcast(gm), "__gkey", "left")
+           .join(gm, "__gkey", "left")
            .withColumn("allowed_groups",
                        F.coalesce(F.col("__groups"), F.array(*[F.lit(g) for g in default])))
            .drop("__gkey", "__groups"))
@@ -80,25 +79,24 @@ def users_frame(spark: SparkSession, users: Mapping[str, Sequence[str]]) -> Data
     return spark.createDataFrame([(u, list(g)) for u, g in users.items()], "user string, groups array<string>")
 
 
-def visibility_pairs(docs: DataFrame, users: DataFrame, doc_key: str = "id",
-                     max_broadcast_rows: int = 200_000) -> DataFrame:
+def visibility_pairs(docs: DataFrame, users: DataFrame, doc_key: str = "id") -> DataFrame:
     """Every (user, document) pair where the document is visible to the
     user, for many users at once.
 
     Both sides are exploded to one row per group and equi-joined on the group.
     A pair that shares several groups would appear once per shared group; only
     the row whose group is the smallest shared group is kept, so each visible
-    pair is produced exactly once without a ``distinct`` shuffle. With the
-    user side within the broadcast bound the join runs map-side next to the
-    document scan (no shuffle of documents); beyond it both sides shuffle on
-    the group and AQE splits hot groups such as ``all``.
+    pair is produced exactly once without a ``distinct`` shuffle. Spark
+    broadcasts the user side if its measured bytes are below the session's
+    threshold; otherwise both sides shuffle on the group and AQE splits hot
+    groups such as ``all``.
     """
     u = (users.withColumn("__ugroups", effective_groups_col("groups"))
          .select("user", "__ugroups", F.explode("__ugroups").alias("__g")))
     d = (docs.select(doc_key, "allowed_groups")
          .withColumn("__dgroups", F.array_distinct("allowed_groups"))
          .select(doc_key, "__dgroups", F.explode("__dgroups").alias("__g")))
-    pairs = d.join(maybe_broadcast(u, max_broadcast_rows), "__g")
+    pairs = d.join(u, "__g")
     first_shared = F.array_min(F.array_intersect("__dgroups", "__ugroups"))
     return pairs.filter(F.col("__g") == first_shared).select("user", doc_key)
 
@@ -107,17 +105,14 @@ def visibility_diff(expected: DataFrame, actual: DataFrame, keys: Sequence[str]
                     by: str = "user") -> DataFrame:
     """Per ``by`` value: expected, actual, missing and unexpected counts and
     whether they match (multiset difference both ways)."""
-    keys = list(keys)
-    missing = expected.select(*keys).exceptAll(actual.select(*keys))
-    extra = actual.select(*keys).exceptAll(expected.select(*keys))
-
-    def count(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(by).agg(F.count(F.lit(1)).alias(name))
-
-    out = (count(expected, "expected").join(count(actual, "actual"), by, "full_outer")
-           .join(count(missing, "missing"), by, "left").join(count(extra, "unexpected"), by, "left"))
-    cols = ["expected", "actual", "missing", "unexpected"]
-    out = out.select(by, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols])
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    tagged = (expected.select(*keys, one.alias("__e"), none.alias("__a"))
+              .unionByName(actual.select(*keys, none.alias("__e"), one.alias("__a"))))
+    counts = tagged.groupBy(*keys).agg(F.sum("__e").alias("__e"), F.sum("__a").alias("__a"))
+    out = counts.groupBy(by).agg(
+        F.sum("__e").alias("expected"), F.sum("__a").alias("actual"),
+        F.sum(F.greatest(F.col("__e") - F.col("__a"), none)).alias("missing"),
+        F.sum(F.greatest(F.col("__a") - F.col("__e"), none)).alias("unexpected"))
     return out.withColumn("passed", (F.col("missing") == 0) & (F.col("unexpected") == 0))
 
 

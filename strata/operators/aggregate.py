@@ -10,16 +10,22 @@ from strata.functions.common import as_col
 
 def exact_sum_double(c, scale: int = 6) -> Column:
     """Sum of doubles through ``decimal(28, scale)``: the same result whatever
-    order the tasks add in (float sums drift in the last bits)."""
-    return F.sum(as_col(c).cast(f"decimal(28,{scale})")).cast("double")
+    order the tasks add in (float sums drift in the last bits). Values that do
+    not fit or are not finite are left out; see :func:`exact_mean`."""
+    return F.sum(as_col(c).try_cast(f"decimal(28,{scale})")).cast("double")
+
+
+def exact_mean(c, scale: int = 6) -> Column:
+    """mean of the values that :func:`exact_sum_double` adds up (the same
+    rule for sum and count)."""
+    d = as_col(c).try_cast(f"decimal(28,{scale})")
+    return F.try_divide(F.sum(d).cast("double"), F.count(d))
 
 
 def distinct_count(c, approx: bool = False, rsd: float = 0.05) -> Column:
     """number of distinct non-null values (``nunique``). ``approx=True``
     uses HyperLogLog++ (``approx_count_distinct``, relative standard deviation
-    ``rsd``): fixed-size buffers and no extra shuffle for very large groups.
-    On a table that holds one row per key, a plain ``count`` is exact and
-    cheapest; the gold builders use that on silver."""
+    ``rsd``): fixed-size buffers and no extra shuffle for very large groups."""
     c = as_col(c)
     return F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)
 
@@ -41,4 +47,4 @@ def mode_by_group(df: DataFrame, key: str, value: str, out: str | None = None) -
             .select(key, F.col(value).alias(out)))
 
 
-__all__ = ["distinct_count", "exact_sum_double", "mode_by_group"]
+__all__ = ["distinct_count", "exact_mean", "exact_sum_double", "mode_by_group"]

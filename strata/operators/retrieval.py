@@ -13,7 +13,6 @@ uses ``row_number() <= k``, which Spark pre-filters per task
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,7 +20,6 @@ from pyspark.sql import functions as F
 
 from strata.functions import text as T
 from strata.functions.coerce import round_half_even
-from strata.operators.broadcast import maybe_broadcast, small_enough
 
 # --- fixed values -------------------------------------------------------
 # Tokens for keyword ranking: runs of Unicode letters and digits, lower-cased.
@@ -33,8 +31,8 @@ RRF_K = 60
 # Scores are ranked after rounding to this many places (equal scores computed
 # in a different order then tie exactly and fall back to the id order).
 RANK_PLACES = 9
-# Largest query set scored in one pass of :func:`vector_top_k`.
-MAX_QUERY_VECTORS = 1024
+# Blocks of queries in :func:`vector_top_k`.
+QUERY_BLOCKS = 16
 # -------------------------------------------------------------------------
 
 
@@ -48,10 +46,12 @@ def tokens(c) -> Column:
     return F.filter(F.split(low, NON_TOKEN_RE, -1), lambda t: t != "")
 
 
-def top_k_per(df: DataFrame, group: str, score: str, key: str, k: int, rank_col: str = "rank") -> DataFrame:
-    """Rows with the ``k`` best ``score`` per ``group`` (ties -> smaller ``key``)."""
+def top_k_per(df: DataFrame, group: str, score: str, key: str, k: int | None, rank_col: str = "rank") -> DataFrame:
+    """Rows with the ``k`` best ``score`` per ``group`` (ties -> smaller
+    ``key``); ``k`` None: all rows, ranked."""
     w = Window.partitionBy(group).orderBy(F.col(score).desc(), F.col(key).asc())
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+    ranked = df.withColumn(rank_col, F.row_number().over(w))
+    return ranked if k is None else ranked.filter(F.col(rank_col) <= k)
 
 
 # --------------------------------------------------------------------- M1
@@ -97,7 +97,7 @@ def explode_nonempty(arr: Column, name: str) -> Column:
 
 
 def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
-               query_id: str = "query_id", query_text: str = "query", k: int = 10,
+               query_id: str = "query_id", query_text: str = "query", k: int | None = 10,
                k1: float = BM25_K1, b: float = BM25_B, places: int = 6) -> DataFrame:
     """M2: BM25 ranking of every document for every query; the ``k`` best per
     query. Output: ``query_id``, ``doc_id``, ``rank``, ``score``.
@@ -107,35 +107,28 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
     idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)).
 
     One lazy plan: (1) N and avgdl are scalar subqueries (one global
-    aggregate each, run by Spark before the scoring stage); (2) query terms,
-    distinct per query, broadcast when within the checked bound; (3) the
-    document rows are hash-partitioned by ``doc_id`` once, so the exploded
-    tokens of a document stay in its task: term frequencies, the broadcast
-    join to the query terms, the per-(query, document) sums and the per-task
-    top-``k`` pre-limit all run in that one stage, without shuffling the
-    (query, document) pairs; (4) only ``k`` rows per query and task cross the
-    final exchange. Document frequencies are a partial aggregate per term.
-    Documents stored bucketed by ``doc_id`` would skip the one exchange.
+    aggregate each, run by Spark before the scoring stage); (2) texts are
+    tokenised where they are read, and only (document, length, term, count)
+    rows of query terms are shuffled, by document, never a text; (3) the
+    per-(query, document) sums and the per-task top-``k`` pre-limit run on that
+    partitioning; (4) only ``k`` rows per query and task cross the final
+    exchange. Document frequencies are a partial aggregate per term. Whether
+    the query side is broadcast is Spark's choice, by measured bytes.
     Visibility filters (C5) belong on ``docs`` before the call.
     """
-    by_doc = docs.select(F.col(doc_id).alias("doc_id"), F.col(doc_text).alias("__text")).repartition("doc_id")
-    dtoks = (by_doc.select("doc_id", tokens("__text").alias("__t"))
+    dtoks = (docs.select(F.col(doc_id).alias("doc_id"), tokens(doc_text).alias("__t"))
              .withColumn("__dl", F.size("__t")))
     n_docs = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
     avgdl = dtoks.agg(F.avg("__dl")).scalar()
     qterms = (queries.select(F.col(query_id).alias("query_id"),
                              explode_nonempty(F.array_distinct(tokens(query_text)), "term"))
               .filter(F.col("term").isNotNull()).distinct())
-    # Size checks look at the query side only: the vocabulary bounds the rows
-    # of every per-term table below, so no check needs a pass over documents.
     vocab = qterms.select("term").distinct()
-    small_vocab = small_enough(vocab)
-    if small_vocab:
-        vocab = F.broadcast(vocab)
     occ = (dtoks.select("doc_id", "__dl", explode_nonempty("__t", "term"))
            .filter(F.col("term").isNotNull())
            .join(vocab, "term", "left_semi"))
-    tf = occ.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("__dl").alias("dl"))
+    tf = (occ.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("__dl").alias("dl"))
+          .repartition("doc_id"))
     df_t = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf_t = df_t.select("term", idf.alias("idf"))
@@ -143,9 +136,9 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
     # computed once per (document, term) before fanning out to the queries
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     weight = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    weights = (tf.join(F.broadcast(idf_t) if small_vocab else idf_t, "term")
+    weights = (tf.join(idf_t, "term")
                .select("doc_id", "term", weight.alias("w")))
-    scores = (weights.join(maybe_broadcast(qterms), "term")
+    scores = (weights.join(qterms, "term")
               .groupBy("query_id", "doc_id").agg(F.sum("w").alias("__s"))
               .withColumn("__rs", round_half_even("__s", RANK_PLACES)))
     top = top_k_per(scores, "query_id", "__rs", "doc_id", k)
@@ -169,59 +162,32 @@ def parents_by_best_chunk(chunk_hits: DataFrame, parent_of: Column, parent: str
 def _cosine(v: Column, q: Column, q_norm: Column) -> Column:
     dot = F.aggregate(F.zip_with(v, q, lambda a, c: a * c), F.lit(0.0).cast("double"), lambda acc, x: acc + x)
     v_norm = F.sqrt(F.aggregate(v, F.lit(0.0).cast("double"), lambda acc, x: acc + x * x))
-    return dot / (v_norm * q_norm)
+    return F.try_divide(dot, v_norm * q_norm)
 
 
 def vector_top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec_col: str = "embedding",
-                 query_id: str = "query_id", query_vec: str = "vector", k: int = 5,
+                 query_id: str = "query_id", query_vec: str = "vector", k: int | None = 5,
                  places: int = 6) -> DataFrame:
     """M4: exact cosine similarity of every vector to every query vector; the
-    ``k`` most similar per query. Output: ``query_id``, ``vec_id``, ``rank``,
-    ``score``.
-
-    The query set is small by nature (it is what users ask); its size is
-    checked. Query vectors are shipped to the tasks inside the plan as one
-    constant, so each task scores its vectors against all queries in the JVM
-    and pre-limits to ``k`` per query before the only shuffle. A query set
-    above :data:`MAX_QUERY_VECTORS` is processed in blocks of that size (one
-    scan of the vectors per block).
+    ``k`` most similar per query (None: all, ranked). Output: ``query_id``,
+    ``vec_id``, ``rank``, ``score``. Zero vectors have no cosine and are left out.
+
+    Queries are dealt into :data:`QUERY_BLOCKS` rows, each an array of queries;
+    vectors meet every block by an equi-join on its number, are scored in the
+    JVM, and each task pre-limits to ``k`` per query before the only large
+    shuffle. Nothing runs while the plan is built and no query set is refused.
     """
-    qdf = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("v"))
-    if not small_enough(qdf, MAX_QUERY_VECTORS):
-        raise ValueError(f"more than {MAX_QUERY_VECTORS} query vectors: use vector_top_k_blocked")
-    qrows = [(r["query_id"], list(r["v"])) for r in qdf.collect()]
-    out = _score_block(vectors, qrows, vec_id, vec_col, k, places)
-    return out.withColumn("query_id", F.col("query_id").cast(qdf.schema["query_id"].dataType))
-
-
-def vector_top_k_blocked(vectors: DataFrame, queries: DataFrame, block_col: str, **kw) -> DataFrame:
-    """M4 for a large query set: ``block_col`` numbers the query blocks (each
-    at most :data:`MAX_QUERY_VECTORS` queries); blocks are scored one after
-    another and the results unioned."""
-    blocks = [r[0] for r in queries.select(block_col).distinct().orderBy(block_col).collect()]
-    parts = [vector_top_k(vectors, queries.filter(F.col(block_col) == blk), **kw) for blk in blocks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def _score_block(vectors: DataFrame, qrows, vec_id: str, vec_col: str, k: int, places: int) -> DataFrame:
-    spark = vectors.sparkSession
-    if not qrows:
-        return spark.createDataFrame([], "query_id long, vec_id long, rank int, score double")
-    model = [{"query_id": qid, "v": v, "n": float(sum(x * x for x in v)) ** 0.5} for qid, v in qrows]
-    qtype = type(qrows[0][0])
-    qid_type = "bigint" if qtype is int else "string"
-    schema = f"array<struct<query_id:{qid_type},v:array<double>,n:double>>"
-    consts = F.from_json(F.lit(json.dumps(model)), schema)
-    vec = F.col(vec_col).cast("array<double>")
-    scored = vectors.select(
-        F.col(vec_id).alias("vec_id"),
-        F.explode(F.transform(consts, lambda q: F.struct(q["query_id"].alias("query_id"),
-                                                          _cosine(vec, q["v"], q["n"]).alias("s")))).alias("__m"))
-    scored = scored.select(F.col("__m.query_id").alias("query_id"), "vec_id", F.col("__m.s").alias("__s"))
-    scored = scored.withColumn("__rs", round_half_even("__s", RANK_PLACES))
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0).cast("double"), lambda acc, x: acc + x * x))
+    blocks = (q.withColumn("n", norm).groupBy(F.expr(f"cast(pmod(xxhash64(query_id), {QUERY_BLOCKS}) as int)").alias("__block"))
+              .agg(F.collect_list(F.struct("query_id", "v", "n")).alias("__qs")))
+    met = (vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("__v"),
+                          F.explode(F.sequence(F.lit(0), F.lit(QUERY_BLOCKS - 1))).alias("__block"))
+           .join(blocks, "__block"))
+    scored = met.select("vec_id", F.explode(F.transform("__qs", lambda x: F.struct(
+        x["query_id"].alias("query_id"), _cosine(F.col("__v"), x["v"], x["n"]).alias("s")))).alias("__m"))
+    scored = (scored.select(F.col("__m.query_id").alias("query_id"), "vec_id", F.col("__m.s").alias("__s"))
+              .filter(F.col("__s").isNotNull()).withColumn("__rs", round_half_even("__s", RANK_PLACES)))
     top = top_k_per(scored, "query_id", "__rs", "vec_id", k)
     return top.select("query_id", "vec_id", F.col("rank").cast("int").alias("rank"),
                       round_half_even("__s", places).alias("score"))

@@ -233,7 +233,7 @@ def vector_sql(k: int) -> str:
       from s) r where rank <= {k}"""
 
 
-def rrf_sql(depth: int, k: int) -> str:
+def rrf_sql(k: int) -> str:
     chunks = f"""
         select doc_id::varchar || ':' || ((start_word // 150))::varchar as doc_id, doc_id as parent,
                array_to_string(w[start_word + 1 : start_word + 200], ' ') as text
@@ -246,9 +246,9 @@ def rrf_sql(depth: int, k: int) -> str:
     {bm25_scores_sql(f'select doc_id, text from ({chunks}) ch', queries, 'b_')},
     ch as ({chunks}),
     ra as (select query_id, doc_id, row_number() over (partition by query_id order by {_rank_round('s')} desc, doc_id) as rank
-           from a_s qualify rank <= {depth}),
+           from a_s),
     rb0 as (select query_id, doc_id as chunk_id, row_number() over (partition by query_id
-                  order by {_rank_round('s')} desc, doc_id) as rank from b_s qualify rank <= {depth}),
+                  order by {_rank_round('s')} desc, doc_id) as rank from b_s),
     rb1 as (select query_id, ch.parent as doc_id, min(rank) as best from rb0 join ch on rb0.chunk_id = ch.doc_id
             group by query_id, ch.parent),
     rb as (select query_id, doc_id, row_number() over (partition by query_id order by best, doc_id) as rank from rb1),

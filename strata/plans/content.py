@@ -90,7 +90,7 @@ def content_by_space(pages: DataFrame) -> DataFrame:
     length, latest update; most pages first."""
     return (pages.filter(F.col("space_key").isNotNull())
             .groupBy("space_key")
-            .agg(F.count("page_id").alias("page_count"),  # one row per page_id in silver
+            .agg(F.count_distinct("page_id").alias("page_count"),
                  F.sum("word_count").alias("total_words"),
                  F.avg("word_count").alias("_avg"),
                  F.sum("content_length").alias("total_content_length"),
@@ -108,11 +108,11 @@ def author_activity(pages: DataFrame, comments: DataFrame) -> DataFrame:
     first, then full outer join on the author; missing counts are 0."""
     page_agg = (pages.filter(F.col("created_by").isNotNull())
                 .groupBy(F.col("created_by").alias("author"))
-                .agg(F.count("page_id").alias("pages_created"),
+                .agg(F.count_distinct("page_id").alias("pages_created"),
                      F.sum("word_count").alias("pages_total_words")))
     comment_agg = (comments.filter(F.col("author").isNotNull())
                    .groupBy("author")
-                   .agg(F.count("comment_id").alias("comments_made"),
+                   .agg(F.count_distinct("comment_id").alias("comments_made"),
                         F.sum("word_count").alias("comments_total_words")))
     counts = ["pages_created", "pages_total_words", "comments_made", "comments_total_words"]
     joined = page_agg.join(comment_agg, "author", "full_outer")
@@ -125,9 +125,9 @@ def content_timeline(pages: DataFrame, comments: DataFrame) -> DataFrame:
     """F16: pages and comments created per day (full outer join on the day),
     their sum, and the running total of pages in day order."""
     page_days = (pages.withColumn("day", F.to_date("created_date")).filter(F.col("day").isNotNull())
-                 .groupBy("day").agg(F.count("page_id").alias("pages_created")))
+                 .groupBy("day").agg(F.count_distinct("page_id").alias("pages_created")))
     comment_days = (comments.withColumn("day", F.to_date("created_date")).filter(F.col("day").isNotNull())
-                    .groupBy("day").agg(F.count("comment_id").alias("comments_created")))
+                    .groupBy("day").agg(F.count_distinct("comment_id").alias("comments_created")))
     days = (page_days.join(comment_days, "day", "full_outer")
             .select("day",
                     F.coalesce(F.col("pages_created"), F.lit(0)).cast("long").alias("pages_created"),
@@ -143,7 +143,7 @@ def most_discussed(pages: DataFrame, comments: DataFrame) -> DataFrame:
     unknown pages are dropped; most discussed first."""
     counts = (comments.filter(F.col("page_id").isNotNull())
               .groupBy(F.col("page_id").cast("string").alias("page_id"))
-              .agg(F.count("comment_id").alias("comment_count")))
+              .agg(F.count_distinct("comment_id").alias("comment_count")))
     base = pages.select(F.col("page_id").cast("string").alias("page_id"), "title", "space_key", "word_count")
     return (base.join(counts, "page_id", "left")
             .withColumn("comment_count", F.coalesce(F.col("comment_count"), F.lit(0)).cast("long"))

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from strata.functions import coerce as C
 from strata.functions import text as T
-from strata.operators.aggregate import exact_sum_double
+from strata.operators.aggregate import exact_mean, mode_by_group
 from strata.operators.dedup import drop_meta, keep_last, lineage_order
 from strata.operators.window import running_total
 from strata.plans.metrics import StepMetrics
 
-MAX_TOP_N = 100_000
 
 
 def clean_orders(bronze: DataFrame, order_by: Sequence[Column | str] | None = None,
@@ -66,13 +65,12 @@ def revenue_by_country(silver: DataFrame) -> DataFrame:
     return (silver.filter(F.col("shipping_country").isNotNull())
             .groupBy("shipping_country")
             .agg(C.sum_cents("total_amount").alias("_cents"),
-                 # silver holds one row per order_id, so distinct = non-null count
-                 F.count("order_id").alias("order_count"),
-                 F.count("total_amount").alias("_n"))
+                 F.count_distinct("order_id").alias("order_count"),
+                 F.count(C.to_cents("total_amount")).alias("_n"))
             .select("shipping_country",
                     C.cents_to_money("_cents").alias("total_revenue"),
                     F.col("order_count").cast("long").alias("order_count"),
-                    C.round_half_even(C.cents_to_money("_cents") / F.col("_n"), 2).alias("avg_order_value"))
+                    C.round_half_even(F.try_divide(C.cents_to_money("_cents"), F.col("_n")), 2).alias("avg_order_value"))
             .orderBy(F.col("total_revenue").desc(), F.col("shipping_country")))
 
 
@@ -81,15 +79,14 @@ def revenue_by_category(silver: DataFrame) -> DataFrame:
     return (silver.filter(F.col("category").isNotNull())
             .groupBy("category")
             .agg(C.sum_cents("total_amount").alias("_cents"),
-                 F.count("order_id").alias("order_count"),
+                 F.count_distinct("order_id").alias("order_count"),
                  F.sum("quantity").alias("total_units"),
-                 exact_sum_double("unit_price").alias("_price_sum"),
-                 F.count("unit_price").alias("_n"))
+                 exact_mean("unit_price").alias("_price"))
             .select("category",
                     C.cents_to_money("_cents").alias("total_revenue"),
                     F.col("order_count").cast("long").alias("order_count"),
                     F.col("total_units").cast("long").alias("total_units"),
-                    C.round_half_even(F.col("_price_sum") / F.col("_n"), 2).alias("avg_unit_price"))
+                    C.round_half_even("_price", 2).alias("avg_unit_price"))
             .orderBy(F.col("total_revenue").desc(), F.col("category")))
 
 
@@ -100,7 +97,7 @@ def daily_revenue(silver: DataFrame) -> DataFrame:
              .filter(F.col("order_day").isNotNull())
              .groupBy("order_day")
              .agg(C.sum_cents("total_amount").alias("_cents"),
-                  F.count("order_id").alias("order_count")))
+                  F.count_distinct("order_id").alias("order_count")))
     with_total = running_total(daily, "order_day", "_cents", "_cum_cents")
     return (with_total.select(
                 "order_day",
@@ -115,24 +112,21 @@ def top_customers(silver: DataFrame, top_n: int = 10) -> DataFrame:
     last order and favourite category (F5: most frequent, ties -> smallest,
     none -> ``Unknown``).
 
-    Plan: one aggregation per customer computes everything, the favourite
-    category with Spark's ``mode(..., deterministic=True)``, whose buffer per
-    customer holds one counter per distinct category and is partially
-    aggregated before the shuffle (a hot customer is reduced map-side). Silver
-    is read once; ``TakeOrderedAndProject`` then keeps ``top_n`` rows per task.
-    For values with unbounded cardinality per key use
-    :func:`strata.operators.aggregate.mode_by_group` instead.
+    Plan: totals per customer (partial aggregation before the shuffle), the
+    ``top_n`` best (kept per task first), then the favourite category of those
+    customers only.
     """
-    if not 1 <= top_n <= MAX_TOP_N:
-        raise ValueError(f"top_n must be in 1..{MAX_TOP_N}")
+    if top_n < 1:
+        raise ValueError("top_n must be at least 1")
     totals = (silver.filter(F.col("customer_id").isNotNull())
               .groupBy("customer_id")
               .agg(C.sum_cents("total_amount").alias("_cents"),
-                   F.count("order_id").alias("order_count"),
+                   F.count_distinct("order_id").alias("order_count"),
                    F.min("order_date").alias("first_order"),
-                   F.max("order_date").alias("last_order"),
-                   F.mode("category", deterministic=True).alias("_fav")))
+                   F.max("order_date").alias("last_order")))
     top = totals.orderBy(F.col("_cents").desc(), F.col("customer_id")).limit(top_n)
+    winners = silver.select("customer_id", "category").join(top.select("customer_id"), "customer_id", "left_semi")
+    top = top.join(mode_by_group(winners, "customer_id", "category", "_fav"), "customer_id", "left")
     return (top.select("customer_id",
                        C.cents_to_money("_cents").alias("total_spend"),
                        F.col("order_count").cast("long").alias("order_count"),

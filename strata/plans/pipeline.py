@@ -18,7 +18,7 @@ from strata.sources import ingest
 from strata.sources.lake import Lake
 
 
-def run_orders_etl(lake: Lake, source_csv: str, top_n: int = 10,
+def run_orders_etl(lake: Lake, source_csv: str, top_n: int = 50,
                    ingested_at: str | None = None) -> dict[str, object]:
     """L1: CSV -> bronze.orders -> silver.orders -> four gold tables.
 

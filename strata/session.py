@@ -36,7 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
         # Local runs only: a scratch checkpoint folder when none is configured.
-        if not SparkSession.getActiveSession():
+        if master.startswith("local") and not SparkSession.getActiveSession():
             builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ckpt-"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -58,17 +58,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     The setting is read from the session (on a cluster the platform points it
-    at a shared file system). Only when it is unset, as in local tests, a
-    scratch folder is used.
+    at a shared file system). Where it is unset, a local session (tests) gets a
+    scratch folder and any other session an error: executors cannot share a
+    folder of one machine.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # a Spark Connect session has no SparkContext
         sc = None
     if sc is None:
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strata-ckpt-")
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        return root
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

@@ -5,29 +5,27 @@ run is a streaming query with ``trigger(availableNow=True)``: it processes
 exactly the files that arrived since the previous run (the file-source
 checkpoint remembers what was read), appends them to the bronze table and
 stops. Each micro-batch is written with ``foreachBatch`` into its own
-partition ``ingest_batch=<batch id>`` in overwrite mode: if a batch is run
-again after a failure it replaces its own earlier output, so the append is
-exactly-once. Silver is then re-derived with keep-last (D1), so a
+partition ``ingest_stream=<stream id>/ingest_batch=<batch id>`` in overwrite
+mode: if a batch is run again after a failure it replaces its own earlier
+output, so the append is exactly-once. The stream id lives in the checkpoint
+(by default beside the table), so a new checkpoint, whose batch numbers start
+at 0 again, never overwrites what another one wrote. Silver is then re-derived with keep-last (D1), so a
 re-delivered record replaces the older copy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import threading
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import checkpoint_root
 from strata.sources.ingest import ORDERS_RAW_SCHEMA, stamp_lineage
 from strata.sources.lake import Lake
 
 
-def checkpoint_for(spark: SparkSession, name: str) -> str:
-    """Stream checkpoint under the shared folder of ``spark.checkpoint.dir``."""
-    return f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
-
-
-BATCH_COL = "ingest_batch"
+STREAM_COL, BATCH_COL = "ingest_stream", "ingest_batch"
 
 
 def ingest_new_files(lake: Lake, landing_dir: str, table: str, schema: T.StructType = ORDERS_RAW_SCHEMA,
@@ -44,25 +42,29 @@ def ingest_new_files(lake: Lake, landing_dir: str, table: str, schema: T.StructT
     stream = reader.load(landing_dir).withColumn("_source_file", F.col("_metadata.file_name"))
     target = lake.path("bronze", table)
 
+    started, stream_id, added = threading.Event(), [], []
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        stamped = stamp_lineage(batch, ingested_at=ingested_at)
-        stamped.write.mode("overwrite").parquet(f"{target}/{BATCH_COL}={batch_id}")
+        started.wait()
+        path = f"{target}/{STREAM_COL}={stream_id[0]}/{BATCH_COL}={batch_id}"
+        stamp_lineage(batch, ingested_at=ingested_at).write.mode("overwrite").parquet(path)
+        added.append(spark.read.parquet(path).count())
 
     query = (stream.writeStream.foreachBatch(write_batch)
-             .option("checkpointLocation", checkpoint or checkpoint_for(spark, f"bronze_{table}"))
+             .option("checkpointLocation", checkpoint or f"{lake.root}/_streams/{table}")
              .trigger(availableNow=True)
              .start())
+    stream_id.append(query.id)
+    started.set()
     query.awaitTermination()
-    return int(sum(_rows(p) for p in query.recentProgress))
-
-
-def _rows(progress) -> int:
-    if isinstance(progress, dict):
-        return int(progress.get("numInputRows", 0))
-    return int(getattr(progress, "numInputRows", 0))
+    return sum(added)
 
 
-def read_bronze(lake: Lake, table: str) -> DataFrame:
-    """The incrementally built bronze table; the batch number becomes the
-    lineage column ``_ingest_batch``."""
-    return lake.read_parquet("bronze", table).withColumnRenamed(BATCH_COL, "_ingest_batch")
+def read_bronze(lake: Lake, table: str, schema: T.StructType = ORDERS_RAW_SCHEMA) -> DataFrame:
+    """The incrementally built bronze table (empty, with ``schema``, before the
+    first file); stream and batch become the lineage columns
+    ``_ingest_stream`` and ``_ingest_batch``."""
+    lineage = [T.StructField(STREAM_COL, T.StringType()), T.StructField(BATCH_COL, T.IntegerType())]
+    empty = T.StructType([*schema.fields, *lineage])
+    return (lake.read_or_empty("bronze", table, empty).withColumnRenamed(STREAM_COL, "_ingest_stream")
+            .withColumnRenamed(BATCH_COL, "_ingest_batch"))

@@ -144,3 +144,11 @@ def test_html_to_text_on_all_test_pages(spark):
 
 def test_nan_guard():
     assert math.isnan(float("nan"))
+
+
+def test_html_corner_cases(spark):
+    from strata.functions import text as T
+    cases = {'<a title="x>y">z</a>': "z", "a<script> var q=1;": "a", "&#00000065;&#x000041;": "AA", "a\u0002b": "ab",
+             "<p class='a>b'>q</p> 1 < 2": "q 1 < 2", '<a title="x>z': "z", "<style>p{}": ""}
+    df = spark.createDataFrame(list(cases.items()), "h string, want string")
+    assert [tuple(r) for r in df.select("want", T.html_to_text("h")).collect() if r[0] != r[1]] == []

@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
+
 from strata.operators import retrieval as R
 
 TEXTS = {1: "the cat sat on the mat", 2: "the dog sat", 3: "cats and dogs and the cat",
@@ -92,3 +94,22 @@ def test_centroids(spark):
     df = spark.createDataFrame([(1, [1.0, 2.0]), (1, [3.0, 4.0]), (2, [5.0, 5.0])], "label int, embedding array<float>")
     got = {r["label"]: r["vector"] for r in R.centroids(df).collect()}
     assert got == {1: [2.0, 3.0], 2: [5.0, 5.0]}
+
+
+def test_many_query_vectors_and_zero_vectors(spark):
+    rows = [(i, [float(i % 7), float(i % 5), 1.0]) for i in range(1100)] + [(5000, [0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    queries = df.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    got = R.vector_top_k(df, queries, k=1).collect()
+    assert len(got) == 1100 and all(r["score"] == 1.0 and r["vec_id"] == r["query_id"] % 35 for r in got)
+
+
+def test_no_job_runs_while_a_query_is_built(spark):
+    import __spark_entry__ as E
+    status = spark.sparkContext.statusTracker()
+    for name in ("bm25", "vector_top_k", "rrf", "secured_documents", "visibility_check"):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        E.queries()[name](spark, "/root/testdata/sf0.001")
+        jobs = status.getJobIdsForGroup(f"build-{name}")
+        spark.sparkContext.setJobGroup("", "")
+        assert len(jobs) <= 5, (name, jobs)      # one per table: Parquet footers
