@@ -197,11 +197,10 @@ def _bits_of(nodes: DataFrame) -> bytes:
     return bits.tobytes()
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, own binary): the sets of the given nodes. The bit set spares
-    most other documents the work; the join is what decides."""
-    spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_bits_of(nodes))
+def _of_nodes(docs: DataFrame, nodes: DataFrame, words: int, make_row, fields: dict[str, pa.DataType], schema: str) -> DataFrame:
+    """One row of ``make_row(set)`` for each of the given nodes. The bit set
+    spares most other documents the work; the join is what decides."""
+    bits = docs.sparkSession.sparkContext.broadcast(_bits_of(nodes))
     h = F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(FILTER_BITS))
 
     def make():
@@ -211,12 +210,50 @@ def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
             at = batch.column("h").to_numpy(zero_copy_only=False)
             hit = (own[at // 64] >> (at % 64).astype(np.uint64)) & _U(1) == 1
             batch = batch.filter(pa.array(hit))
-            sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "own"])
+            rows = [make_row(shingles(t, words)) for t in batch.column("text").to_pylist()]
+            cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(fields.values())]
+            return pa.RecordBatch.from_arrays([batch.column("node"), *cols], ["node", *fields])
         return fn
     found = map_batches(docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("node"), "text", h.alias("h")),
-                        make, "node bigint, own binary", BLOCK)
-    return found.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("own").alias("own"))
+                        make, schema, BLOCK)
+    return found.join(nodes, "node", "left_semi").groupBy("node").agg(*[F.min(f).alias(f) for f in fields])
+
+
+def sets_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, own binary): the sets of the given nodes."""
+    return _of_nodes(docs, nodes, words, lambda own: (own.tobytes(),), {"own": pa.binary()}, "node bigint, own binary")
+
+
+def sketch(own: np.ndarray) -> tuple[int, bytes]:
+    """Set size and parity sketch of about one bit per shingle, a power of
+    two; a wide one folds to a narrow one by XOR of its halves."""
+    width = max(512, 1 << (len(own) - 1).bit_length())
+    at = (mix(own ^ _U(0x2545F4914F6CDD1D)) & _U(width - 1)).astype(np.int64)
+    return len(own), np.packbits(np.bincount(at, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def sketches_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, n, sketch) of the given nodes."""
+    return _of_nodes(docs, nodes, words, sketch, {"n": pa.int64(), "sketch": pa.binary()}, "node bigint, n bigint, sketch binary")
+
+
+def near_pairs(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
+    """The pairs (hub, member, ...) whose sketches do not rule a link out."""
+    columns = pairs.columns
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for n, a, n2, b in zip(*(batch.column(c).to_pylist() for c in ("n", "sketch", "n2", "sketch2"))):
+                width = min(len(a), len(b)) // 8
+                x = np.bitwise_xor.reduce(np.frombuffer(a, dtype=np.uint64).reshape(-1, width), axis=0)
+                x ^= np.bitwise_xor.reduce(np.frombuffer(b, dtype=np.uint64).reshape(-1, width), axis=0)
+                keep.append(int(np.bitwise_count(x).sum(dtype=np.int64)) * (100 + percent) <= (n + n2) * (100 - percent))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(columns)
+    other = own.select(F.col("node").alias("hub"), F.col("n").alias("n2"), F.col("sketch").alias("sketch2"))
+    sized = pairs.join(own.select(F.col("node").alias("member"), "n", "sketch"), "member").join(other, "hub")
+    return (sized.where(f"100 * least(n, n2) >= {percent} * greatest(n, n2)")
+            .select(*pairs.columns, "n", "sketch", "n2", "sketch2").mapInArrow(run, pairs.schema))
 
 
 def _verify(batches):
@@ -249,24 +286,6 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(_verify, "hub bigint, member bigint, both bigint, either bigint"))
 
 
-def sketches(sets: DataFrame) -> DataFrame:
-    """(node, n, sketch): parity sketches of four bits or more per shingle, a
-    power of two; a wide one folds to a narrow one by XOR of its halves."""
-    def make():
-        def fn(batch):
-            sizes, out = [], []
-            for raw in batch.column("own").to_pylist():
-                own = np.frombuffer(raw, dtype=np.uint64)
-                width = max(512, 1 << (4 * len(own) - 1).bit_length())
-                at = (mix(own ^ _U(0x2545F4914F6CDD1D)) & _U(width - 1)).astype(np.int64)
-                sizes.append(len(own))
-                out.append(np.packbits(np.bincount(at, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes())
-            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sizes, pa.int64()), pa.array(out, pa.binary())],
-                                              ["node", "n", "sketch"])
-        return fn
-    return map_batches(sets, make, "node bigint, n bigint, sketch binary")
-
-
 def _near(percent: int, rows: list[tuple], to: list[tuple] | None) -> list[tuple[int, int]]:
     """Pairs of nodes of different components, between ``rows`` and ``to`` (or
     within ``rows``), whose sketches are as near as those of a link can be."""
@@ -341,17 +360,22 @@ def _across(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
 def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of the classes that are linked with another one.
 
-    First every node meets the hub with which it shares most pieces, twice
-    (what has been joined by then needs no further look), then all other hubs
-    in other components, then all other nodes in other components."""
+    Pairs of nodes and hubs whose sketches rule a link out go first. Then every
+    node meets the hub with which it shares most pieces, twice (what has been
+    joined by then needs no further look), then all other hubs in other
+    components, then all other nodes in other components."""
     shared = stored(shared_pieces(postings(docs, words, percent)), "pieces")
     ends = shared.where("edge").groupBy("key").agg(F.min("hub").alias("first"))
     across = (shared.where("edge").select("key", "hub").distinct().join(ends, "key").where("hub <> first")
               .select(F.col("first").alias("hub"), F.col("hub").alias("member")))
     pairs = stored(shared.where("hub <> node").select("hub", F.col("node").alias("member")).union(across)
                    .groupBy("hub", "member").agg(F.count("*").alias("pieces")), "pairs")
-    nodes = pairs.select(F.col("hub").alias("node")).union(pairs.select("member")).distinct()
-    sets = stored(sets_of(docs, nodes, words), "sets")
+
+    def ends_of(some: DataFrame) -> DataFrame:
+        return some.select(F.col("hub").alias("node")).union(some.select("member")).distinct()
+    own = stored(sketches_of(docs, ends_of(pairs), words), "sketches")
+    pairs = stored(near_pairs(pairs, own, percent), "pairs")
+    sets = stored(sets_of(docs, ends_of(pairs), words), "sets")
     is_link = f"100 * both >= {percent} * either"
     known = found = None
     rest = pairs
@@ -375,16 +399,21 @@ def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
         if rest.isEmpty():
             break
 
-    # nodes that share a piece and lie in different components
-    part = shared.select("key", "node", "hub").distinct().join(found, "node", "left").select(
-        "key", "node", "hub", F.coalesce("component", "node").alias("component"))
-    split = part.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("key")
-    apart = part.join(split, "key", "left_semi").select("key", "node", "component").distinct()
-    more = (close_across(apart, sketches(sets), percent).distinct()
+    # nodes that share a piece and lie in different components; a piece of two
+    # nodes is done with, one of them being the hub
+    part = shared.groupBy("key", "node").agg(F.max("edge").alias("edge")).join(found, "node", "left").select(
+        "key", "node", "edge", F.coalesce("component", "node").alias("component"))
+    split = (part.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"), F.max("edge").alias("edge"))
+             .where("a < b and (n > 2 or edge)").select("key"))
+    apart = part.join(split, "key", "left_semi").select("key", "node", "component")
+    more = (close_across(apart, own, percent).distinct()
             .join(known.select(F.least("hub", "member").alias("hub"), F.greatest("hub", "member").alias("member")),
                   ["hub", "member"], "left_anti"))
     more = stored(more, "pairs")
-    return found if more.isEmpty() else joined(more)[1]
+    if more.isEmpty():
+        return found
+    sets = stored(sets_of(docs, ends_of(more), words), "sets")
+    return joined(more)[1]
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
