@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.llm.common import map_batches, read, stored
 
@@ -169,21 +170,24 @@ def search(base: DataFrame, codes: Codes | None, queries: DataFrame, k: int) ->
     blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-q // BLOCK))
     left = (base.withColumn("block", F.expr(f"pmod(xxhash64(row), {blocks})"))
             .withColumn("against", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
-    right = (queries.withColumn("against", F.expr(f"cast(pmod(xxhash64(row), {query_blocks}) as int)"))
+    right = (queries.select(*[F.col(c).alias(f"q_{c}") for c in ("row", "id", "code", "v")])
+             .withColumn("against", F.expr(f"cast(pmod(xxhash64(q_row), {query_blocks}) as int)"))
              .withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)"))))
     radius = codes.radius if codes else 0
+    ids = to_arrow_type(base.schema["id"].dataType)
 
     def matrix(table, name, kind):
         return np.array([np.frombuffer(x, dtype=kind) for x in table.column(name).to_pylist()])
 
     def block(key, rows: pa.Table, asked: pa.Table) -> pa.Table:
-        found = []
-        if rows.num_rows and asked.num_rows:
-            found = search_block(radius, k, rows.column("row").to_numpy(), rows.column("id").to_numpy(), matrix(rows, "code", np.uint8),
-                                 matrix(rows, "v", np.float64), asked.column("row").to_numpy(), matrix(asked, "code", np.uint8),
-                                 matrix(asked, "v", np.float64))
+        if not rows.num_rows or not asked.num_rows:
+            return pa.table({"query_row": pa.array([], pa.int64()), "query_id": pa.array([], ids), "row": pa.array([], pa.int64()),
+                             "vec_id": pa.array([], ids), "score": pa.array([], pa.float64())})
+        found = search_block(radius, k, rows.column("row").to_numpy(), rows.column("id").to_numpy(), matrix(rows, "code", np.uint8),
+                                 matrix(rows, "v", np.float64), asked.column("q_row").to_numpy(), matrix(asked, "q_code", np.uint8),
+                                 matrix(asked, "q_v", np.float64))
         a, b = pa.array([i for i, _, _ in found], pa.int64()), pa.array([j for _, j, _ in found], pa.int64())
-        return pa.table({"query_row": asked.column("row").take(a), "query_id": asked.column("id").take(a),
+        return pa.table({"query_row": asked.column("q_row").take(a), "query_id": asked.column("q_id").take(a),
                          "row": rows.column("row").take(b), "vec_id": rows.column("id").take(b),
                          "score": pa.array([float(d) for _, _, d in found], pa.float64())})
     found = (left.groupBy("block", "against").cogroup(right.groupBy("block", "against"))
