@@ -169,8 +169,8 @@ def spans(automaton: SuffixAutomaton, labels: list[str], words: list[bytes]) ->
                     grown = k
             if grown is None:
                 chains.append((a, b, at + b - a, b - a))
-            else:
-                first, _, _, covered = chains[grown]
+            else:                                # the chain moves to the end: chains stay in order of their ends
+                first, _, _, covered = chains.pop(grown)
                 chains.append((first, b, at + b - a, covered + b - a))
         best = [(c / size, first, end) for first, end, _, c in chains if c >= need * size]
         out += [(first, end - 1, labels[t], min(1.0, share)) for share, first, end in best]
@@ -183,10 +183,11 @@ def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     out = []
     for phrase, label in PHRASES.items():
         want = b" " + phrase.encode() + b" "
-        at = line.find(want)
+        at, counted, word = line.find(want), 0, 0
         while at >= 0:
-            out.append((line.count(b" ", 0, at), label))
-            at = line.find(want, at + 1)
+            word += line.count(b" ", counted, at)
+            out.append((word, label))
+            counted, at = at, line.find(want, at + 1)
     return sorted(out)
 
 

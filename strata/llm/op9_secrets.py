@@ -87,12 +87,12 @@ def scan(text: str, count_tokens) -> list[tuple[int, int, str]]:
     spans = []
     if any(k in low for k in KEYWORDS):
         spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
-    runs = long_runs(raw)
     ascii_only = len(raw) == len(text)
     added = []
-    for a, b in runs:
+    at = seen = 0
+    for a, b in long_runs(raw):
         own = raw[a:b].decode()
-        at = a if ascii_only else len(raw[:a].decode())
+        at, seen = (a if ascii_only else at + len(raw[seen:a].decode())), a
         if "AKIA" in own:
             spans += [(at + m.start(), 1, at + m.end()) for m in ACCESS.finditer(own) if len(m[0]) >= 20]
         if b - a >= 24:
