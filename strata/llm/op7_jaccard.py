@@ -5,18 +5,22 @@ shingle flips one bit of the document's sketch, so the Hamming distance of two
 sketches never exceeds the symmetric difference of their sets. A sketch is cut
 into pieces of ``2^16`` bits; a piece is known by the XOR of the codes of its
 set bits. Within a band of set sizes a similarity of p % allows at most D
-differing shingles, so with D + 1 + ``SLACK`` pieces at least 1 + SLACK pieces
-agree (pigeonhole): sketches are joined on equal pieces, and the pairs are
-verified on the whole sets. Empty pieces are left out unless a sketch has more
-than SLACK of them, which keeps the argument intact.
+differing shingles, so with D + 1 + S pieces at least 1 + S pieces agree
+(pigeonhole): sketches are joined on equal pieces, and the pairs are verified
+on the whole sets. S, the slack, is a quarter of D, at least ``SLACK``. Empty
+pieces are left out unless a sketch has more than S of them, which keeps the
+argument intact; what they leave of S is the sketch's room (none if it has
+more empty ones): without its most frequent pieces, as many as its room, a
+sketch still shares a piece with every sketch of a link.
 
 Documents with equal sets form one class, represented by its smallest id
 before anything else happens. A piece shared by many classes never yields all
 pairs: postings are range-partitioned by (piece, node), so one piece may span
 tasks, and every task links a piece's nodes to the first one it holds (the
 firsts of one piece are linked among themselves). Links found this way give
-components; only nodes that share a piece and still lie in different
-components are then compared across: their sketches meet in blocks, and the
+components; only nodes that share a piece, not counting each one's most
+frequent pieces in its room, and still lie in different components are then
+compared across: their sketches meet in blocks, and the
 pairs whose Hamming distance does not rule a link out are verified. So no
 link between components is lost, and no piece yields rows for all its pairs.
 
@@ -29,13 +33,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_batches, mix, read, stored, word_hashes
 from strata.llm.graph import components
 
-SLACK = 2
+SLACK = 2                   # least slack of a band
 BAND_RATIO = 1.5
 BLOCK = 1_000_000           # bytes of text in work at a time
 FILTER_BITS = 1 << 23       # size of the bit set that thins out the second read
@@ -60,40 +64,56 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(x)
 
 
-def bands(percent: int, most: int) -> list[tuple[int, int]]:
-    """(smallest size, pieces) of the bands up to size ``most``."""
+def bands(percent: int, most: int) -> list[tuple[int, int, int]]:
+    """(smallest size, pieces, slack) of the bands up to size ``most``."""
     out, low = [], 1
     while low <= most:
         high = max(low + 1, int(low * BAND_RATIO))
         apart = 2 * (high - 1) * (100 - percent) // (100 + percent)
-        out.append((low, apart + 1 + SLACK))
+        slack = max(SLACK, apart // 4)
+        out.append((low, apart + 1 + slack, slack))
         low = high
     return out
 
 
-def sketch_keys(own: np.ndarray, percent: int, table: list[tuple[int, int]]) -> np.ndarray:
-    """Keys of the sketch's pieces in the band of the set's size, and in the
-    next band if a similar set can lie there."""
+def cut(own: np.ndarray, percent: int, table: list[tuple[int, int, int]]):
+    """(band, its slack, value of each piece, 0 if empty) for the band of the
+    set's size, and for the next band if a similar set can lie there."""
     n = len(own)
     if not n:
-        return np.empty(0, dtype=np.int64)
-    lows = [low for low, _ in table]
+        return
+    lows = [low for low, _, _ in table]
     band = int(np.searchsorted(lows, n, side="right")) - 1
-    out = []
     for i in (band, band + 1):
         if i > band and (i >= len(table) or 100 * n < percent * lows[i]):
             break
-        count = table[i][1]
+        _, count, slack = table[i]
         x = mix(own + _U(0xA0761D6478BD642F * (i + 1) % (1 << 64)))
         piece = ((x >> _U(32)) * _U(count)) >> _U(32)
         code = mix((piece << _U(16)) | (x & _U(0xFFFF)))
         value = np.zeros(count, dtype=np.uint64)
         np.bitwise_xor.at(value, piece.astype(np.int64), code)
-        filled = np.flatnonzero(value) if (value == 0).sum() <= SLACK else np.arange(count)
-        out.append(mix(value[filled] ^ mix(filled.astype(np.uint64) + _U(i << 40) + _U(1 << 60))))
+        yield i, slack, value
+
+
+def sketch_keys(own: np.ndarray, percent: int, table: list[tuple[int, int, int]]) -> np.ndarray:
+    """Keys of the sketch's pieces; the last bit is that of the band."""
+    out = [np.empty(0, dtype=np.uint64)]
+    for i, slack, value in cut(own, percent, table):
+        filled = np.flatnonzero(value) if (value == 0).sum() <= slack else np.arange(len(value))
+        key = mix(value[filled] ^ mix(filled.astype(np.uint64) + _U(i << 40) + _U(1 << 60)))
+        out.append((key & ~_U(1)) | _U(i & 1))
     return np.concatenate(out).view(np.int64)
 
 
+def rooms(own: np.ndarray, percent: int, table: list[tuple[int, int, int]]) -> tuple[int, int]:
+    """Room of the sketch in its even and in its odd band."""
+    out = [0, 0]
+    for i, slack, value in cut(own, percent, table):
+        out[i & 1] = max(0, slack - int((value == 0).sum()))
+    return tuple(out)
+
+
 def class_of(own: np.ndarray) -> tuple[int | None, int | None]:
     if not len(own):
         return None, None
@@ -232,9 +252,12 @@ def sketch(own: np.ndarray) -> tuple[int, bytes]:
     return len(own), np.packbits(np.bincount(at, minlength=width).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
-def sketches_of(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, n, sketch) of the given nodes."""
-    return _of_nodes(docs, nodes, words, sketch, {"n": pa.int64(), "sketch": pa.binary()}, "node bigint, n bigint, sketch binary")
+def sketches_of(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, n, sketch, room_even, room_odd) of the given nodes."""
+    table = bands(percent, 1 << 40)
+    return _of_nodes(docs, nodes, words, lambda own: (*sketch(own), *rooms(own, percent, table)),
+                     {"n": pa.int64(), "sketch": pa.binary(), "room_even": pa.int64(), "room_odd": pa.int64()},
+                     "node bigint, n bigint, sketch binary, room_even bigint, room_odd bigint")
 
 
 def near_pairs(pairs: DataFrame, own: DataFrame, percent: int) -> DataFrame:
@@ -320,7 +343,7 @@ def close_across(apart: DataFrame, own: DataFrame, percent: int) -> DataFrame:
     rows = (apart.join(sizes, "key").withColumn("block", block)
             .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
             .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "component")
-            .join(own, "node"))
+            .join(own.select("node", "n", "sketch"), "node"))
 
     def run(batches):
         held_key, held = None, []
@@ -373,7 +396,7 @@ def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     def ends_of(some: DataFrame) -> DataFrame:
         return some.select(F.col("hub").alias("node")).union(some.select("member")).distinct()
-    own = stored(sketches_of(docs, ends_of(pairs), words), "sketches")
+    own = stored(sketches_of(docs, ends_of(pairs), words, percent), "sketches")
     pairs = stored(near_pairs(pairs, own, percent), "pairs")
     sets = stored(sets_of(docs, ends_of(pairs), words), "sets")
     is_link = f"100 * both >= {percent} * either"
@@ -403,9 +426,14 @@ def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
     # nodes is done with, one of them being the hub
     part = shared.groupBy("key", "node").agg(F.max("edge").alias("edge")).join(found, "node", "left").select(
         "key", "node", "edge", F.coalesce("component", "node").alias("component"))
+    # and of a node's other pieces the most frequent ones in its room are left out
     split = (part.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("n"), F.max("edge").alias("edge"))
-             .where("a < b and (n > 2 or edge)").select("key"))
-    apart = part.join(split, "key", "left_semi").select("key", "node", "component")
+             .where("a < b and (n > 2 or edge)").select("key", F.col("n").alias("often")))
+    odd = F.pmod(F.col("key"), F.lit(2)).alias("odd")
+    place = F.row_number().over(Window.partitionBy("node", "odd").orderBy(F.desc("often"), "key"))
+    apart = stored(part.join(split, "key").join(own.select("node", "room_even", "room_odd"), "node")
+                   .select("key", "node", "component", odd, "often", F.expr("if(pmod(key, 2) = 1, room_odd, room_even)").alias("room"))
+                   .withColumn("place", place).where("place > room").select("key", "node", "component"), "apart")
     more = (close_across(apart, own, percent).distinct()
             .join(known.select(F.least("hub", "member").alias("hub"), F.greatest("hub", "member").alias("member")),
                   ["hub", "member"], "left_anti"))
