@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from strata.llm.common import stored
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x"),
-                    F.sum(F.expr("pmod(xxhash64(v, u), 1000003)")).alias("s")).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (u > v) has one edge down and none up,
+    or only edges up: the components can then be read off."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+            .union(edges.select("v", F.lit(0), F.lit(1))))
+    return not (ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+                .where("down + up > 1").agg(F.count("*")).first()[0])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,8 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
     split."""
     now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                  .where("u <> v").distinct(), "edges")
-    before = _state(now)
-    while before[0]:
+    while not _stars(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
@@ -31,9 +33,20 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         now = stored(small, "edges")
-        after = _state(now)
-        if after == before:
-            break
-        before = after
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("component"))
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def joined(found: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """The components ``found`` (node, component), joined by more ``edges``
+    (a bigint, b bigint). Only edges between components go through the rounds."""
+    if found is None:
+        return components(edges)
+    side = found.select(F.col("node").alias("a"), F.col("component").alias("a_component"))
+    other = found.select(F.col("node").alias("b"), F.col("component").alias("b_component"))
+    between = (edges.join(side, "a", "left").join(other, "b", "left")
+               .select(F.coalesce("a_component", "a").alias("a"), F.coalesce("b_component", "b").alias("b")))
+    new = stored(components(between), "components")
+    moved = new.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    return (found.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            .union(new.join(found, "node", "left_anti").select("node", "component")))

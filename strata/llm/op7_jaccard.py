@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_batches, mix, read, stored, word_hashes
-from strata.llm.graph import components
+from strata.llm.graph import joined
 
 SLACK = 2                   # least slack of a band
 BAND_RATIO = 1.5
@@ -370,10 +370,8 @@ def close_across(apart: DataFrame, own: DataFrame, percent: int) -> DataFrame:
             .select("key", "low", "high", "block", "node", "component", "n", "sketch").mapInArrow(run, "hub bigint, member bigint"))
 
 
-def _across(pairs: DataFrame, found: DataFrame | None) -> DataFrame:
+def _across(pairs: DataFrame, found: DataFrame) -> DataFrame:
     """The pairs (hub, member, ...) whose nodes lie in different components."""
-    if found is None:
-        return pairs
     side = found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
     other = found.select(F.col("node").alias("member"), F.col("component").alias("member_component"))
     return (pairs.join(side, "hub", "left").join(other, "member", "left")
@@ -384,9 +382,9 @@ def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of the classes that are linked with another one.
 
     Pairs of nodes and hubs whose sketches rule a link out go first. Then every
-    node meets the hub with which it shares most pieces, twice (what has been
-    joined by then needs no further look), then all other hubs in other
-    components, then all other nodes in other components."""
+    node meets the hub with which it shares most pieces (what has been joined by
+    then needs no further look), then all other hubs in other components, then
+    all other nodes in other components."""
     shared = stored(shared_pieces(postings(docs, words, percent)), "pieces")
     ends = shared.where("edge").groupBy("key").agg(F.min("hub").alias("first"))
     across = (shared.where("edge").select("key", "hub").distinct().join(ends, "key").where("hub <> first")
@@ -401,26 +399,22 @@ def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
     sets = stored(sets_of(docs, ends_of(pairs), words), "sets")
     is_link = f"100 * both >= {percent} * either"
     known = found = None
-    rest = pairs
 
-    def joined(some: DataFrame):
+    def verified(some: DataFrame):
         """Verify pairs; all that is known then, and the components."""
         now = stored(verify(some, sets), "verified")
         both = now if known is None else known.union(now)
-        if found is not None and now.where(is_link).isEmpty():
+        new = now.where(is_link).select(F.col("hub").alias("a"), F.col("member").alias("b"))
+        if found is not None and new.isEmpty():
             return both, found
-        return both, stored(components(both.where(is_link).select(F.col("hub").alias("a"), F.col("member").alias("b"))), "components")
+        return both, stored(joined(found, new), "components")
 
-    for turn in range(3):
-        if turn < 2:
-            best = F.max(F.struct("pieces", (-F.col("hub")).alias("low")))
-            some = rest.groupBy("member").agg(best.alias("best")).select((-F.col("best.low")).alias("hub"), "member")
-        else:
-            some = rest.select("hub", "member")
-        known, found = joined(some)
-        rest = stored(_across(rest.join(known.select("hub", "member"), ["hub", "member"], "left_anti"), found), "pairs")
-        if rest.isEmpty():
-            break
+    best = F.max(F.struct("pieces", (-F.col("hub")).alias("low")))
+    first = pairs.groupBy("member").agg(best.alias("best")).select((-F.col("best.low")).alias("hub"), "member")
+    known, found = verified(first)
+    rest = stored(_across(pairs.select("hub", "member").join(known.select("hub", "member"), ["hub", "member"], "left_anti"), found), "pairs")
+    if not rest.isEmpty():
+        known, found = verified(rest)
 
     # nodes that share a piece and lie in different components; a piece of two
     # nodes is done with, one of them being the hub
@@ -441,7 +435,7 @@ def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
     if more.isEmpty():
         return found
     sets = stored(sets_of(docs, ends_of(more), words), "sets")
-    return joined(more)[1]
+    return verified(more)[1]
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
