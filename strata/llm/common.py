@@ -67,11 +67,14 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     applied to slices of about ``most`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            for part in pieces(batch, most):
-                out = fn(part)
-                if out is not None and out.num_rows:
-                    yield out
+        try:
+            for batch in batches:
+                for part in pieces(batch, most):
+                    out = fn(part)
+                    if out is not None and out.num_rows:
+                        yield out
+        finally:
+            pa.default_memory_pool().release_unused()    # workers outlive their tasks
     return df.mapInArrow(run, schema)
 
 
