@@ -125,8 +125,9 @@ def taken(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of the mix: a row appears once for every round in which at
-    least half of its words are taken; columns as they are."""
-    copies = taken(docs).select("row", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies")).where("copies > 0")
+    least half of its words are taken (rows without words never); columns as
+    they are."""
+    copies = taken(docs).select("row", F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias("copies")).where("copies > 0")
     rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*docs.columns).alias("__doc"))
     return (rows.join(copies, F.col("__row") == F.col("row")).withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
             .select("__doc.*"))

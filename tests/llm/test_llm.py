@@ -77,6 +77,24 @@ def test_mixing(docs, nothing):
     assert op1_mixing.mixed(docs).columns == docs.columns
 
 
+def copies_of(rows):
+    """Copies of each document by id in the mix of ``taken``'s rows."""
+    out = Counter()
+    for r in rows:
+        if r["size"] and math.floor(r["taken"] / r["size"] + 0.5):
+            out[r["doc_id"]] += math.floor(r["taken"] / r["size"] + 0.5)
+    return out
+
+
+def test_mixed_rows(spark, nothing):
+    """Null, empty and white-space-only texts neither end the stage nor enter the mix."""
+    docs = spark.createDataFrame(edge_rows(), SCHEMA)
+    want = copies_of(op1_mixing.taken(docs).collect())
+    assert Counter(r["doc_id"] for r in op1_mixing.mixed(docs).collect()) == want and want
+    assert not {0, 1, 2} & set(want)
+    assert op1_mixing.mixed(nothing).count() == 0
+
+
 def test_hilbert_neighbours():
     grid = np.array(np.meshgrid(*[np.arange(8)] * 3)).reshape(3, -1).T
     place = op2_sharding.hilbert_index(grid, 3)
