@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import before, ordered, read, stored
+from strata.llm.common import before, column_like, ordered, read, stored
 
 WEIGHTS = (1, 2, 3)
 MOST = 3                    # rounds of a source
@@ -89,7 +89,11 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The mix of ``docs`` (doc_id, text, source): its segments (slot, row,
     doc_id, round, first_word, n_words), the rows (row, doc_id, source, size),
     and the sources' targets."""
-    rows = docs.select("doc_id", "source", word_count().alias("size"), F.monotonically_increasing_id().alias("row"))
+    return mix_rows(docs.select("doc_id", "source", word_count().alias("size"), F.monotonically_increasing_id().alias("row")))
+
+
+def mix_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``mix`` of rows (doc_id, source, size, row) numbered by the caller."""
     by = ["source", "shuffle", "row"]
     runs = ordered(rows.withColumn("shuffle", F.xxhash64("doc_id")), by, "mix-rows")
     goal = stored(targets(runs), "mix-targets")
@@ -116,7 +120,12 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def taken(docs: DataFrame) -> DataFrame:
     """(row, doc_id, size, source, source_size, target, taken) of every row."""
-    segments, rows, goal = mix(docs)
+    return taken_of(mix(docs))
+
+
+def taken_of(parts: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """``taken`` of a mix."""
+    segments, rows, goal = parts
     words = segments.groupBy("row").agg(F.sum("n_words").alias("taken"))
     return (rows.join(words, "row", "left").alias("r").join(goal.alias("g"), F.expr("r.source <=> g.source"))
             .select("r.row", "r.doc_id", "r.size", "r.source", "g.source_size", "g.target",
@@ -127,10 +136,14 @@ def mixed(docs: DataFrame) -> DataFrame:
     """The rows of the mix: a row appears once for every round in which at
     least half of its words are taken (rows without words never); columns as
     they are."""
-    copies = taken(docs).select("row", F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias("copies")).where("copies > 0")
-    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.struct(*docs.columns).alias("__doc"))
-    return (rows.join(copies, F.col("__row") == F.col("row")).withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
-            .select("__doc.*"))
+    # row numbers hold only within one read (they follow the splits), so the rows are written with theirs
+    row, doc = column_like(docs.columns, "row"), column_like(docs.columns, "doc")
+    whole = stored(docs.select(F.monotonically_increasing_id().alias(row), F.struct(*docs.columns).alias(doc)), "mix-docs")
+    sized = whole.select(f"{doc}.doc_id", f"{doc}.source", word_count(f"{doc}.text").alias("size"), F.col(row).alias("row"))
+    copies = (taken_of(mix_rows(sized)).select(F.col("row").alias(row), F.floor(F.try_divide("taken", "size") + 0.5).cast("int").alias("copies"))
+              .where("copies > 0"))
+    return (whole.join(copies, row).withColumn("copy", F.explode(F.expr("sequence(1, copies)")))
+            .select(f"{doc}.*"))
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

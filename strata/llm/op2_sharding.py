@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import column_like, map_batches, numbered, ordered, read
+from strata.llm.common import column_like, map_batches, numbered, ordered, read, stored
 
 BITS = 8
 SHARDS = 24
@@ -66,9 +66,14 @@ def with_code(rows: DataFrame, col: str, out: str) -> DataFrame:
 def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(row, doc_id, size, text_crc32, hilbert, shard, slot) of every row of
     ``docs`` (doc_id, text, source, lang)."""
+    return assign_rows(docs.select("doc_id", "text", "source", "lang", F.monotonically_increasing_id().alias("row")), shards)
+
+
+def assign_rows(docs: DataFrame, shards: int) -> DataFrame:
+    """``assign`` of rows (doc_id, text, source, lang, row) numbered by the caller."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", "source", "lang", (F.octet_length(text) + 8).cast("bigint").alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"), F.monotonically_increasing_id().alias("row"))
+                       F.crc32(text.cast("binary")).alias("text_crc32"), "row")
     coded = with_code(with_code(rows, "source", "d0"), "lang", "d1").withColumn(
         "d2", F.least(F.floor(F.log2("size") * 8), F.lit((1 << BITS) - 1)).cast("int"))
     keep = ["row", "doc_id", "size", "text_crc32"]
@@ -79,7 +84,7 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             return pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(hilbert_index(cells, BITS))],
                                               [*keep, "hilbert"])
         return fn
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = rows.schema["doc_id"].dataType.simpleString()
     placed = map_batches(coded.select(*keep, "d0", "d1", "d2"), make,
                          f"row bigint, doc_id {kind}, size bigint, text_crc32 bigint, hilbert bigint")
     by = ["hilbert", "text_crc32", "doc_id", "row"]
@@ -93,8 +98,9 @@ def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     """Write the rows of ``docs`` as one folder per shard, in curve order."""
     row, doc = column_like(docs.columns, "row"), column_like(docs.columns, "doc")
-    whole = docs.select(F.monotonically_increasing_id().alias(row), F.struct(*docs.columns).alias(doc))
-    placed = assign(docs, shards).select(F.col("row").alias(row), "shard", "slot")
+    # row numbers hold only within one read (they follow the splits), so the rows are written with theirs
+    whole = stored(docs.select(F.monotonically_increasing_id().alias(row), F.struct(*docs.columns).alias(doc)), "shard-docs")
+    placed = assign_rows(whole.select(*[f"{doc}.{c}" for c in ("doc_id", "text", "source", "lang")], F.col(row).alias("row")), shards).select(F.col("row").alias(row), "shard", "slot")
     (whole.join(placed, row).select(f"{doc}.*", "shard", "slot").repartitionByRange(shards, "shard", "slot")
      .sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path))
 

@@ -95,6 +95,45 @@ def test_mixed_rows(spark, nothing):
     assert op1_mixing.mixed(nothing).count() == 0
 
 
+def unsettled(spark, path, monkeypatch, module, last):
+    """Rows in many files; other splits apply once ``module``'s ``last`` has been called."""
+    docs = [(i, f"{i} " * (i % 7 + 1), "a" if i % 3 else "b", "en", None) for i in range(240)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, extra string").repartition(24).write.parquet(path)
+    key, own = "spark.sql.files.openCostInBytes", getattr(module, last)
+    before = spark.conf.get(key)
+
+    def then(*args, **kwargs):
+        out = own(*args, **kwargs)
+        if args[1:2] != (["value"],):
+            spark.conf.set(key, str(1 << 30))
+        return out
+    monkeypatch.setattr(module, last, then)
+    return spark.read.parquet(path), lambda: spark.conf.set(key, before)
+
+
+def test_mixed_keeps_rows_when_splits_change(spark, tmp_path, monkeypatch):
+    docs, back = unsettled(spark, f"{tmp_path}/in", monkeypatch, op1_mixing, "schedule")
+    try:
+        got = op1_mixing.mixed(docs).collect()
+    finally:
+        back()
+    monkeypatch.undo()
+    assert all(r["text"] == f"{r['doc_id']} " * (r["doc_id"] % 7 + 1) for r in got)
+    copies, want = Counter(r["doc_id"] for r in got), copies_of(op1_mixing.taken(docs).collect())
+    assert copies == want
+
+
+def test_shards_keep_rows_when_splits_change(spark, tmp_path, monkeypatch):
+    docs, back = unsettled(spark, f"{tmp_path}/in", monkeypatch, op2_sharding, "numbered")
+    try:
+        op2_sharding.write_shards(docs, f"{tmp_path}/shards", 5)
+    finally:
+        back()
+    monkeypatch.undo()
+    got = {r["doc_id"]: r["shard"] for r in spark.read.parquet(f"{tmp_path}/shards").collect()}
+    assert got == {r["doc_id"]: r["shard"] for r in op2_sharding.assign(docs, 5).collect()}
+
+
 def test_hilbert_neighbours():
     grid = np.array(np.meshgrid(*[np.arange(8)] * 3)).reshape(3, -1).T
     place = op2_sharding.hilbert_index(grid, 3)
