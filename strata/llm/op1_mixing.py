@@ -3,9 +3,11 @@
 Every source's words form a line: its documents in a shuffled order (hash of
 the id), repeated as often as needed, cut into blocks of equally many words.
 The mix is a sequence of slots. Slot i takes the van der Corput point of i and
-maps it through the cumulative targets to a source; the j-th slot of a source
-gets block j of its line. So every stretch of the mix holds the sources in
-nearly the target proportions.
+maps it through the sources' cumulative numbers of blocks to a source; the
+j-th slot of a source gets block j of its line. So every stretch of the mix
+holds the sources in nearly the target proportions. Every source gets exactly
+the blocks of its target (rounded to words, one word at least; the last block
+is cut there); its slots after those stay empty.
 
 Targets: weights 1, 2, 3, repeating over the sources by code point (null
 last), share the total size; no target exceeds ``MOST`` times its source's
@@ -30,8 +32,7 @@ from strata.llm.common import before, column_like, ordered, read, stored
 WEIGHTS = (1, 2, 3)
 MOST = 3                    # rounds of a source
 SLOTS_PER_SOURCE = 1 << 14
-CELLS = 1 << 12             # equal parts of [0, 1) in which slots meet sources
-POINT_BITS = 48
+CELL_BITS = 12              # 2^12 equal parts of [0, 1) in which slots meet sources
 CHUNK = 1 << 12             # slots that are ranked together
 
 
@@ -40,7 +41,7 @@ def word_count(col: str = "text"):
 
 
 def targets(sized: DataFrame) -> DataFrame:
-    """(source, source_size, target, cap) of ``sized`` (source, size): one row per source."""
+    """(source, source_size, target, cap, words: the target in whole words) of ``sized`` (source, size): one row per source."""
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     everything = Window.partitionBy()               # over one row per source
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
@@ -57,7 +58,8 @@ def targets(sized: DataFrame) -> DataFrame:
     first = F.max(F.expr("if(capped, null, rest / open)")).over(everything)
     return (level.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double"))
                              .otherwise(F.col("weight") * F.coalesce(first, F.lit(0.0))))
-            .select("source", "source_size", "target", "cap"))
+            .withColumn("words", F.expr("if(target > 0, least(cap, greatest(1L, cast(round(target) as bigint))), 0L)"))
+            .select("source", "source_size", "target", "cap", "words"))
 
 
 def schedule(goal: DataFrame, total: int, sources: int) -> tuple[DataFrame, int]:
@@ -65,24 +67,25 @@ def schedule(goal: DataFrame, total: int, sources: int) -> tuple[DataFrame, int]
     spark = goal.sparkSession
     slots = max(1, min(total, SLOTS_PER_SOURCE * max(sources, 1)))
     size = -(-total // slots) if total else 1
-    slots = -(-total // size) if total else 0
-    width = 1 << (POINT_BITS - CELLS.bit_length() + 1)
-    # van der Corput: the bits of the slot number mirrored at the point
-    point = F.conv(F.reverse(F.lpad(F.bin("slot"), POINT_BITS, "0")), 2, 10).cast("bigint")
-    points = spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", point).withColumn("cell", F.expr(f"point div {width}L"))
-    upto = F.sum("target").over(Window.orderBy(F.col("source").asc_nulls_last()))
-    full = 1 << POINT_BITS
-    ends = F.when(F.col("upto") >= F.col("all") * (1 - 1e-12), F.lit(full)).otherwise(F.floor(F.col("upto") / F.col("all") * full)).cast("bigint")
-    spans = (goal.where("target > 0").withColumn("upto", upto).withColumn("all", F.sum("target").over(Window.partitionBy()))
-             .withColumn("high", ends).withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("upto", F.col("source").asc_nulls_last())), F.lit(0)).cast("bigint"))
-             .where("low < high").select("source", "low", "high", F.explode(F.expr(f"sequence(low div {width}L, (high - 1) div {width}L)")).alias("cell")))
+    # at least as many points as blocks, so that every source meets as many points as it has blocks
+    bits = max(1, (-(-total // size) + sources - 1).bit_length())
+    shift = max(0, bits - CELL_BITS)
+    # van der Corput: the bits of the slot number mirrored at the point, here in units of 1 / 2^bits
+    point = F.conv(F.reverse(F.lpad(F.bin("slot"), bits, "0")), 2, 10).cast("bigint")
+    points = spark.range(1 << bits if total else 0).withColumnRenamed("id", "slot").withColumn("point", point).withColumn("cell", F.expr(f"shiftright(point, {shift})"))
+    upto = F.sum("blocks").over(Window.orderBy(F.col("source").asc_nulls_last()))
+    low, high = (F.expr(f"cast({n} as decimal(18,0)) * cast({1 << bits} as decimal(18,0)) div cast(all as decimal(18,0))") for n in ("(upto - blocks)", "upto"))
+    spans = (goal.where("words > 0").withColumn("blocks", F.expr(f"(words + {size - 1}L) div {size}L"))
+             .withColumn("upto", upto).withColumn("all", F.sum("blocks").over(Window.partitionBy()))
+             .withColumn("low", low).withColumn("high", high)
+             .select("source", "blocks", "low", "high", F.explode(F.expr(f"sequence(shiftright(low, {shift}), shiftright(high - 1, {shift}))")).alias("cell")))
     placed = (points.join(spans, "cell").where("low <= point and point < high")
-              .select("slot", "source", F.floor(F.col("slot") / CHUNK).cast("int").alias("run")))
+              .select("slot", "source", "blocks", F.floor(F.col("slot") / CHUNK).cast("int").alias("run")))
     inside = F.row_number().over(Window.partitionBy("source", "run").orderBy("slot"))
     earlier = before(placed, F.lit(1), ["source"])
     ranks = (placed.withColumn("inside", inside).alias("p").join(earlier.alias("e"), F.expr("p.run = e.run and p.source <=> e.source"))
-             .select("p.slot", "p.source", (F.col("e.before") + F.col("p.inside") - 1).alias("block")))
-    return ranks, size
+             .select("p.slot", "p.source", "p.blocks", (F.col("e.before") + F.col("p.inside") - 1).alias("block")))
+    return ranks.where("block < blocks").drop("blocks"), size
 
 
 def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -105,12 +108,11 @@ def mix_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
               .select("r.row", "r.doc_id", "r.source", "r.size", (F.col("inside") + F.col("before")).alias("at")))
     # a document covers words [at, at + size) of every round of its source's line
     lines = (placed.alias("r").join(goal.alias("g"), F.expr("r.source <=> g.source"))
-             .select("r.*", "g.source_size", "g.target", "g.cap")
+             .select("r.*", "g.source_size", "g.words")
              .withColumn("round", F.explode(F.expr(f"sequence(0L, {MOST - 1}L)")))
              .withColumn("low", F.expr("round * source_size + at")).withColumn("high", F.expr("low + size"))
-             # blocks past the target (and the schedule's small deviation from it) have no slot
-             .where(F.expr(f"low < target + {64 * size}"))
-             .withColumn("block", F.explode(F.expr(f"sequence(low div {size}L, (least(high, ceil(target) + {64 * size}) - 1) div {size}L)"))))
+             .where("low < words").withColumn("high", F.least("high", "words"))
+             .withColumn("block", F.explode(F.expr(f"sequence(low div {size}L, (high - 1) div {size}L)"))))
     segments = (lines.alias("d").join(slots.alias("s"), F.expr("d.block = s.block and d.source <=> s.source"))
                 .select("s.slot", "d.row", "d.doc_id", "d.round",
                         F.expr(f"greatest(0L, d.block * {size}L - d.low)").alias("first_word"),

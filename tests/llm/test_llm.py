@@ -77,6 +77,21 @@ def test_mixing(docs, nothing):
     assert op1_mixing.mixed(docs).columns == docs.columns
 
 
+def test_mixing_meets_every_target(spark, monkeypatch):
+    """Blocks of many words: a source far below a block gets its target too, in the order of the schedule."""
+    monkeypatch.setattr(op1_mixing, "SLOTS_PER_SOURCE", 8)
+    rows = [(i, "a " * 50, "big") for i in range(400)] + [(1000 + i, "b " * 4, "few") for i in range(3)] + [(2000, "c", "one"), (3000, "", "zero")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = op1_mixing.taken(df).collect()
+    sums = {s: (sum(r["taken"] for r in got if r["source"] == s), {r["target"] for r in got if r["source"] == s}) for s in ("big", "few", "one", "zero")}
+    assert sums["few"] == (36, {36.0}) and sums["one"] == (3, {3.0}) and sums["zero"] == (0, {0.0})
+    assert abs(sums["big"][0] - sums["big"][1].pop()) <= 0.5 and sum(s for s, _ in sums.values()) == 20_013
+    slots = {}
+    for s in op1_mixing.mix(df)[0].collect():
+        slots.setdefault(s["slot"], set()).add(s["doc_id"] // 1000)
+    assert all(len(s) == 1 for s in slots.values()) and len(slots) > 8
+
+
 def copies_of(rows):
     """Copies of each document by id in the mix of ``taken``'s rows."""
     out = Counter()
