@@ -3,7 +3,9 @@
 The automaton is built over the words of all license templates (one unique
 separator between them). A document's words stream through it; wherever the
 longest match stops growing, the match (length, template, place in the
-template) is kept if it has at least ``MIN_MATCH`` words. Matches of one
+template) is kept if it has at least ``MIN_MATCH`` words, and so is every part
+of it of that many words that also stands in another template (or elsewhere in
+the same one). Matches of one
 template are chained when they follow each other in both the document and the
 template with gaps of at most ``MAX_GAP`` words; a chain that covers enough of
 its template is a span with that template's label.
@@ -134,11 +136,31 @@ class SuffixAutomaton:
             yield end, length, state
 
 
-def spans(automaton: SuffixAutomaton, labels: list[str], words: list[bytes]) -> list[tuple[int, int, str, float]]:
+def shared_parts(sequences: list[list[bytes]]) -> list[list[tuple[int, int, int, int]]]:
+    """Per template, (start, other template, start there, words) of the longest
+    common runs of at least MIN_MATCH words; a template shares itself."""
+    out = []
+    for own in sequences:
+        parts = []
+        for t, other in enumerate(sequences):
+            for shift in range(-len(other) + 1, len(own)):         # own[i] meets other[i - shift]
+                i, stop = max(0, shift), min(len(own), len(other) + shift)
+                while i < stop:
+                    j = i
+                    while j < stop and own[j] == other[j - shift]:
+                        j += 1
+                    if j - i >= MIN_MATCH:
+                        parts.append((i, t, i - shift, j - i))
+                    i = j + 1
+        out.append(parts)
+    return out
+
+
+def spans(automaton: SuffixAutomaton, shared: list[list[tuple[int, int, int, int]]], labels: list[str], words: list[bytes]) -> list[tuple[int, int, str, float]]:
     """(first word, last word, label, coverage) of the covered template spans."""
     known = automaton.vocabulary
     inside = [w in known for w in words]
-    by_template: dict[int, list[tuple[int, int, int]]] = {}
+    by_template: dict[int, set[tuple[int, int, int]]] = {}
     i, n = 0, len(words)
     while True:
         try:
@@ -150,14 +172,18 @@ def spans(automaton: SuffixAutomaton, labels: list[str], words: list[bytes]) ->
             j += 1
         if j - i >= MIN_MATCH:
             for end, length, state in automaton.matches(words, i, j):
-                for t, place in automaton.places[state]:
-                    by_template.setdefault(t, []).append((end - length, end, place + 1 - length))
+                own, place = automaton.places[state][0]      # any place: the words are the same
+                low, high = place + 1 - length, place + 1
+                for start, t, there, size in shared[own]:
+                    a, b = max(start, low), min(start + size, high)
+                    if b - a >= MIN_MATCH:
+                        by_template.setdefault(t, set()).add((end - high + a, end - high + b, there + a - start))
         i = j
     out = []
     for t, found in by_template.items():
         size = len(automaton.sequences[t])
         need = SHORT_COVER if size < SHORT else LONG_COVER
-        found = sorted(set(found))
+        found = whole_matches(found)
         chains: list[tuple[int, int, int, int]] = []     # first, end, template end, covered words
         for a, b, at in found:
             grown = None
@@ -177,6 +203,18 @@ def spans(automaton: SuffixAutomaton, labels: list[str], words: list[bytes]) ->
     return sorted(set(out))
 
 
+def whole_matches(found: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Matches (start, end, template start) with those of one diagonal that
+    overlap made one (parts of the same match seen from different longer ones)."""
+    out: list[tuple[int, int, int]] = []
+    for a, b, at in sorted(found, key=lambda m: (m[0] - m[2], m[0], m[1])):
+        if out and out[-1][0] - out[-1][2] == a - at and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), out[-1][2])
+        else:
+            out.append((a, b, at))
+    return sorted(out)
+
+
 def base_places(words: list[bytes]) -> list[tuple[int, str]]:
     """(start word, label) of every place of a base phrase."""
     line = b" " + b" ".join(words) + b" "
@@ -195,6 +233,7 @@ class Scanner:
     def __init__(self):
         self.labels = [label for label, _ in TEMPLATES]
         self.automaton = SuffixAutomaton([t.encode().split() for _, t in TEMPLATES])
+        self.shared = shared_parts(self.automaton.sequences)
         grams = (s[i:i + MIN_MATCH] for s in self.automaton.sequences for i in range(len(s) - MIN_MATCH + 1))
         common = set(b"the of and to in is or a it as at by for from any all this that with not are you may".split())
         self.marks = {w for g in grams for w in (set(g) - common or set(g))}
@@ -204,7 +243,7 @@ class Scanner:
         words = words_of(text)
         if self.marks.isdisjoint(words):         # every match holds a mark
             return words, [], []
-        return words, base_places(words), spans(self.automaton, self.labels, words)
+        return words, base_places(words), spans(self.automaton, self.shared, self.labels, words)
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

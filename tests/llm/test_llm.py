@@ -189,6 +189,26 @@ def test_licenses(docs, nothing):
     assert scanner.scan("free software the rights of a person to use it")[2] == []
 
 
+def test_short_templates_inside_longer_matches():
+    """Every template that stands whole in a text is covered, whatever word comes before or after it."""
+    scanner = op3_licenses.Scanner()
+    for text, label in (("uses the Apache License, Version 2.0", "apache-2"), ("under the Apache License Version 2", "apache-2"),
+                        ("sold under CC BY-NC", "cc-by-nc"), ("under cc by nc 4 1", "cc-by-nc"),
+                        ("under the MIT License", "mit")):
+        found = scanner.scan(text)[2]
+        assert {s[2] for s in found} == {label} and max(s[3] for s in found) == 1.0
+    templates = [t.split() for _, t in op3_licenses.TEMPLATES]
+    rng = random.Random(11)
+    for _ in range(400):
+        t = rng.randrange(len(templates))
+        around = templates[rng.randrange(len(templates))]
+        cut = rng.randrange(len(around))
+        text = around[cut:] + templates[t] + around[:cut]
+        at = len(around) - cut
+        assert any(a <= at and b >= at + len(templates[t]) - 1 and label == scanner.labels[t] and share == 1.0
+                   for a, b, label, share in scanner.scan(" ".join(text))[2])
+
+
 def test_matching_statistics_by_brute_force():
     rng = random.Random(1)
     templates = [[rng.choice([b"a", b"b", b"c"]) for _ in range(12)] for _ in range(3)]
