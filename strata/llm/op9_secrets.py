@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns plus the token-efficiency test.
 
 The token-efficiency test takes every run of base64-like characters, drops
-known digests and identifiers, and flags those of few characters per token
-under a public BPE vocabulary: a vocabulary learned on language needs many
-tokens for a random string.
+known digests, numbers and identifiers made of words, and flags those of few
+characters per token under a public BPE vocabulary: a vocabulary learned on
+language needs many tokens for a random string. Where a whole run passes, its
+segments between /, then between _ and -, are tested by themselves.
 
 Spans are ``kind:start:end`` in code points, end exclusive. Kinds: ``assign``,
 ``access``, ``hex`` (fixed patterns) and ``token`` (the test's own spans,
@@ -31,16 +32,19 @@ HEX = re.compile(r"[0-9a-f]+")
 KINDS = ("assign", "access", "hex", "token")
 KEYWORDS = (b"passw", b"secret", b"token", b"api")
 
-# The token-efficiency test: runs of at least RUN characters with letters and
-# digits, fewer than CHARS_PER_TOKEN characters per token.
+# The token-efficiency test: runs of at least RUN characters with letters, fewer
+# than CHARS_PER_TOKEN characters per token. A piece of an identifier is a word
+# if it has at least WORD_CHARS_PER_TOKEN of them.
 RUN = 16
 CHARS_PER_TOKEN = 2.2
+WORD_CHARS_PER_TOKEN = 1.8
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}        # MD5, SHA-1, SHA-2
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-_WORDS = re.compile(r"(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[_/+-]*(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*")
+_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_SEPARATORS = (re.compile(r"[^/]+"), re.compile(r"[^/_-]+"))      # of a run's segments, one after the other
 
 _RUN_BYTE = np.zeros(256, dtype=bool)
 _RUN_BYTE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=")] = True
@@ -56,16 +60,30 @@ def encoder(path: str):
     return _ENCODERS[path]
 
 
-def is_known(text: str) -> bool:
-    """Digests of the usual lengths, UUIDs, and identifiers: words and short
-    numbers joined by _, -, / or capitals, at most one change between letters
-    and digits per five characters."""
+def is_known(text: str, count_tokens) -> bool:
+    """Digests of the usual lengths, UUIDs, numbers, and identifiers: words and
+    short numbers joined by _, -, /, + or capitals, every piece of letters a
+    word of three letters or more by its own characters per token."""
     if _UUID.fullmatch(text) or (_DIGEST.fullmatch(text) and len(text) in _DIGEST_LENGTHS):
         return True
-    if not (any(c.isdigit() for c in text) and any(c.isalpha() for c in text)):
+    if not any(c.isalpha() for c in text):
         return True
-    changes = sum(a.isdigit() != b.isdigit() for a, b in zip(text, text[1:]))
-    return bool(_WORDS.fullmatch(text)) and changes * 5 <= len(text) and min(map(len, re.findall(r"[A-Za-z]+", text))) > 2
+    return all(len(p) <= 4 if p[0].isdigit() else len(p) > 2 and len(p) >= WORD_CHARS_PER_TOKEN * count_tokens(p)
+               for p in _PIECE.findall(text))
+
+
+def random_parts(text: str, count_tokens, level: int = 0) -> list[tuple[int, int]]:
+    """Spans of the token-efficiency test in one run: the run itself, or else
+    those of its segments."""
+    if len(text) < RUN:
+        return []
+    bare = text.rstrip("=")
+    if len(text) < CHARS_PER_TOKEN * count_tokens(text) and not is_known(bare, count_tokens):
+        return [(0, len(text))]
+    if level == len(_SEPARATORS) or _UUID.fullmatch(bare):
+        return []
+    return [(m.start() + a, m.start() + b) for m in _SEPARATORS[level].finditer(text)
+            for a, b in random_parts(m[0], count_tokens, level + 1)]
 
 
 def long_runs(raw: bytes) -> list[tuple[int, int]]:
@@ -98,9 +116,7 @@ def scan(text: str, count_tokens) -> list[tuple[int, int, str]]:
         if b - a >= 24:
             spans += [(at + m.start(), 2, at + m.end()) for m in HEX.finditer(own) if len(m[0]) >= 24]
         for m in _CANDIDATE.finditer(own):
-            found = m[0]
-            if len(found) >= RUN and not is_known(found.rstrip("=")) and len(found) < CHARS_PER_TOKEN * count_tokens(found):
-                added.append((at + m.start(), 3, at + m.end()))
+            added += [(at + m.start() + a, 3, at + m.start() + b) for a, b in random_parts(m[0], count_tokens)]
     if added:
         spans += [s for s in added if not any(b[0] <= s[0] and s[2] <= b[2] for b in spans)]
     return sorted(spans)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -425,6 +426,22 @@ def test_secrets(docs, nothing):
     assert op9_secrets.find_secrets(nothing, path).count() == 0
 
 
+def test_random_strings_are_found():
+    """Planted base62 strings of 16 to 40 characters, alone and at the end of a path; identifiers stay."""
+    path = op10_bpe.vocabulary()
+    count = lambda s: len(op9_secrets.encoder(path).encode_ordinary(s))
+    rng = random.Random(12)
+    for n in range(16, 41, 4):
+        planted = ["".join(rng.choices(string.ascii_letters + string.digits, k=n)) for _ in range(300)]
+        for before in ("see ", "https://example.com/api/users/latest_version/"):
+            found = sum(any(k == 3 and a <= len(before) and b == len(before) + n for a, k, b in op9_secrets.scan(f"{before}{p} end", count))
+                        for p in planted)
+            assert found >= 0.99 * len(planted), (n, before, found)
+    assert op9_secrets.scan("kQzXwVbTrLpNmJhGdFsY", count) == [(0, 3, 20)]
+    assert op9_secrets.scan("getElementByIdAndName application/x-www-form-urlencoded node_modules/lodash-es/_baseIsEqual "
+                            "org/apache/spark/sql/catalyst/expressions sha256-of-the-file", count) == []
+
+
 def test_bpe_equals_tiktoken(docs, nothing):
     path = op10_bpe.vocabulary()
     library, own = op9_secrets.encoder(path), op10_bpe.codec(path)
