@@ -2,14 +2,18 @@
 expressions only).
 
 Terms are lower-cased words. The lexicon holds the terms whose document
-frequency lies in a band (``RAREST`` to ``MOST_COMMON`` of all documents, two
-documents at least), that is, a band of inverse document frequency. Each of
+frequency over different texts (copies count once) lies in a band (``RAREST``
+to ``MOST_COMMON`` of them, two at least), that is, a band of inverse document
+frequency. A text with fewer lexicon terms than one in ``FEW`` of its distinct
+terms (many near copies push theirs out of the band), or with none in any
+sub-lexicon, takes all its distinct terms as lexicon. Each of
 ``LEXICONS`` random sub-lexicons keeps a term with probability 1/4, 1/8, ...
 (``LEVELS`` densities in turn), so that texts of any length meet some
 sub-lexicons in a few terms. A fingerprint is one hash per sub-lexicon over
 the document's distinct terms in it; the hash (XOR of 64-bit term hashes) does
 not depend on order, which is what sorting the terms would be for. No term: no
-hash ("-").
+hash ("-"); a text whose terms are in no sub-lexicon at all has the hash over
+all of them in the first place, so that only texts without terms have no hash.
 
 The likeness of two fingerprints is the share of equal hashes among the
 sub-lexicons in which at least one of the two has a hash; 1 if there is none.
@@ -33,7 +37,8 @@ from strata.llm.common import read, stored
 
 LEXICONS, LEVELS, DENSEST = 24, 8, 2
 RAREST, MOST_COMMON = 0.0005, 0.02
-# A lexicon of at most so many rows (a number and a mask each) is sent to all tasks.
+FEW = 8
+# A lexicon of at most so many rows (a number each) is sent to all tasks.
 BROADCAST_ROWS = 1_000_000
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -47,27 +52,41 @@ def terms(text):
 
 
 def lexicon(docs: DataFrame) -> DataFrame:
-    """(term, mask): the band's terms and the sub-lexicons they belong to."""
-    total = docs.count()
-    df = (docs.select(F.explode(terms(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").count())
-    band = df.where((F.col("term") != _NO_TERM) & (F.col("count") >= max(2, RAREST * total)) & (F.col("count") <= max(2, MOST_COMMON * total)))
-    bits = [F.when(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(2 ** (i % LEVELS + DENSEST))) == 0, F.lit(1 << i)).otherwise(F.lit(0)) for i in range(LEXICONS)]
-    mask = bits[0]
-    for b in bits[1:]:
-        mask = mask + b
-    marker = docs.sparkSession.range(1).select(F.lit(_NO_TERM).cast("bigint").alias("term"), F.lit(0).alias("mask"))
-    return stored(band.select("term", mask.alias("mask")).where("mask <> 0").union(marker), "lexicon")
+    """(term): the band's terms."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
+    counts = stored(texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").count(), "terms")
+    total = counts.where(F.col("term") == _NO_TERM).agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    return stored(counts.where((F.col("term") != _NO_TERM) & (F.col("count") >= max(2, RAREST * total))
+                               & (F.col("count") <= max(2, MOST_COMMON * total))).select("term"), "lexicon")
 
 
 def hashes(rows: DataFrame, keys: list[str], texts: list[str], words: DataFrame) -> DataFrame:
     """keys and, per text column t and sub-lexicon i, the hash t_i (0: none)."""
-    if words.count() <= BROADCAST_ROWS:
+    small = words.count() <= BROADCAST_ROWS
+    words = words.withColumn("band", F.lit(1))
+    if small:
         words = F.broadcast(words)
+    none = F.lit(0).cast("bigint")
     sides = F.array(*[F.struct(F.lit(j).alias("side"), terms(F.col(t)).alias("terms")) for j, t in enumerate(texts)])
-    exploded = (rows.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.side", F.explode("s.terms").alias("term")).join(words, "term"))
-    return exploded.groupBy(*keys).agg(*[
-        F.bit_xor(F.when((F.col("side") == j) & (F.col("mask").bitwiseAND(F.lit(1 << i)) != 0), F.col("term")).otherwise(F.lit(0).cast("bigint"))).alias(f"{t}_{i}")
-        for j, t in enumerate(texts) for i in range(LEXICONS)])
+    exploded = (rows.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.side", F.explode("s.terms").alias("term"))
+                .join(words, "term", "left"))
+    mask = F.when(F.col("term") == _NO_TERM, 0).otherwise(sum((
+        F.when(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(2 ** (i % LEVELS + DENSEST))) == 0, F.lit(1 << i)).otherwise(F.lit(0))
+        for i in range(LEXICONS)), F.lit(0)))
+    part = [F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.col("term")).otherwise(none) for i in range(LEXICONS)]
+    found = exploded.withColumn("mask", mask).groupBy(*keys, "side").agg(
+        F.count("band").alias("n_band"), F.count_if(F.col("term") != _NO_TERM).alias("n_terms"), F.bit_xor("term").alias("every"),
+        *[F.bit_xor(F.when(F.col("band").isNotNull(), part[i]).otherwise(none)).alias(f"band_{i}") for i in range(LEXICONS)],
+        *[F.bit_xor(part[i]).alias(f"all_{i}") for i in range(LEXICONS)])
+
+    def empty(prefix):
+        return F.greatest(*[(F.col(f"{prefix}_{i}") != 0) for i in range(LEXICONS)]) == F.lit(False)
+    whole = found.withColumn("few", (F.col("n_band") * FEW < F.col("n_terms")) | empty("band")).withColumn("bare", empty("all"))
+    own = whole.select(*keys, "side", *[
+        F.when(~F.col("few"), F.col(f"band_{i}")).when(F.col("bare"), F.col("every") if i == 0 else none).otherwise(F.col(f"all_{i}")).alias(f"h_{i}")
+        for i in range(LEXICONS)])
+    return own.groupBy(*keys).agg(*[F.bit_xor(F.when(F.col("side") == j, F.col(f"h_{i}")).otherwise(none)).alias(f"{t}_{i}")
+                                    for j, t in enumerate(texts) for i in range(LEXICONS)])
 
 
 def written(prefix: str):

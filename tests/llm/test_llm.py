@@ -308,6 +308,30 @@ def test_fingerprints(spark, docs, nothing, tmp_path):
     assert op6_imatch.fingerprints(nothing).count() == 0
 
 
+def test_fingerprints_of_groups(spark, tmp_path):
+    """Copies and near copies of a third of the rows, texts of rare terms, and empty texts keep apart."""
+    rng = random.Random(13)
+    other = [" ".join(f"w{rng.randrange(3000)}" for _ in range(60)) for _ in range(300)]
+    copy, near = (" ".join(f"{p}{i}" for i in range(120)) for p in "cn")
+    rows = [copy] * 60 + [f"{near} extra{i}" for i in range(60)] + other + ["rare", "seldom", "", None]
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    spark.createDataFrame([(i, rows[k]) for i, k in enumerate(order)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {order[r["doc_id"]]: r for r in op6_imatch.op6_imatch(spark, str(tmp_path)).collect()}
+    place = {k: i for i, k in enumerate(order)}
+    prints = {k: r["fingerprint"].split(".") for k, r in got.items()}
+    nothing = ["-"] * op6_imatch.LEXICONS
+    assert all((p == nothing) == (not rows[k]) for k, p in prints.items())
+    assert len({".".join(prints[k]) for k in range(60)}) == 1
+    both = [np.mean([a == b for a, b in zip(prints[60], prints[k]) if (a, b) != ("-", "-")]) for k in range(61, 120)]
+    assert np.mean(both) > 0.7
+    for k, r in got.items():
+        after = order[(place[k] + 1) % len(order)]
+        if (rows[k] or "") != (rows[after] or "") and not (60 <= k < 120 and 60 <= after < 120):
+            assert r["near_next"] < 0.5
+    assert np.mean([got[k]["near_edited"] > 0 for k in range(120)]) > 0.8
+
+
 def brute_components(rows, k, percent):
     sets = {}
     for i, t in rows:
