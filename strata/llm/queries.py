@@ -14,6 +14,8 @@ from strata.llm.op7_jaccard import op7_jaccard
 from strata.llm.op8_hmm import op8_hmm
 from strata.llm.op9_secrets import op9_secrets
 from strata.llm.op10_bpe import op10_bpe
+from strata.llm.op11_spelling import op11_spelling
+from strata.llm.op12_pieces import op12_pieces
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +34,8 @@ QUERIES = {
     "op8_hmm": op8_hmm,
     "op9_secrets": op9_secrets,
     "op10_bpe": op10_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_pieces": op12_pieces,
     "pipeline": pipeline,
 }
 
