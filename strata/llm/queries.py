@@ -16,6 +16,7 @@ from strata.llm.op9_secrets import op9_secrets
 from strata.llm.op10_bpe import op10_bpe
 from strata.llm.op11_spelling import op11_spelling
 from strata.llm.op12_pieces import op12_pieces
+from strata.llm.op13_trie import op13_trie
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,7 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_spelling": op11_spelling,
     "op12_pieces": op12_pieces,
+    "op13_trie": op13_trie,
     "pipeline": pipeline,
 }
 
