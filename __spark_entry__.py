@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,10 @@ from strata.operators import retrieval as R  # noqa: E402
 from strata.plans import content as content_plan  # noqa: E402
 from strata.plans import gold_queries as GQ  # noqa: E402
 from strata.plans import orders as orders_plan  # noqa: E402
+from strata.plans import pipeline  # noqa: E402
 from strata.session import checkpoint_root, configure, materialize  # noqa: E402
+from strata.sources import wiki  # noqa: E402
+from strata.sources.ingest import ORDERS_RAW_SCHEMA  # noqa: E402
 from strata.sources.lake import Lake  # noqa: E402
 from strata.sources import testdata as TD  # noqa: E402
 from strata.streaming import incremental  # noqa: E402
@@ -45,38 +49,102 @@ def q_silver_orders(spark, sf_dir):
 
 
 def q_revenue_by_country(spark, sf_dir):
-    return orders_plan.revenue_by_country(_silver_orders(spark, sf_dir))
+    return orders_plan.revenue_by_country(_silver_orders(spark, sf_dir), unique_orders=True)
 
 
 def q_revenue_by_category(spark, sf_dir):
-    return orders_plan.revenue_by_category(_silver_orders(spark, sf_dir))
+    return orders_plan.revenue_by_category(_silver_orders(spark, sf_dir), unique_orders=True)
 
 
 def q_daily_revenue(spark, sf_dir):
-    return orders_plan.daily_revenue(_silver_orders(spark, sf_dir))
+    return orders_plan.daily_revenue(_silver_orders(spark, sf_dir), unique_orders=True)
 
 
 def q_top_customers(spark, sf_dir):
-    return orders_plan.top_customers(_silver_orders(spark, sf_dir), 10)
+    return orders_plan.top_customers(_silver_orders(spark, sf_dir), 10, unique_orders=True)
+
+
+BUCKETS = 16
+
+
+def _run_folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _two_batches(spark, raw: DataFrame, table: str, keys, order_by, tidy, partials=None) -> Lake:
+    """K1 end to end: the raw rows land in two drops, dealt by a hash of the
+    whole row, so that copies of a key come in both; each run of the stream
+    merges its batch into silver by key; a third run finds nothing new."""
+    root = _run_folder(spark, f"k1-{table}")
+    lake, schema = Lake(spark, f"{root}/lake"), raw.schema
+    drop = F.pmod(F.xxhash64(*raw.columns), F.lit(2))
+
+    def merge(batch: DataFrame) -> None:
+        incremental.merge_changes(lake, table, batch, keys, order_by, tidy, BUCKETS, partials)
+
+    def tick() -> int:
+        return incremental.ingest_new_files(lake, f"{root}/landing", table, schema=schema, fmt="parquet",
+                                            checkpoint=f"{root}/stream", on_batch=merge)
+    added = []
+    for k in (0, 1):
+        raw.filter(drop == k).write.mode("append").parquet(f"{root}/landing")
+        added.append(tick())
+    added.append(tick())
+    if min(added[:2]) <= 0 or added[2] != 0:
+        raise RuntimeError(f"incremental ingest added {added} rows")
+    return lake
+
+
+def _merged_orders(spark, sf_dir) -> Lake:
+    return _two_batches(spark, TD.raw_orders(spark, sf_dir), "orders", ["order_id"], TD.ORDER_LINE_SEQUENCE,
+                        orders_plan.tidy_orders, orders_plan.gold_partials)
 
 
 def q_incremental_orders(spark, sf_dir):
-    """K1 end to end: the raw order records land as files; an availableNow
-    stream appends them to bronze; a second run finds nothing new; silver is
-    derived from the stream-built bronze."""
-    import uuid
-    root = f"{checkpoint_root(spark).rstrip('/')}/k1-{uuid.uuid4().hex}"
-    raw = TD.raw_orders(spark, sf_dir)
-    raw.write.parquet(f"{root}/landing")
+    """Silver orders merged from two batches that share keys."""
+    return incremental.read_silver(_merged_orders(spark, sf_dir), "orders", BUCKETS)
+
+
+def q_gold_merge(spark, sf_dir):
+    """F10-F12 from the partial sums that the two batches left per bucket."""
+    lake = _merged_orders(spark, sf_dir)
+    gold = orders_plan.gold_from_partials({t: lake.read_parquet("gold", f"{t}__partial") for t in (
+        "revenue_by_country", "revenue_by_category", "daily_revenue")})
+    keys = {"revenue_by_country": ("shipping_country", "total_revenue", "avg_order_value"),
+            "revenue_by_category": ("category", "total_revenue", "avg_unit_price"),
+            "daily_revenue": ("order_day", "daily_revenue", "cumulative_revenue")}
+    parts = [gold[t].select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("key"), F.col(r).alias("revenue"),
+                            "order_count", F.col(m).alias("measure")) for t, (k, r, m) in keys.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_etl_orders(spark, sf_dir):
+    """L1 with A1, A4-A10, L3: the raw rows land as CSV files in the order that
+    defines the last copy, then bronze -> silver -> gold, every layer stored."""
+    root = _run_folder(spark, "l1")
+    raw = TD.raw_orders(spark, sf_dir).orderBy(*TD.ORDER_LINE_SEQUENCE)
+    raw.select(*ORDERS_RAW_SCHEMA.names).write.option("header", True).csv(f"{root}/landing")
     lake = Lake(spark, f"{root}/lake")
-    first = incremental.ingest_new_files(lake, f"{root}/landing", "orders", schema=raw.schema, fmt="parquet",
-                                         checkpoint=f"{root}/stream")
-    again = incremental.ingest_new_files(lake, f"{root}/landing", "orders", schema=raw.schema, fmt="parquet",
-                                         checkpoint=f"{root}/stream")
-    if first <= 0 or again != 0:
-        raise RuntimeError(f"incremental ingest added {first} then {again} rows")
-    bronze = incremental.read_bronze(lake, "orders")
-    return orders_plan.clean_orders(bronze, order_by=TD.ORDER_LINE_SEQUENCE)
+    out = pipeline.run_orders_etl(lake, f"{root}/landing", top_n=10)
+    if lake.list_tables("gold") != sorted(out["gold"]):
+        raise RuntimeError(f"gold tables {lake.list_tables('gold')}")
+    counts = {k: v for k, v in out["metrics"].items() if k != "groups_out"} | out["metrics"]["groups_out"]
+    revenue = {"gold_revenue_by_country": "total_revenue", "gold_revenue_by_category": "total_revenue",
+               "gold_daily_revenue": "daily_revenue", "gold_top_customers": "total_spend"}
+    rows = spark.createDataFrame(sorted(counts.items()), "step string, n long")
+    parts = [out["gold"][t[5:]].agg(F.lit(t).alias("step"), F.sum(F.col(c).cast("decimal(38,2)")).cast("double").alias("revenue"))
+             for t, c in revenue.items()]
+    sums = parts[0]
+    for part in parts[1:]:
+        sums = sums.unionByName(part)
+    return rows.join(sums, "step", "left")
+
+
+def q_gold_answers(spark, sf_dir):
+    """L4: JSON records of a gold table, and the error record of one that is not there."""
+    store = {"revenue_by_country": q_revenue_by_country(spark, sf_dir)}
+    found = GQ.answer(spark, store, "revenue_by_country", lambda g: GQ.query_revenue_by_country(g, "nation_3"))
+    return found.unionByName(GQ.answer(spark, store, "daily_revenue"))
 
 
 # ----------------------------------------------------------------- content
@@ -117,6 +185,63 @@ def q_most_discussed(spark, sf_dir):
     return content_plan.most_discussed(_silver_pages(spark, sf_dir), _silver_comments(spark, sf_dir))
 
 
+def q_incremental_pages(spark, sf_dir):
+    """Silver pages merged from two batches that share page ids."""
+    raw = TD.raw_pages(spark, sf_dir)
+    lake = _two_batches(spark, raw, "wiki_pages", ["page_id"], content_plan.page_order(raw), content_plan.tidy_pages)
+    return incremental.read_silver(lake, "wiki_pages", BUCKETS)
+
+
+def _landed_wiki(spark, sf_dir):
+    """The raw wiki tables as API responses, one JSON object per line, with a
+    broken line per table; flattened again, broken lines in quarantine."""
+    root = _run_folder(spark, "l2")
+    lake = Lake(spark, f"{root}/lake")
+    out, counts = {}, {}
+    for name, raw, schema, flatten in (
+            ("wiki_spaces", TD.space_responses, wiki.SPACES_RESPONSE, wiki.flatten_spaces),
+            ("wiki_pages", TD.page_responses, wiki.PAGES_RESPONSE, wiki.flatten_pages),
+            ("wiki_comments", TD.comment_responses, wiki.COMMENTS_RESPONSE, wiki.flatten_comments)):
+        lines = raw(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+        broken = spark.createDataFrame([('{"results": [{"id": "cut',)], "value string")
+        lines.unionByName(broken).write.text(f"{root}/{name}")
+        good, counts[name] = wiki.land_responses(lake, f"{root}/{name}", schema, name)
+        out[name] = flatten(good)
+    return lake, out, counts
+
+
+def q_flatten_pages(spark, sf_dir):
+    return _landed_wiki(spark, sf_dir)[1]["wiki_pages"]
+
+
+def q_quarantine(spark, sf_dir):
+    """Landed, good and quarantined lines per table."""
+    lake, _, counts = _landed_wiki(spark, sf_dir)
+    rows = [(t, c["good"], lake.read_parquet("bronze", f"{t}__quarantine").count()) for t, c in counts.items()]
+    return spark.createDataFrame(rows, "table_name string, good long, quarantined long")
+
+
+def q_etl_content(spark, sf_dir):
+    """L2 with A13-A17 and L3: landed responses -> bronze -> silver -> gold;
+    rows per step, words and rows of the stored tables."""
+    lake, flat, _ = _landed_wiki(spark, sf_dir)
+    steps: dict[str, dict[str, int]] = {}
+    gold = pipeline.run_content_etl(lake, flat["wiki_spaces"], flat["wiki_pages"], flat["wiki_comments"], step_counts=steps)
+    rows = [(t, k, n) for t, c in steps.items() for k, n in c.items()]
+    rows += [(t, "rows", df.count()) for t, df in gold.items()]
+    rows += [("wiki_content_by_space", "total_words", gold["wiki_content_by_space"].agg(F.sum("total_words")).first()[0]),
+             ("wiki_most_discussed", "comments", gold["wiki_most_discussed"].agg(F.sum("comment_count")).first()[0])]
+    return spark.createDataFrame(rows, "table_name string, step string, n long")
+
+
+def q_absent_inputs(spark, sf_dir):
+    """Without pages only the timeline is built, from comments alone."""
+    gold = content_plan.build_gold(None, _silver_comments(spark, sf_dir))
+    if list(gold) != ["wiki_content_timeline"]:
+        raise RuntimeError(f"gold tables {list(gold)}")
+    return gold["wiki_content_timeline"]
+
+
 # ----------------------------------------------------------------- access
 
 # Callers of the visibility queries (user -> groups; no groups = public only).
@@ -171,7 +296,7 @@ def q_gold_daily_range(spark, sf_dir):
 
 
 def q_gold_top_customers_25(spark, sf_dir):
-    return GQ.query_top_customers(_silver_orders(spark, sf_dir), 25)
+    return GQ.query_top_customers(_silver_orders(spark, sf_dir), 25, unique_orders=True)
 
 
 def q_gold_records_json(spark, sf_dir):
@@ -182,7 +307,7 @@ def q_data_summary(spark, sf_dir):
     # gold tables are summarised from one stored silver (a Parquet table in the
     # shared folder of spark.checkpoint.dir), as the pipeline reads it back
     silver = materialize(_silver_orders(spark, sf_dir), "silver_orders")
-    return GQ.data_summary(orders_plan.build_gold(silver))
+    return GQ.data_summary(orders_plan.build_gold(silver, unique_orders=True))
 
 
 # ----------------------------------------------------------------- retrieval
@@ -417,6 +542,64 @@ ORACLE.update({
             for name, v, cols, order in _SUMMARY)),
 })
 
+_COUNTS = """
+    select 'rows_in' as step, (select count(*) from raw_orders)::bigint as n
+    union all select 'rows_out', count(*) from silver_orders
+    union all select 'duplicates_removed', (select count(*) - count(distinct order_id) from raw_orders)
+    union all select 'cancelled_removed', (select count(distinct order_id) from raw_orders) - (select count(*) from silver_orders)"""
+ORACLE.update({
+    "incremental_pages": ORACLE["silver_pages"],
+    "gold_merge": O.orders_sql(f"""
+        select 'revenue_by_country' as table_name, shipping_country as key, total_revenue as revenue, order_count,
+               avg_order_value as measure from ({_F10}) a
+        union all select 'revenue_by_category', category, total_revenue, order_count, avg_unit_price from ({_F11}) b
+        union all select 'daily_revenue', strftime(order_day, '%Y-%m-%d'), daily_revenue, order_count, cumulative_revenue
+        from ({_F12}) c"""),
+    "etl_orders": O.orders_sql(f"""
+        , g as (select 'gold_revenue_by_country' as step, count(*) as n, sum(total_revenue::decimal(38,2))::double as revenue
+                from ({_F10}) a
+                union all select 'gold_revenue_by_category', count(*), sum(total_revenue::decimal(38,2))::double from ({_F11}) b
+                union all select 'gold_daily_revenue', count(*), sum(daily_revenue::decimal(38,2))::double from ({_F12}) c
+                union all select 'gold_top_customers', count(*), sum(total_spend::decimal(38,2))::double from ({_F13}) d)
+        select step, n, null::double as revenue from ({_COUNTS}) x union all select * from g"""),
+    "gold_answers": O.orders_sql(f"""
+        select to_json({_JSON_ROW['rbc']}) as record from (select * from ({_F10}) g0 where shipping_country = 'NATION_3') g
+        union all select '{{"error": "daily_revenue data not loaded"}}'"""),
+    "flatten_pages": O.content_sql("""
+        select page_id, space_key, title, status, body_html, version_number, created_by,
+               strftime(created_date, '%Y-%m-%dT%H:%M:%S.%gZ') as created_date, last_updated_by,
+               strftime(last_updated_date, '%Y-%m-%dT%H:%M:%S.%gZ') as last_updated_date from raw_pages"""),
+    "quarantine": O.content_sql("""
+        select 'wiki_spaces' as table_name, (select count(distinct split_part(url, '/', 3)) from pages)::bigint as good,
+               1::bigint as quarantined
+        union all select 'wiki_pages', count(distinct space_key), 1 from raw_pages
+        union all select 'wiki_comments', count(distinct page_id), 1 from raw_comments"""),
+    "etl_content": O.content_sql("""
+        , sp as (select distinct split_part(url, '/', 3) as host from pages),
+        t(table_name, rows_in, rows_out) as (
+            select 'wiki_spaces', (select count(*) from sp), (select count(*) from sp)
+            union all select 'wiki_pages', (select count(*) from raw_pages), (select count(*) from silver_pages)
+            union all select 'wiki_comments', (select count(*) from raw_comments), (select count(*) from silver_comments)),
+        days as (select cast(created_date as date) as d from silver_pages union
+                 select cast(created_date as date) from silver_comments),
+        authors as (select created_by as a from silver_pages union select author from silver_comments)
+        select table_name, 'rows_in' as step, rows_in::bigint as n from t
+        union all select table_name, 'rows_out', rows_out from t
+        union all select table_name, 'duplicates_removed', rows_in - rows_out from t
+        union all select 'wiki_content_by_space', 'rows', count(distinct space_key) from silver_pages
+        union all select 'wiki_content_by_space', 'total_words', sum(word_count)::bigint from silver_pages
+        union all select 'wiki_author_activity', 'rows', count(*) from authors where a is not null
+        union all select 'wiki_most_discussed', 'rows', count(*) from silver_pages
+        union all select 'wiki_most_discussed', 'comments', count(*) from silver_comments
+                         where page_id in (select page_id from silver_pages)
+        union all select 'wiki_content_timeline', 'rows', count(*) from days where d is not null"""),
+    "absent_inputs": O.content_sql("""
+        , c as (select cast(created_date as date) as d, count(distinct comment_id) as n from silver_comments
+                where created_date is not null group by 1)
+        select d as "day", 0::bigint as pages_created, n::bigint as comments_created, n::bigint as total_activity,
+               0::bigint as cumulative_pages from c"""),
+})
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_orders": q_silver_orders,
     "revenue_by_country": q_revenue_by_country,
@@ -447,6 +630,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rrf_hybrid": q_rrf_hybrid,
     "secured_bm25": q_secured_bm25,
     "incremental_orders": q_incremental_orders,
+    "incremental_pages": q_incremental_pages,
+    "gold_merge": q_gold_merge,
+    "etl_orders": q_etl_orders,
+    "gold_answers": q_gold_answers,
+    "flatten_pages": q_flatten_pages,
+    "quarantine": q_quarantine,
+    "etl_content": q_etl_content,
+    "absent_inputs": q_absent_inputs,
 }
 
 

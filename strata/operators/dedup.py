@@ -43,5 +43,5 @@ def drop_meta(df: DataFrame) -> DataFrame:
 def lineage_order(df: DataFrame) -> list[Column]:
     """Default "last" for raw rows: later ingest run, later micro-batch, then
     source file, then position of the row in its file (stamped at ingest)."""
-    cols = [c for c in ("_ingested_at", "_ingest_batch", "_source_file", "_ingest_seq") if c in df.columns]
+    cols = [c for c in ("_ingested_at", "_ingest_batch", "_source_file", "_source_path", "_ingest_seq") if c in df.columns]
     return [F.col(c) for c in cols]

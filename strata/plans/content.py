@@ -16,10 +16,10 @@ from strata.operators.window import running_total
 # Declared shapes of the silver tables, used for absent (empty) inputs.
 SILVER_PAGES_SCHEMA = (
     "page_id string, space_key string, title string, status string, body_html string, "
-    "version_number long, created_by string, created_date timestamp, last_updated_by string, "
-    "last_updated_date timestamp, body_text string, word_count long, content_length long")
+    "version_number long, created_by string, created_date timestamp_ntz, last_updated_by string, "
+    "last_updated_date timestamp_ntz, body_text string, word_count long, content_length long")
 SILVER_COMMENTS_SCHEMA = (
-    "comment_id string, page_id string, body_html string, author string, created_date timestamp, "
+    "comment_id string, page_id string, body_html string, author string, created_date timestamp_ntz, "
     "comment_text string, word_count long")
 
 
@@ -54,8 +54,13 @@ def clean_pages(bronze: DataFrame, order_by: Sequence[Column | str] | None = Non
     Keep-last runs first so that the HTML of replaced copies is never parsed.
     """
     order_by = list(order_by) if order_by is not None else page_order(bronze)
-    last = drop_meta(keep_last(bronze, ["page_id"], order_by))
-    with_text = last.withColumn("body_text", T.html_to_text("body_html"))
+    return tidy_pages(keep_last(bronze, ["page_id"], order_by))
+
+
+def tidy_pages(last: DataFrame) -> DataFrame:
+    """The row-wise part of :func:`clean_pages`, for rows that are already the
+    last copy of their page."""
+    with_text = drop_meta(last).withColumn("body_text", T.html_to_text("body_html"))
     return with_text.withColumns({
         "version_number": F.col("version_number").cast("long"),
         "word_count": T.word_count("body_text"),

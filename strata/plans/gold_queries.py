@@ -9,9 +9,9 @@ it.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,9 +54,19 @@ def gold_table(store: Mapping[str, DataFrame], name: str) -> DataFrame:
 
 
 def error_record(name: str) -> str:
+    # fixed value: the text of the error record
     return json.dumps({"error": f"{name} data not loaded"})
 
 
+def answer(spark: SparkSession, store: Mapping[str, DataFrame], name: str,
+           query: Callable[[DataFrame], DataFrame] = lambda gold: gold, col: str = "record") -> DataFrame:
+    """L4: the records of ``query`` over a gold table as JSON, one per row; an
+    unknown table gives the error record as the only row."""
+    if name not in store:
+        return spark.createDataFrame([(error_record(name),)], f"{col} string")
+    return to_json_records(query(store[name]), col)
+
+
 def query_revenue_by_country(gold: DataFrame, country: str | None = None) -> DataFrame:
     """Optional country code, compared upper-cased; none = all rows."""
     return gold if not country else gold.filter(F.col("shipping_country") == F.lit(country.upper()))
@@ -79,14 +89,14 @@ def query_daily_revenue(gold: DataFrame, start_date: str | None = None, end_date
     return out
 
 
-def query_top_customers(silver_or_gold: DataFrame, top_n: int = 10) -> DataFrame:
+def query_top_customers(silver_or_gold: DataFrame, top_n: int = 10, unique_orders: bool = False) -> DataFrame:
     """H4: the first ``top_n`` (1..50) customers by spend. Given silver orders
     the ranking is computed for exactly ``top_n``; given a stored gold table it
     is re-sorted and cut (so at most the stored rows come back)."""
     if not 1 <= top_n <= 50:
         raise ValueError("top_n must be in 1..50")
     if "total_amount" in silver_or_gold.columns:
-        return orders_plan.top_customers(silver_or_gold, top_n)
+        return orders_plan.top_customers(silver_or_gold, top_n, unique_orders)
     return silver_or_gold.orderBy(*gold_order("top_customers", silver_or_gold.columns)).limit(top_n)
 
 

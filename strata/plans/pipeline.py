@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from strata.plans import content as content_plan
 from strata.plans import orders as orders_plan
 from strata.plans.metrics import StepMetrics
-from strata.session import tune_for_input
+from strata.session import tuned_for
 from strata.sources import ingest
 from strata.sources.lake import Lake
 
@@ -25,14 +25,18 @@ def run_orders_etl(lake: Lake, source_csv: str, top_n: int = 50,
     Returns the gold frames (read back from storage) and the step metrics
     (rows in/out, duplicates and cancelled rows removed, groups per table).
     """
-    tune_for_input(lake.spark, source_csv)
+    with tuned_for(lake.spark, source_csv):
+        return _orders_etl(lake, source_csv, top_n, ingested_at)
+
+
+def _orders_etl(lake: Lake, source_csv: str, top_n: int, ingested_at: str | None) -> dict[str, object]:
     bronze = ingest.ingest_csv(lake, source_csv, "orders", ingested_at=ingested_at)
     metrics = StepMetrics()
     silver = orders_plan.clean_orders(bronze, metrics=metrics)
     lake.write_parquet(silver.withColumn("_processed_at", _stamp(ingested_at)), "silver", "orders")
     stored = lake.read_parquet("silver", "orders")
     gold = {}
-    for name, df in orders_plan.build_gold(stored, top_n).items():
+    for name, df in orders_plan.build_gold(stored, top_n, unique_orders=True).items():
         out = metrics.tap(df.withColumn("_aggregated_at", _stamp(ingested_at)), f"gold_{name}")
         lake.write_parquet(out, "gold", name)
         gold[name] = lake.read_parquet("gold", name)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,7 +37,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
         # Local runs only: a scratch checkpoint folder when none is configured.
-        if master.startswith("local") and not SparkSession.getActiveSession():
+        if (master.startswith("local") and not SparkSession.getActiveSession()
+                and not builder._options.get("spark.checkpoint.dir")):
             builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-ckpt-"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -110,6 +112,19 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return total
 
 
+@contextmanager
+def tuned_for(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES):
+    """:func:`tune_for_input` for the jobs of a ``with`` block; the session's
+    own settings come back afterwards."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        yield tune_for_input(spark, paths, target_bytes)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def tune_for_input(spark: SparkSession, paths, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
     """Size shuffles for the input: ``spark.sql.shuffle.partitions`` becomes
     about input bytes / ``target_bytes`` (never lowered below its current

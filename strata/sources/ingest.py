@@ -10,10 +10,22 @@ from pyspark.sql import types as T
 
 from strata.sources.lake import Lake
 
-# Raw order records: every column as text; the silver step does the typing.
-ORDERS_RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in (
-    "order_id customer_id product_name category quantity unit_price order_date "
-    "shipping_city shipping_country payment_method status").split()])
+# The columns of raw order records, in file order. Every column is
+# text; the silver step does the typing.
+ORDERS_RAW_COLUMNS = [
+    "order_id",
+    "customer_id",
+    "product_name",
+    "category",
+    "quantity",
+    "unit_price",
+    "order_date",
+    "shipping_city",
+    "shipping_country",
+    "payment_method",
+    "status",
+]
+ORDERS_RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ORDERS_RAW_COLUMNS])
 
 
 def run_timestamp() -> str:
@@ -25,19 +37,22 @@ def run_timestamp() -> str:
 def stamp_lineage(df: DataFrame, source: str | None = None, ingested_at: str | None = None) -> DataFrame:
     """A4: ``_ingested_at`` (run stamp), ``_source_file`` (``source``, else an
     existing ``_source_file`` column, else the file base name from the scan
-    metadata), ``_ingest_seq`` (position of the row in its source: increases
-    with the file offset inside one file).
+    metadata), ``_source_path`` (its whole path, so that equal base names in two
+    folders stay apart), ``_ingest_seq`` (position of the row in its source:
+    increases with the file offset inside one file).
     """
     ts = ingested_at or run_timestamp()
     if source is not None:
-        src = F.lit(source)
+        src = path = F.lit(source)
     elif "_source_file" in df.columns:
         src = F.col("_source_file")
+        path = F.col("_source_path") if "_source_path" in df.columns else src
     else:
-        src = F.col("_metadata.file_name")
+        src, path = F.col("_metadata.file_name"), F.col("_metadata.file_path")
     return df.withColumns({
         "_ingested_at": F.lit(ts),
         "_source_file": src,
+        "_source_path": path,
         "_ingest_seq": F.monotonically_increasing_id(),
     })
 

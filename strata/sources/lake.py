@@ -1,7 +1,8 @@
 """Medallion lake layout and table I/O.
 
-A table is a directory of part files: ``<root>/<layer>/<table>/`` for
-Parquet and ``<root>/<layer>/<table>__csv/`` for its CSV twin (the two
+A table is a directory: ``<root>/<layer>/<table>/v<number>/`` for Parquet that
+is replaced as a whole (the last version with a commit mark counts),
+``<root>/<layer>/<table>/`` for Parquet written in parts, and ``<root>/<layer>/<table>__csv/`` for its CSV twin (the two
 formats cannot share one directory). ``root`` may be any Hadoop file system
 URI (``s3a://``, ``abfss://``, ``hdfs://``, ``file:``); existence checks,
 listing and deletes go through the Hadoop ``FileSystem`` of the session, so
@@ -10,12 +11,17 @@ they work the same on a cluster as locally.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold")
 CSV_SUFFIX = "__csv"
+# Versions of a table that is replaced as a whole, and the mark of a complete one.
+VERSION_RE = re.compile(r"v\d{9}")
+COMMITTED = "_COMMITTED"
 
 
 class Lake:
@@ -23,7 +29,6 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # ---------------------------------------------------------------- paths
     def path(self, layer: str, table: str, fmt: str = "parquet") -> str:
         """``(layer, table)`` -> table directory."""
         if layer not in LAYERS:
@@ -36,17 +41,47 @@ class Lake:
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         return hpath.getFileSystem(conf), hpath
 
-    # ---------------------------------------------------------------- write
+    def _versions(self, path: str) -> list[str]:
+        """Committed versions of a table, oldest first."""
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return []
+        jvm = self.spark.sparkContext._jvm
+        names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+        return sorted(n for n in names if VERSION_RE.fullmatch(n)
+                      and fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/{COMMITTED}")))
+
+    def current(self, layer: str, table: str) -> str:
+        """The folder that holds the table's rows now: its last committed
+        version, or the table's own folder where it is written in parts
+        (stream batches, key buckets)."""
+        path = self.path(layer, table)
+        versions = self._versions(path)
+        return f"{path}/{versions[-1]}" if versions else path
+
     def write_parquet(self, df: DataFrame, layer: str, table: str,
                       partition_by: list[str] | None = None) -> str:
-        """A5: replace the whole table; returns its path. Spark's commit
-        protocol makes the write atomic per task, so a lost executor's task is
-        simply re-run."""
+        """A5: replace the whole table; returns its folder. The rows go into a
+        version folder of their own, which counts from the moment its
+        commit mark is there: a write that fails half-way leaves the former
+        rows in place, and a reader keeps the version it was planned on (one
+        former version is kept)."""
         path = self.path(layer, table)
-        w = df.write.mode("overwrite")
+        fs, p = self._fs(path)
+        taken = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        numbers = [int(n[1:]) for n in taken if VERSION_RE.fullmatch(n)]
+        if taken and not numbers:
+            raise ValueError(f"{path} is written in parts; it cannot be replaced as a whole")
+        target = f"{path}/v{max(numbers, default=0) + 1:09d}"
+        w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        w.parquet(target)
+        fs.create(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/{COMMITTED}"), True).close()
+        keep = set(self._versions(path)[-2:])
+        for name in taken:                         # older versions, and what failed writes left
+            if VERSION_RE.fullmatch(name) and name not in keep:
+                self.delete_path(f"{path}/{name}")
         return path
 
     def write_csv(self, df: DataFrame, layer: str, table: str) -> str:
@@ -58,10 +93,9 @@ class Lake:
         out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
         return path
 
-    # ---------------------------------------------------------------- read
     def read_parquet(self, layer: str, table: str) -> DataFrame:
         """A7."""
-        return self.spark.read.parquet(self.path(layer, table))
+        return self.spark.read.parquet(self.current(layer, table))
 
     def read_or_empty(self, layer: str, table: str, schema: str | T.StructType) -> DataFrame:
         """A missing table reads as an empty frame with the declared schema."""
@@ -69,7 +103,6 @@ class Lake:
             return self.read_parquet(layer, table)
         return self.spark.createDataFrame([], schema)
 
-    # ---------------------------------------------------------------- manage
     def exists(self, layer: str, table: str) -> bool:
         """A9."""
         fs, p = self._fs(self.path(layer, table))
@@ -87,3 +120,8 @@ class Lake:
         """Remove the Parquet table (its CSV twin stays)."""
         fs, p = self._fs(self.path(layer, table))
         return bool(fs.delete(p, True)) if fs.exists(p) else False
+
+    def delete_path(self, path: str) -> bool:
+        """Remove a folder of the lake (a partition, a run's scratch)."""
+        fs, p = self._fs(path)
+        return bool(fs.delete(p, True)) if fs.exists(p) else False

@@ -155,3 +155,31 @@ def space_groups(spaces_or_pages: DataFrame, key: str = "space_key") -> DataFram
     groups = (F.when(F.col("space_key").endswith(".COM"), F.array(F.lit("team-a"), F.lit("all")))
               .when(F.col("space_key").endswith(".NET"), F.array(F.lit("team-b"))))
     return keys.select("space_key", groups.alias("allowed_groups")).filter(F.col("allowed_groups").isNotNull())
+
+
+def space_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spaces as API responses: one result each."""
+    return raw_spaces(spark, sf_dir).select(F.array(F.struct(
+        F.col("space_id").alias("id"), F.col("space_key").alias("key"), F.col("space_name").alias("name"),
+        F.col("space_type").alias("type"),
+        F.struct(F.struct(F.col("description").alias("value")).alias("plain")).alias("description"))).alias("results"))
+
+
+def page_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as API responses, one per space."""
+    by = lambda c: F.struct(F.col(c).alias("displayName"))
+    result = F.struct(
+        F.col("page_id").alias("id"), "title", "status",
+        F.struct(F.struct(F.col("body_html").alias("value")).alias("storage")).alias("body"),
+        F.struct(F.col("version_number").alias("number"), F.col("last_updated_date").alias("when"),
+                 by("last_updated_by").alias("by")).alias("version"),
+        F.struct(F.col("created_date").alias("createdDate"), by("created_by").alias("createdBy")).alias("history"))
+    return raw_pages(spark, sf_dir).groupBy("space_key").agg(F.collect_list(result).alias("results"))
+
+
+def comment_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments as API responses, one per page."""
+    result = F.struct(
+        F.col("comment_id").alias("id"), F.struct(F.struct(F.col("body_html").alias("value")).alias("storage")).alias("body"),
+        F.struct(F.col("created_date").alias("when"), F.struct(F.col("author").alias("displayName")).alias("by")).alias("version"))
+    return raw_comments(spark, sf_dir).groupBy("page_id").agg(F.collect_list(result).alias("results"))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.sources.lake import Lake
+
 _S = T.StringType()
 
 
@@ -42,9 +44,37 @@ def _text(path: str) -> F.Column:
     return F.coalesce(F.col(path), F.lit(""))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _parsed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(line, _source_path, r): every non-blank line and its parsed response."""
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, _S)])
+    lines = (spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_source_path"))
+             .filter(F.trim("line") != ""))
+    return lines.withColumn("r", F.from_json("line", full, {"columnNameOfCorruptRecord": CORRUPT}))
+
+
 def read_responses(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Landed responses, one JSON object per line."""
-    return spark.read.schema(schema).json(path)
+    """Landed responses, one JSON object per line; lines that are no such
+    object are left to :func:`bad_responses`."""
+    return _parsed(spark, path, schema).filter(F.col(f"r.{CORRUPT}").isNull()).select("r.*").drop(CORRUPT)
+
+
+def bad_responses(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """(line, _source_path) of the landed lines that do not parse, for a
+    quarantine table; with :func:`read_responses` they add up to all lines."""
+    return _parsed(spark, path, schema).filter(F.col(f"r.{CORRUPT}").isNotNull()).select("line", "_source_path")
+
+
+def land_responses(lake: Lake, path: str, schema: T.StructType, table: str) -> tuple[DataFrame, dict[str, int]]:
+    """Good responses of ``path`` and the counts of landed, good and
+    quarantined lines; the latter are kept in ``bronze/<table>__quarantine``."""
+    lake.write_parquet(bad_responses(lake.spark, path, schema), "bronze", f"{table}__quarantine")
+    bad = lake.read_parquet("bronze", f"{table}__quarantine").count()
+    good = read_responses(lake.spark, path, schema)
+    landed = lake.spark.read.text(path).filter(F.trim("value") != "").count()
+    return good, {"landed": landed, "good": landed - bad, "quarantined": bad}
 
 
 def flatten_spaces(responses: DataFrame) -> DataFrame:

@@ -9,18 +9,26 @@ partition ``ingest_stream=<stream id>/ingest_batch=<batch id>`` in overwrite
 mode: if a batch is run again after a failure it replaces its own earlier
 output, so the append is exactly-once. The stream id lives in the checkpoint
 (by default beside the table), so a new checkpoint, whose batch numbers start
-at 0 again, never overwrites what another one wrote. Silver is then re-derived with keep-last (D1), so a
-re-delivered record replaces the older copy.
+at 0 again, never overwrites what another one wrote.
+
+``merge_changes`` carries a batch on into silver without reading earlier batches:
+the last raw copy per key is stored in key buckets (``bronze/<table>__latest``),
+and a batch rewrites only the buckets of its keys there, in silver, and in the
+partial sums of gold. Every step computes a bucket from what is stored and
+the batch, so a batch that is run again after a failure gives the same buckets.
 """
 
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.dedup import keep_last
+from strata.session import materialize
 from strata.sources.ingest import ORDERS_RAW_SCHEMA, stamp_lineage
 from strata.sources.lake import Lake
 
@@ -30,16 +38,20 @@ STREAM_COL, BATCH_COL = "ingest_stream", "ingest_batch"
 
 def ingest_new_files(lake: Lake, landing_dir: str, table: str, schema: T.StructType = ORDERS_RAW_SCHEMA,
                      fmt: str = "csv", checkpoint: str | None = None, ingested_at: str | None = None,
-                     max_files_per_trigger: int | None = None) -> int:
+                     max_files_per_trigger: int | None = None,
+                     on_batch: Callable[[DataFrame], None] | None = None) -> int:
     """Append the files of ``landing_dir`` not seen by earlier runs to
-    ``bronze/<table>``; returns the number of rows added by this run."""
+    ``bronze/<table>``; returns the number of rows added by this run.
+    ``on_batch`` gets the stored rows of each micro-batch (run again with the
+    same rows if it fails)."""
     spark = lake.spark
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.load(landing_dir).withColumn("_source_file", F.col("_metadata.file_name"))
+    stream = reader.load(landing_dir).withColumns({
+        "_source_file": F.col("_metadata.file_name"), "_source_path": F.col("_metadata.file_path")})
     target = lake.path("bronze", table)
 
     started, stream_id, added = threading.Event(), [], []
@@ -48,7 +60,10 @@ def ingest_new_files(lake: Lake, landing_dir: str, table: str, schema: T.StructT
         started.wait()
         path = f"{target}/{STREAM_COL}={stream_id[0]}/{BATCH_COL}={batch_id}"
         stamp_lineage(batch, ingested_at=ingested_at).write.mode("overwrite").parquet(path)
-        added.append(spark.read.parquet(path).count())
+        stored = spark.read.parquet(path)
+        added.append(stored.count())
+        if on_batch is not None and added[-1]:
+            on_batch(stored)
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint or f"{lake.root}/_streams/{table}")
@@ -68,3 +83,62 @@ def read_bronze(lake: Lake, table: str, schema: T.StructType = ORDERS_RAW_SCHEMA
     empty = T.StructType([*schema.fields, *lineage])
     return (lake.read_or_empty("bronze", table, empty).withColumnRenamed(STREAM_COL, "_ingest_stream")
             .withColumnRenamed(BATCH_COL, "_ingest_batch"))
+
+
+LATEST = "__latest"
+
+
+def bucket_column(buckets: int) -> str:
+    """Name of the partition column (it holds the number of buckets, so that
+    a table is never read or written with another number)."""
+    return f"bucket_of_{buckets}"
+
+
+def merge_changes(lake: Lake, table: str, batch: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str],
+                  tidy: Callable[[DataFrame], DataFrame], buckets: int,
+                  partials: Callable[[DataFrame, list[str]], dict[str, DataFrame]] | None = None) -> list[int]:
+    """Merge raw rows into ``silver/<table>`` by key (K1, D1); returns the
+    buckets that were rewritten. Files of other buckets are not touched.
+
+    ``tidy`` makes silver rows from rows that are the last copy of their key;
+    ``partials(silver, [bucket column])`` gives partial sums that are stored per
+    bucket as ``gold/<name>__partial``. Choose ``buckets`` so that one is about
+    1 GB (it is fixed with the first batch).
+    """
+    spark, bucket = lake.spark, bucket_column(buckets)
+    tagged = batch.withColumn(bucket, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    changed = sorted(r[0] for r in tagged.select(bucket).distinct().collect())     # at most ``buckets`` numbers
+    if not changed:
+        return []
+    latest = f"{table}{LATEST}"
+    if lake.exists("bronze", latest):
+        old = lake.read_parquet("bronze", latest)
+        if bucket not in old.columns:
+            raise ValueError(f"{latest} is stored with another number of buckets")
+        tagged = old.filter(F.col(bucket).isin(changed)).unionByName(tagged, allowMissingColumns=True)
+    # stored first: the buckets are replaced from these files, not from those being replaced
+    last = materialize(keep_last(tagged, [bucket, *keys], order_by), latest)
+    _replace_buckets(lake, last, "bronze", latest, bucket, changed)
+    tidied = tidy(last)
+    _replace_buckets(lake, tidied, "silver", table, bucket, changed)
+    if partials is not None:
+        silver = spark.read.schema(tidied.schema).parquet(lake.path("silver", table)).filter(F.col(bucket).isin(changed))
+        for name, sums in partials(silver, [bucket]).items():
+            _replace_buckets(lake, sums, "gold", f"{name}__partial", bucket, changed)
+    return changed
+
+
+def _replace_buckets(lake: Lake, df: DataFrame, layer: str, table: str, bucket: str, changed: list[int]) -> None:
+    """Dynamic partition overwrite of the buckets of ``df``; a changed bucket
+    without rows (all of them filtered out) is removed."""
+    (df.repartition(bucket).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(bucket).parquet(lake.path(layer, table)))
+    filled = {r[0] for r in df.select(bucket).distinct().collect()}
+    for b in changed:
+        if b not in filled:
+            lake.delete_path(f"{lake.path(layer, table)}/{bucket}={b}")
+
+
+def read_silver(lake: Lake, table: str, buckets: int) -> DataFrame:
+    """The merged silver table, without its bucket column."""
+    return lake.read_parquet("silver", table).drop(bucket_column(buckets))
