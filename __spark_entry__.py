@@ -355,6 +355,40 @@ def q_rrf_hybrid(spark, sf_dir):
     return R.rrf([words, near], k=10)
 
 
+def q_bm25_bounded(spark, sf_dir):
+    return R.bm25_bounded(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir), k=10)
+
+
+def q_vector_bounded(spark, sf_dir):
+    emb = TD.table(spark, sf_dir, "embeddings")
+    queries = R.centroids(emb, "label", "embedding").withColumnRenamed("label", "query_id")
+    return R.vector_bounded(emb, queries, k=5)
+
+
+def q_rrf_bounded(spark, sf_dir):
+    """Documents ranked by their text and by their best chunk, fused per query."""
+    docs = R.scored_list(R.bm25_scores(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir)))
+    chunks = q_chunks(spark, sf_dir).select(
+        F.concat_ws(":", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"),
+        "doc_id", "chunk")
+    parts = R.bm25_scores(chunks, _queries(spark, sf_dir), doc_id="chunk_id", doc_text="chunk")
+    # chunk ids are '<doc>:<index>': those of different documents differ before or at the colon
+    of_docs = R.best_part_list(parts, F.split_part(F.col("doc_id"), F.lit(":"), F.lit(1)).cast("long"),
+                               tie=F.concat(F.col("item").cast("string"), F.lit(":")))
+    return R.rrf_top_k([docs, of_docs], k=10)
+
+
+def q_hybrid_bounded(spark, sf_dir):
+    """Keyword and vector rankings, both whole, fused per query: query i is
+    benchmark text i and vector i; a vector belongs to the document of its id."""
+    words = R.scored_list(R.bm25_scores(TD.table(spark, sf_dir, "documents"), _queries(spark, sf_dir)))
+    emb = TD.table(spark, sf_dir, "embeddings")
+    asked = (emb.join(_queries(spark, sf_dir), F.col("vec_id") == F.col("query_id"), "left_semi")
+             .select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")))
+    near = R.scored_list(R.vector_scores(emb, asked), item="vec_id")
+    return R.rrf_top_k([words, near], k=10)
+
+
 def q_secured_bm25(spark, sf_dir):
     """Keyword search over the documents a caller may see (C5, M2, top)."""
     docs = access.visible_to(_secured_docs(spark, sf_dir), ["team-a"])
@@ -548,6 +582,10 @@ _COUNTS = """
     union all select 'duplicates_removed', (select count(*) - count(distinct order_id) from raw_orders)
     union all select 'cancelled_removed', (select count(distinct order_id) from raw_orders) - (select count(*) from silver_orders)"""
 ORACLE.update({
+    "bm25_bounded": ORACLE["bm25"],
+    "vector_bounded": ORACLE["vector_top_k"],
+    "rrf_bounded": ORACLE["rrf"],
+    "hybrid_bounded": ORACLE["rrf_hybrid"],
     "incremental_pages": ORACLE["silver_pages"],
     "gold_merge": O.orders_sql(f"""
         select 'revenue_by_country' as table_name, shipping_country as key, total_revenue as revenue, order_count,
@@ -630,6 +668,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rrf_hybrid": q_rrf_hybrid,
     "secured_bm25": q_secured_bm25,
     "incremental_orders": q_incremental_orders,
+    "bm25_bounded": q_bm25_bounded,
+    "vector_bounded": q_vector_bounded,
+    "rrf_bounded": q_rrf_bounded,
+    "hybrid_bounded": q_hybrid_bounded,
     "incremental_pages": q_incremental_pages,
     "gold_merge": q_gold_merge,
     "etl_orders": q_etl_orders,

@@ -13,13 +13,18 @@ uses ``row_number() <= k``, which Spark pre-filters per task
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from strata.functions import text as T
 from strata.functions.coerce import round_half_even
+from strata.session import materialize
 
 # --- fixed values -------------------------------------------------------
 # Tokens for keyword ranking: runs of Unicode letters and digits, lower-cased.
@@ -33,6 +38,13 @@ RRF_K = 60
 RANK_PLACES = 9
 # Blocks of queries in :func:`vector_top_k`.
 QUERY_BLOCKS = 16
+# Queries and vectors that are scored together, and the salts that deal the
+# vectors where every one meets every query.
+QUERY_ROWS = 256
+VECTOR_ROWS = 4096
+VECTOR_SALTS = 64
+# Clusters of the exact vector search.
+VECTOR_CLUSTERS = 256
 # -------------------------------------------------------------------------
 
 
@@ -96,25 +108,19 @@ def explode_nonempty(arr: Column, name: str) -> Column:
     return F.explode_outer(arr).alias(name)
 
 
-def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
-               query_id: str = "query_id", query_text: str = "query", k: int | None = 10,
-               k1: float = BM25_K1, b: float = BM25_B, places: int = 6) -> DataFrame:
-    """M2: BM25 ranking of every document for every query; the ``k`` best per
-    query. Output: ``query_id``, ``doc_id``, ``rank``, ``score``.
+def bm25_weights(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
+                 query_id: str = "query_id", query_text: str = "query",
+                 k1: float = BM25_K1, b: float = BM25_B) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, term, w), (query_id, term)): the weight of every query term in
+    every document that has it, and the distinct terms of every query.
 
-    score(q, d) = sum over distinct query terms t in d of
-        idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * |d| / avgdl)),
+    weight(t, d) = idf(t) * tf * (k1 + 1) / (tf + k1 * (1 - b + b * |d| / avgdl)),
     idf(t) = ln(1 + (N - df + 0.5) / (df + 0.5)).
 
-    One lazy plan: (1) N and avgdl are scalar subqueries (one global
-    aggregate each, run by Spark before the scoring stage); (2) texts are
-    tokenised where they are read, and only (document, length, term, count)
-    rows of query terms are shuffled, by document, never a text; (3) the
-    per-(query, document) sums and the per-task top-``k`` pre-limit run on that
-    partitioning; (4) only ``k`` rows per query and task cross the final
-    exchange. Document frequencies are a partial aggregate per term. Whether
-    the query side is broadcast is Spark's choice, by measured bytes.
-    Visibility filters (C5) belong on ``docs`` before the call.
+    N and avgdl are scalar subqueries (one global aggregate each); texts are
+    tokenised where they are read, and only (document, length, term, count) rows
+    of query terms are shuffled, by document, never a text. Document frequencies
+    are a partial aggregate per term.
     """
     dtoks = (docs.select(F.col(doc_id).alias("doc_id"), tokens(doc_text).alias("__t"))
              .withColumn("__dl", F.size("__t")))
@@ -132,18 +138,124 @@ def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_
     df_t = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf_t = df_t.select("term", idf.alias("idf"))
-    # the weight of a term in a document does not depend on the query: it is
-    # computed once per (document, term) before fanning out to the queries
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     weight = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    weights = (tf.join(idf_t, "term")
-               .select("doc_id", "term", weight.alias("w")))
-    scores = (weights.join(qterms, "term")
-              .groupBy("query_id", "doc_id").agg(F.sum("w").alias("__s"))
-              .withColumn("__rs", round_half_even("__s", RANK_PLACES)))
+    return tf.join(idf_t, "term").select("doc_id", "term", weight.alias("w")), qterms
+
+
+def bm25_scores(docs: DataFrame, queries: DataFrame, **columns) -> DataFrame:
+    """(query_id, doc_id, s): the score of every document that shares a term
+    with the query (the sum of its weights). The sums run on the weights'
+    partitioning by document, so no (query, document) row is shuffled here."""
+    weights, qterms = bm25_weights(docs, queries, **columns)
+    return weights.join(qterms, "term").groupBy("query_id", "doc_id").agg(F.sum("w").alias("s"))
+
+
+# Weights of a term are kept in blocks of this width; this many of the first
+# postings look for a floor; scores closer than this are not told apart by a bound.
+IMPACT_BLOCK = 0.25
+HEAD = 200
+IDLE_SHARE = 0.5
+BOUND_MARGIN = 1e-7
+
+
+def _exact(pairs: DataFrame, weights: DataFrame, qterms: DataFrame) -> DataFrame:
+    """(query_id, doc_id, s) of some pairs: their whole scores."""
+    return (pairs.join(qterms, "query_id").join(weights, ["doc_id", "term"])
+            .groupBy("query_id", "doc_id").agg(F.sum("w").alias("s")))
+
+
+def _kth(scores: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(the ``k`` best rows of each query, (query_id, floor): the k-th best
+    score of queries with ``k`` rows)."""
+    order = Window.partitionBy("query_id").orderBy(F.col("s").desc(), "doc_id")
+    best = scores.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
+    return best.drop("r"), best.filter(F.col("r") == k).select("query_id", F.col("s").alias("floor"))
+
+
+def bm25_candidates(weights: DataFrame, qterms: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """((query_id, doc_id, s), (query_id, term)): documents that may be among a
+    query's ``k`` best, with the sum ``s`` of the terms that proposed them, and the
+    query's idle terms, which are left to add. All other documents are proven
+    not to be among the best.
+
+    * ``top``: the largest weight of each block of a term's postings (weights
+      between multiples of :data:`IMPACT_BLOCK`); ``most``: of the term.
+    * ``floor``: the documents with the best sums over the first blocks of each
+      term (up to :data:`HEAD` postings) are scored whole; the k-th best score
+      is a floor under the final one. Any documents would do.
+    * idle terms: those of smallest ``most`` (common words) that together
+      (``idle``) stay below a share of the floor. Their postings propose nothing.
+    * A posting of another term counts only if its weight plus ``most`` of all
+      other terms reaches the floor; blocks whose ``top`` does not are skipped
+      whole. A document stays if the sum of its counted weights plus ``idle``
+      reaches the floor (one that lost a posting never does).
+    """
+    postings = weights.withColumn("block", F.floor(F.col("w") / IMPACT_BLOCK).cast("int"))
+    blocks = materialize(postings.groupBy("term", "block").agg(F.max("w").alias("top"), F.count(F.lit(1)).alias("n")),
+                         "bm25_blocks")
+    most = blocks.groupBy("term").agg(F.max("top").alias("most"))
+    down = Window.partitionBy("term").orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = blocks.withColumn("upto", F.sum("n").over(down)).filter(F.col("upto") <= max(HEAD, 4 * k)).select("term", "block")
+    heads = postings.join(first, ["term", "block"]).select("doc_id", "term", "w")
+    probes, _ = _kth(heads.join(qterms, "term").groupBy("query_id", "doc_id").agg(F.sum("w").alias("s")), 2 * k)
+    _, floor = _kth(_exact(probes.select("query_id", "doc_id"), weights, qterms), k)
+    whole = Window.partitionBy("query_id")
+    up = whole.orderBy("most", "term").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    is_idle = F.col("reach") < F.col("floor") * IDLE_SHARE
+    asked = (qterms.join(most, "term").join(floor, "query_id", "left")
+             .withColumn("floor", F.coalesce("floor", F.lit(0.0)) - BOUND_MARGIN)
+             .withColumns({"reach": F.sum("most").over(up), "others": F.sum("most").over(whole) - F.col("most")})
+             .withColumn("idle", F.coalesce(F.max(F.when(is_idle, F.col("reach"))).over(whole), F.lit(0.0)))
+             .select("query_id", "term", is_idle.alias("is_idle"),
+                     (F.col("floor") - F.col("others") - BOUND_MARGIN).alias("need"),
+                     (F.col("floor") - F.col("idle") - BOUND_MARGIN).alias("least")))
+    asked = materialize(asked, "bm25_asked")
+    visited = asked.filter(~F.col("is_idle")).join(blocks, "term").filter(F.col("top") >= F.col("need"))
+    found = (postings.join(visited.select("query_id", "term", "block", "need", "least"), ["term", "block"])
+             .filter(F.col("w") >= F.col("need"))
+             .groupBy("query_id", "doc_id").agg(F.sum("w").alias("s"), F.max("least").alias("least"))
+             .filter(F.col("s") >= F.col("least")).drop("least"))
+    return found, asked.filter("is_idle").select("query_id", "term")
+
+
+def bm25_top_k(docs: DataFrame, queries: DataFrame, doc_id: str = "doc_id", doc_text: str = "text",
+               query_id: str = "query_id", query_text: str = "query", k: int | None = 10,
+               k1: float = BM25_K1, b: float = BM25_B, places: int = 6) -> DataFrame:
+    """M2: BM25 ranking of every document for every query; the ``k`` best per
+    query (None: all). Output: ``query_id``, ``doc_id``, ``rank``, ``score`` (the
+    sum of :func:`bm25_weights` over the query's distinct terms).
+
+    One lazy plan: the per-(query, document) sums and the per-task top-``k``
+    pre-limit run on the partitioning by document; only ``k`` rows per query and
+    task cross the final exchange. Whether the query side is broadcast is
+    Spark's choice, by measured bytes. Visibility filters (C5) belong on
+    ``docs`` before the call. :func:`bm25_bounded` gives the same rows from fewer
+    sums, at the price of stored tables.
+    """
+    scores = bm25_scores(docs, queries, doc_id=doc_id, doc_text=doc_text, query_id=query_id, query_text=query_text, k1=k1, b=b)
+    return _ranked(scores, k, places)
+
+
+def _ranked(scores: DataFrame, k: int | None, places: int) -> DataFrame:
+    scores = scores.withColumn("__rs", round_half_even("s", RANK_PLACES))
     top = top_k_per(scores, "query_id", "__rs", "doc_id", k)
     return top.select("query_id", "doc_id", F.col("rank").cast("int").alias("rank"),
-                      round_half_even("__s", places).alias("score"))
+                      round_half_even("s", places).alias("score"))
+
+
+def bm25_bounded(docs: DataFrame, queries: DataFrame, k: int = 10, places: int = 6, **columns) -> DataFrame:
+    """The rows of :func:`bm25_top_k` for large tables: the weights are stored
+    once, :func:`bm25_candidates` leaves documents out by upper bounds, and only
+    the rest is scored whole. Its jobs run when it is called."""
+    weights, qterms = bm25_weights(docs, queries, **columns)
+    weights = materialize(weights, "bm25_weights")
+    found, idle = bm25_candidates(weights, qterms, k)
+    found = materialize(found, "bm25_found")
+    more = found.select("query_id", "doc_id").join(idle, "query_id").join(weights, ["doc_id", "term"])
+    scores = (found.unionByName(more.select("query_id", "doc_id", F.col("w").alias("s")))
+              .groupBy("query_id", "doc_id").agg(F.sum("s").alias("s")))
+    return _ranked(scores, k, places)
 
 
 def parents_by_best_chunk(chunk_hits: DataFrame, parent_of: Column, parent: str = "doc_id") -> DataFrame:
@@ -193,6 +305,179 @@ def vector_top_k(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id",
                       round_half_even("__s", places).alias("score"))
 
 
+def vector_scores(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec_col: str = "embedding",
+                  query_id: str = "query_id", query_vec: str = "vector") -> DataFrame:
+    """(query_id, vec_id, s): the cosine of every vector to every query. Zero
+    vectors have no cosine and are left out.
+
+    Queries are dealt into rows of about :data:`QUERY_ROWS`, each an array of
+    queries; vectors meet every such row by an equi-join on its number (salted, so
+    that all tasks take part) and are scored in the JVM.
+    """
+    blocks_n = max(1, -(-queries.count() // QUERY_ROWS))
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0).cast("double"), lambda acc, x: acc + x * x))
+    blocks = (q.withColumn("n", norm).groupBy(F.expr(f"cast(pmod(xxhash64(query_id), {blocks_n}) as int)").alias("__block"))
+              .agg(F.collect_list(F.struct("query_id", "v", "n")).alias("__qs"))
+              .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(VECTOR_SALTS - 1)))))
+    met = (vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("__v"),
+                          F.expr(f"cast(pmod(xxhash64({vec_id}), {VECTOR_SALTS}) as int)").alias("__salt"),
+                          F.explode(F.sequence(F.lit(0), F.lit(blocks_n - 1))).alias("__block"))
+           .join(blocks, ["__block", "__salt"]))
+    scored = met.select("vec_id", F.explode(F.transform("__qs", lambda x: F.struct(
+        x["query_id"].alias("query_id"), _cosine(F.col("__v"), x["v"], x["n"]).alias("s")))).alias("__m"))
+    return scored.select(F.col("__m.query_id").alias("query_id"), "vec_id", F.col("__m.s").alias("s")).filter("s is not null")
+
+
+def _unit(batch, col: str) -> tuple[np.ndarray, np.ndarray]:
+    """(unit vectors, norms) of a list column."""
+    raw = batch.column(col)
+    flat = raw.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    x = flat.reshape(batch.num_rows, -1)
+    norm = np.sqrt((x * x).sum(axis=1))
+    return x / np.where(norm == 0, 1, norm)[:, None], norm
+
+
+def vector_clusters(vectors: DataFrame, clusters: int = VECTOR_CLUSTERS) -> tuple[DataFrame, np.ndarray, list]:
+    """(vectors (vec_id, v, cluster), centres, [(cluster, radius, rows)]).
+
+    Centres are the ``clusters`` vectors of smallest id hash: a fixed number
+    (clusters x dimensions on the driver). A vector belongs to the centre of
+    the smallest angle; the radius is the largest such angle of its members.
+    """
+    import pyarrow as pa
+    picked = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(clusters).select("v").collect()
+    if not picked:
+        none = vectors.select("*", F.lit(None).cast("int").alias("cluster"), F.lit(None).cast("double").alias("angle"))
+        return none, np.zeros((0, 0)), []
+    centres = np.array([r[0] for r in picked], dtype=np.float64)
+    centres = centres / np.sqrt((centres * centres).sum(axis=1))[:, None]
+
+    def assign(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            unit, _ = _unit(batch, "v")
+            cosine = unit @ centres.T
+            nearest = cosine.argmax(axis=1)
+            angle = np.arccos(np.clip(cosine[np.arange(len(unit)), nearest], -1, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(nearest.astype(np.int32)), pa.array(angle)],
+                                             [*batch.schema.names, "cluster", "angle"])
+    schema = T_.StructType([*vectors.schema.fields, T_.StructField("cluster", T_.IntegerType()),
+                            T_.StructField("angle", T_.DoubleType())])
+    dealt = materialize(vectors.mapInArrow(assign, schema), "vector_clusters")
+    shape = dealt.groupBy("cluster").agg(F.max("angle"), F.count(F.lit(1))).collect()     # at most ``clusters`` rows
+    return dealt, centres, [tuple(r) for r in shape]
+
+
+def _angles(queries: DataFrame, centres: np.ndarray, shape: list) -> DataFrame:
+    """(query_id, cluster, bound, rows): the largest cosine that a member of the
+    cluster can have to the query (triangle inequality on angles)."""
+    import pyarrow as pa
+    number = np.array([c for c, _, _ in shape], dtype=np.int32)
+    radius, rows = np.array([r for _, r, _ in shape]), np.array([n for _, _, n in shape], dtype=np.int64)
+
+    def bounds(batches):
+        for batch in batches:
+            if not batch.num_rows or not len(number):
+                continue
+            unit, _ = _unit(batch, "v")
+            angle = np.arccos(np.clip(unit @ centres[number].T, -1, 1))
+            bound = np.cos(np.maximum(0, angle - radius - 1e-7))
+            at = np.repeat(np.arange(batch.num_rows), len(number))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("query_id").take(pa.array(at)), pa.array(np.tile(number, batch.num_rows)),
+                 pa.array(bound.ravel()), pa.array(angle.ravel()), pa.array(np.tile(rows, batch.num_rows))],
+                ["query_id", "cluster", "bound", "angle", "rows"])
+    kind = queries.schema["query_id"].dataType.simpleString()
+    return queries.mapInArrow(bounds, f"query_id {kind}, cluster int, bound double, angle double, rows bigint")
+
+
+def _best_in_clusters(dealt: DataFrame, visits: DataFrame, queries: DataFrame, shape: list, k: int) -> DataFrame:
+    """(query_id, vec_id, s): the ``k`` best of each query in each block of the
+    clusters it visits. A block has about :data:`VECTOR_ROWS` vectors and
+    meets at most about :data:`QUERY_ROWS` queries at a time: one matrix product."""
+    import pyarrow as pa
+    splits = {c: max(1, -(-n // VECTOR_ROWS)) for c, _, n in shape}
+    split = F.create_map(*[F.lit(x) for c, n in splits.items() for x in (c, n)]) if splits else None
+    asked = visits.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).select(
+        "cluster", F.ceil(F.col("n") / QUERY_ROWS).cast("int").alias("groups"))           # a row per cluster
+    left = (dealt.join(asked, "cluster")
+            .withColumn("block", F.pmod(F.xxhash64("vec_id"), split[F.col("cluster")]).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+            .select("cluster", "block", "part", "vec_id", "v"))
+    right = (visits.join(asked, "cluster").join(queries, "query_id")
+             .withColumn("part", F.pmod(F.xxhash64("query_id"), F.col("groups")).cast("int"))
+             .withColumn("block", F.explode(F.sequence(F.lit(0), split[F.col("cluster")] - 1)))
+             .select("cluster", "block", "part", "query_id", "v"))
+    kinds = dealt.schema["vec_id"].dataType.simpleString(), queries.schema["query_id"].dataType.simpleString()
+
+    def best(a: pa.Table, b: pa.Table) -> pa.Table:
+        names = ["query_id", "vec_id", "s"]
+        if not a.num_rows or not b.num_rows:
+            return pa.table({"query_id": b["query_id"].slice(0, 0), "vec_id": a["vec_id"].slice(0, 0),
+                             "s": pa.array([], pa.float64())})
+        a = a.sort_by("vec_id").combine_chunks().to_batches()[0]
+        b = b.combine_chunks().to_batches()[0]
+        (x, _), (y, _) = _unit(a, "v"), _unit(b, "v")
+        s = y @ x.T
+        take = np.argsort(-np.rint(s * 10 ** RANK_PLACES), axis=1, kind="stable")[:, :k]    # ties: smaller vec_id
+        rows = np.repeat(np.arange(len(y)), take.shape[1])
+        return pa.table([b.column("query_id").take(pa.array(rows)), a.column("vec_id").take(pa.array(take.ravel())),
+                         pa.array(s[rows, take.ravel()])], names=names)
+    key = ["cluster", "block", "part"]
+    return (left.groupBy(*key).cogroup(right.groupBy(*key))
+            .applyInArrow(best, f"query_id {kinds[1]}, vec_id {kinds[0]}, s double"))
+
+
+def vector_bounded(vectors: DataFrame, queries: DataFrame, vec_id: str = "vec_id", vec_col: str = "embedding",
+                   query_id: str = "query_id", query_vec: str = "vector", k: int = 5, places: int = 6,
+                   clusters: int = VECTOR_CLUSTERS) -> DataFrame:
+    """M4 for large tables: the rows of :func:`vector_top_k` from fewer pairs. Its
+    jobs run when it is called. Zero vectors and
+    vectors with null or non-finite components, or of other dimensions than the
+    first query, have no cosine and are left out.
+
+    Vectors lie in clusters with a centre and a radius. A query first scores its
+    nearest cluster of ``k`` vectors or more; its k-th best there is a floor, and
+    other clusters are scored only where the triangle inequality leaves a
+    member that reaches it. Nothing is approximated.
+    """
+    q = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("v"))
+    dims = q.select(F.size("v")).limit(1).collect()
+    dims = dims[0][0] if dims else 0
+    fit = ((F.size("v") == dims) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+           & F.exists("v", lambda x: x != 0))
+    q = materialize(q.filter(fit), "vector_queries")
+    x = vectors.select(F.col(vec_id).alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v")).filter(fit)
+    dealt, centres, shape = vector_clusters(x, clusters)
+    first, rest = vector_visits(dealt, centres, shape, q, k)
+    found = first.unionByName(_best_in_clusters(dealt, rest, q, shape, k)) if shape else first
+    scored = found.withColumn("__rs", round_half_even("s", RANK_PLACES))
+    top = top_k_per(scored, "query_id", "__rs", "vec_id", k)
+    return top.select("query_id", "vec_id", F.col("rank").cast("int").alias("rank"),
+                      round_half_even("s", places).alias("score"))
+
+
+def vector_visits(dealt: DataFrame, centres: np.ndarray, shape: list, queries: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """(scores of each query's first cluster, the other clusters it must visit
+    as (query_id, cluster))."""
+    bounds = materialize(_angles(queries, centres, shape), "vector_bounds")
+    near = Window.partitionBy("query_id").orderBy((F.col("rows") < k).cast("int"), "angle", "cluster")
+    ranked = bounds.withColumn("r", F.row_number().over(near))
+    start = ranked.filter("r = 1").select("query_id", "cluster")
+    if not shape:
+        return queries.select("query_id", F.lit(None).cast(dealt.schema["vec_id"].dataType).alias("vec_id"),
+                              F.lit(0.0).alias("s")).limit(0), start
+    first = materialize(_best_in_clusters(dealt, start, queries, shape, k), "vector_first")
+    order = Window.partitionBy("query_id").orderBy(F.col("s").desc(), "vec_id")
+    floor = (first.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).filter(F.col("r") == k)
+             .select("query_id", F.col("s").alias("floor")))
+    rest = (ranked.filter("r > 1").join(floor, "query_id", "left")
+            .filter(F.col("floor").isNull() | (F.col("bound") >= F.col("floor") - 1e-8)).select("query_id", "cluster"))
+    return first, rest
+
+
 def centroids(vectors: DataFrame, group: str = "label", vec_col: str = "embedding") -> DataFrame:
     """Mean vector per group (element-wise), e.g. as query vectors for M4."""
     pe = vectors.select(group, F.posexplode(F.col(vec_col).cast("array<double>")).alias("pos", "x"))
@@ -223,3 +508,83 @@ def rrf(rankings: Sequence[DataFrame], query_id: str = "query_id", item: str = "
     top = top_k_per(fused, "query_id", "__rs", "item", k)
     return top.select("query_id", F.col("item").alias(item), F.col("rank").cast("int").alias("rank"),
                       round_half_even("__s", places).alias("score"), F.col("n_lists").cast("long").alias("n_lists"))
+
+
+def scored_list(scores: DataFrame, item: str = "doc_id", score: str = "s", query_id: str = "query_id") -> DataFrame:
+    """A list for :func:`rrf_top_k` from scores: best (rounded) score first,
+    ties to the smaller item."""
+    return scores.select(F.col(query_id).alias("query_id"), F.col(item).alias("item"),
+                         F.struct((-round_half_even(score, RANK_PLACES)).alias("less"), F.col(item).alias("tie")).alias("place"))
+
+
+def best_part_list(scores: DataFrame, parent: Column, tie: Column, score: str = "s") -> DataFrame:
+    """A list of parents from scores of their parts: a parent stands where its
+    best part does. ``tie`` orders the parts of different parents as their ids
+    do, from the parent alone (column ``item``)."""
+    best = (scores.select("query_id", parent.alias("item"), (-round_half_even(score, RANK_PLACES)).alias("less"))
+            .groupBy("query_id", "item").agg(F.min("less").alias("less")))
+    return best.select("query_id", "item", F.struct("less", tie.alias("tie")).alias("place"))
+
+
+def rrf_top_k(lists: Sequence[DataFrame], k: int = 10, item: str = "doc_id", c: int = RRF_K, places: int = 9) -> DataFrame:
+    """M5 with an early stop: the rows of :func:`rrf` without ranking whole
+    lists. ``lists`` hold (query_id, item, place); within a query a smaller
+    ``place`` is better, and no two are equal.
+
+    An item below rank r in each of n lists scores at most n / (c + r + 1). The
+    first k items of any list score at least 1 / (c + k), so with
+    r >= n * (c + k) - c no item outside the first r of all lists can be among the k
+    best: only these are ranked (kept per task first). A longer head
+    leaves fewer places open; of the items whose bound still reaches the k-th
+    best, the missing ranks are counted: the list's rows are compared with the
+    sorted places of a query's open items (at most n * r), and counts, not rows,
+    are shuffled.
+    """
+    n = len(lists)
+    depth = 4 * (n * (c + k) - c)
+    stored = [materialize(x.select("query_id", "item", "place"), "rrf_list") for x in lists]
+    heads = []
+    for number, x in enumerate(stored):
+        window = Window.partitionBy("query_id").orderBy("place")
+        heads.append(x.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= depth)
+                     .select("query_id", "item", F.lit(number).alias("list"), F.col("rank").cast("long").alias("rank")))
+    head = heads[0]
+    for more in heads[1:]:
+        head = head.unionByName(more)
+    head = materialize(head, "rrf_heads")
+    known = head.groupBy("query_id", "item").agg(F.sum(F.lit(1.0) / (c + F.col("rank"))).alias("low"),
+                                                 F.collect_set("list").alias("seen"))
+    order = Window.partitionBy("query_id").orderBy(F.col("low").desc(), "item")
+    kth = (known.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
+           .groupBy("query_id").agg(F.min("low").alias("kth"), F.count(F.lit(1)).alias("have")))
+    high = F.col("low") + (n - F.size("seen")) / F.lit(float(c + depth + 1))
+    kept = (known.join(kth, "query_id").filter((F.col("have") < k) | (high >= F.col("kth") - 1e-8))
+            .select("query_id", "item", "seen"))
+    kept = materialize(kept, "rrf_open")
+    parts = head.join(kept.select("query_id", "item"), ["query_id", "item"], "left_semi")
+    for number, x in enumerate(stored):
+        open_items = kept.filter(~F.array_contains("seen", number)).select("query_id", "item")
+        parts = parts.unionByName(_counted_ranks(x, open_items).withColumn("list", F.lit(number)))
+    return rrf([parts], item="item", k=k, c=c, places=places).withColumnRenamed("item", item)
+
+
+def _counted_ranks(x: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(query_id, item, rank) of the ``wanted`` items that are in the list, by
+    counting the rows with a smaller place."""
+    found = x.join(wanted, ["query_id", "item"], "left_semi")
+    marks = (found.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("place", "item"))).alias("marks")))
+    # a row counts for all marks behind it: from the first mark with a larger place on
+    first = F.size(F.filter("marks", lambda m: m["place"] <= F.col("place")))
+    counts = (x.join(marks, "query_id").select("query_id", first.alias("at"))
+              .groupBy("query_id", "at").agg(F.count(F.lit(1)).alias("n")))
+    spots = marks.select("query_id", F.posexplode("marks").alias("at", "m")).select(
+        "query_id", "at", F.col("m.item").alias("item"), F.lit(0).cast("long").alias("n"))
+    both = spots.unionByName(counts.select("query_id", "at", F.lit(None).cast(x.schema["item"].dataType).alias("item"), "n"))
+    ordered = Window.partitionBy("query_id").orderBy("at", F.col("item").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (both.withColumn("rank", F.sum("n").over(ordered) + 1).filter(F.col("item").isNotNull())
+            .select("query_id", "item", "rank"))
+
+
+# functions that run in Python workers travel with the job: workers need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
