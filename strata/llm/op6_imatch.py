@@ -38,8 +38,6 @@ from strata.llm.common import read, stored
 LEXICONS, LEVELS, DENSEST = 24, 8, 2
 RAREST, MOST_COMMON = 0.0005, 0.02
 FEW = 8
-# A lexicon of at most so many rows (a number each) is sent to all tasks.
-BROADCAST_ROWS = 1_000_000
 
 _SPACE = r"[\x20\x09-\x0D]+"
 _NO_TERM = 0                # term hash of a marker that every document has
@@ -62,17 +60,21 @@ def lexicon(docs: DataFrame) -> DataFrame:
 
 def hashes(rows: DataFrame, keys: list[str], texts: list[str], words: DataFrame) -> DataFrame:
     """keys and, per text column t and sub-lexicon i, the hash t_i (0: none)."""
-    small = words.count() <= BROADCAST_ROWS
     words = words.withColumn("band", F.lit(1))
-    if small:
-        words = F.broadcast(words)
     none = F.lit(0).cast("bigint")
     sides = F.array(*[F.struct(F.lit(j).alias("side"), terms(F.col(t)).alias("terms")) for j, t in enumerate(texts)])
     exploded = (rows.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.side", F.explode("s.terms").alias("term"))
                 .join(words, "term", "left"))
+    # lexicon i takes a term in 2 ** (level + DENSEST): one hash decides for LEVELS lexicons, by bits of their own
+    groups = range(-(-LEXICONS // LEVELS))
+    exploded = exploded.withColumns({f"hash_{g}": F.xxhash64("term", F.lit(g)) for g in groups})
+
+    def takes(i):
+        level = i % LEVELS
+        first = sum(v + DENSEST for v in range(level))
+        return F.col(f"hash_{i // LEVELS}").bitwiseAND(F.lit(((1 << (level + DENSEST)) - 1) << first)) == 0
     mask = F.when(F.col("term") == _NO_TERM, 0).otherwise(sum((
-        F.when(F.pmod(F.xxhash64("term", F.lit(i)), F.lit(2 ** (i % LEVELS + DENSEST))) == 0, F.lit(1 << i)).otherwise(F.lit(0))
-        for i in range(LEXICONS)), F.lit(0)))
+        F.when(takes(i), F.lit(1 << i)).otherwise(F.lit(0)) for i in range(LEXICONS)), F.lit(0)))
     part = [F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.col("term")).otherwise(none) for i in range(LEXICONS)]
     found = exploded.withColumn("mask", mask).groupBy(*keys, "side").agg(
         F.count("band").alias("n_band"), F.count_if(F.col("term") != _NO_TERM).alias("n_terms"), F.bit_xor("term").alias("every"),
@@ -107,7 +109,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 
 def with_next(rows: DataFrame) -> DataFrame:
-    """``rows`` (row, doc_id, text) with next_row and next_text."""
+    """``rows`` (row, doc_id, text) with next_row, next_id and next_text. ``row``
+    must be the same at every evaluation: rows are placed in two of them."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)] or [0.5], F.lit(10_000))).first()[0] or []
     cuts = sorted(set(cuts))
@@ -122,20 +125,31 @@ def with_next(rows: DataFrame) -> DataFrame:
               .select("f.o.row", "f.o.doc_id", "f.text", F.col("to").alias("bucket"), F.lit(True).alias("ghost")))
     inside = Window.partitionBy("bucket").orderBy("ghost", F.col("doc_id").asc_nulls_first(), "row")
     return (placed.withColumn("ghost", F.lit(False)).select("row", "doc_id", "text", "bucket", "ghost").union(ghosts)
-            .withColumn("next_row", F.lead("row").over(inside)).withColumn("next_text", F.lead("text").over(inside))
+            .withColumns({"next_row": F.lead("row").over(inside), "next_id": F.lead("doc_id").over(inside),
+                          "next_text": F.lead("text").over(inside)})
             .where("not ghost").drop("ghost", "bucket"))
 
 
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row) of a table read from files: ``row`` hashes the row's
+    file and place in it, so it does not depend on how the files are split
+    (with the id it tells rows apart; alone it need not)."""
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"),
+                       F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("row"))
+
+
 def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.monotonically_increasing_id().alias("row"))
+    docs = read(spark, sf_dir, "documents")
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
-    edited = (with_next(rows).withColumn("n_chars", n.cast("bigint"))
+    edited = (with_next(numbered_rows(docs)).withColumn("n_chars", n.cast("bigint"))
               .withColumn("edited", F.concat(F.expr("left(text, length(text) - cast(length(text) div 4 as int))"), F.left("next_text", cut))))
-    keyed = edited.select("row", "doc_id", "n_chars", "next_row", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited")
-    own = stored(hashes(keyed, ["row", "doc_id", "n_chars", "next_row", "edited_sha256"], ["text", "edited"], lexicon(docs)), "imatch")
-    after = own.select(F.col("row").alias("next_row"), *[F.col(f"text_{i}").alias(f"next_{i}") for i in range(LEXICONS)])
-    return own.join(after, "next_row").select(
+    keys = ["row", "doc_id", "n_chars", "next_row", "next_id", "edited_sha256"]
+    keyed = edited.withColumn("edited_sha256", F.sha2("edited", 256)).select(*keys, "text", "edited")
+    own = stored(hashes(keyed, keys, ["text", "edited"], lexicon(docs.select("doc_id", "text"))), "imatch")
+    after = own.select(F.col("row").alias("after_row"), F.col("doc_id").alias("after_id"),
+                       *[F.col(f"text_{i}").alias(f"next_{i}") for i in range(LEXICONS)])
+    met = own.join(after, (F.col("next_row") == F.col("after_row")) & F.col("next_id").eqNullSafe(F.col("after_id")), "left")
+    return met.select(
         "doc_id", "n_chars", "edited_sha256", written("text").alias("fingerprint"), written("edited").alias("edited_fingerprint"),
         likeness("text", "edited").alias("near_edited"), likeness("text", "next").alias("near_next"))
