@@ -25,8 +25,8 @@ pairs whose Hamming distance does not rule a link out are verified. So no
 link between components is lost, and no piece yields rows for all its pairs.
 
 Null and empty texts have an empty set and link with nothing. A null id takes
-part in nothing and gets a null component. Rows that share an id are one
-document. Extra columns are ignored.
+part in nothing and gets a null component. Rows that share an id and a text are one
+document; one id with different texts stands for several. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import map_batches, mix, read, stored, word_hashes
+from strata.llm.common import column_like, map_batches, mix, numbered, ordered, read, stored, word_hashes
 from strata.llm.graph import joined
 
 SLACK = 2                   # least slack of a band
@@ -438,9 +438,26 @@ def links(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return verified(more)[1]
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+def _one_text_per_id(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with column ``node``: the id, or, where one id has different
+    texts, a number of its own (above all ids) per text; and (node, doc_id) of
+    these, or None where there are none."""
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    twice = stored(docs.where("doc_id is not null").select("doc_id", h.alias("h")).groupBy("doc_id")
+                   .agg(F.min("h").alias("a"), F.max("h").alias("b")).where("a <> b").select("doc_id"), "ids")
+    if twice.isEmpty():
+        return docs.withColumn("node", F.col("doc_id")), None
+    most = docs.agg(F.max("doc_id")).first()[0]
+    texts = docs.join(twice, "doc_id", "left_semi").select("doc_id", h.alias("h")).distinct()
+    extra = stored(numbered(ordered(texts, ["doc_id", "h"], "ids"), ["doc_id", "h"])
+                   .select("doc_id", "h", (F.col("rank") + most + 1).alias("extra")), "ids")
+    apart = (docs.withColumn("h", h).join(extra, ["doc_id", "h"], "left")
+             .withColumn("node", F.coalesce("extra", "doc_id")).drop("h", "extra"))
+    return apart, extra.select(F.col("extra").alias("node"), "doc_id")
+
+
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of (doc_id, text), one text per id."""
     rows = stored(classes(docs, words), "classes")
     found = links(docs, words, percent)
     nodes = (rows.where("c1 is not null").groupBy("c1", "c2").agg(F.min("doc_id").alias("node"))
@@ -451,12 +468,41 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return full.union(none)
 
 
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id,
+    text). Rows of one id with different texts are documents of their own."""
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    docs, extra = _one_text_per_id(docs)
+    found = _grouped(docs.select(F.col("node").alias("doc_id"), "text"), words, percent)
+    if extra is None:
+        return found
+    named = stored(found.withColumnRenamed("doc_id", "node").join(extra, "node", "left")
+                   .withColumn("doc_id", F.coalesce("doc_id", "node")), "named")
+    least = named.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    return (named.join(least, "component_id", "left")
+            .select("doc_id", "n_shingles", F.col("least").alias("component_id")))
+
+
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay when of each group of near duplicates
-    the smallest id is kept (one row of it); rows with a null id stay."""
-    groups = near_duplicates(docs, words, percent)
-    stay = groups.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    one is kept, the smallest id (where one id has different texts, they count
+    as documents of their own and come after all others); of repeated rows one.
+    Rows with a null id stay."""
+    own = docs.select("*", F.col("doc_id").cast("bigint").alias(column_like(docs.columns, "doc_key")))
+    key = own.columns[-1]
+    small, extra = _one_text_per_id(own.select(F.col(key).alias("doc_id"), "text"))
+    groups = _grouped(small.select(F.col("node").alias("doc_id"), "text"), words, percent)
+    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("node")).distinct()
+    if extra is None:
+        kept = own.join(stay.withColumnRenamed("node", key), key, "left_semi").dropDuplicates([key])
+        return kept.select(*docs.columns).union(docs.where("doc_id is null"))
+    # the few ids with several texts are told apart by the hash of the text
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    texts = small.where("doc_id is not null").select(F.col("doc_id").alias(key), h.alias("text_hash"), "node")
+    keep = stored(texts.join(stay, "node", "left_semi").select(key, "text_hash").distinct(), "kept")
+    mark = column_like(own.columns, "text_hash")
+    kept = (own.withColumn(mark, h).join(keep.withColumnRenamed("text_hash", mark), [key, mark], "left_semi")
+            .dropDuplicates([key, mark]))
     return kept.select(*docs.columns).union(docs.where("doc_id is null"))
 
 

@@ -490,3 +490,47 @@ def test_cache_generations(monkeypatch):
     for _ in range(30):
         texts = [sentence(rng, 20) for _ in range(3)]
         assert own.encode_all(texts) == [library.encode_ordinary(t) for t in texts]
+
+
+def test_rows_of_imatch_do_not_depend_on_splits(spark, tmp_path):
+    rng = random.Random(11)
+    rows = [(i if i % 9 else None, sentence(rng, 30) if i % 5 else "same text", "x") for i in range(400)] + [(3, "same text", "x")] * 3
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id bigint, text string, row string").repartition(6).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = []
+    try:
+        for size in ("128m", "2k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            table = op6_imatch.numbered_rows(spark.read.parquet(path))
+            seen.append((table.rdd.getNumPartitions(), sorted(map(str, table.collect()))))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen[0][0] != seen[1][0] and seen[0][1] == seen[1][1]
+    assert op6_imatch.op6_imatch(spark, str(tmp_path)).count() == len(rows)
+
+
+def test_fingerprints_are_the_xor_of_their_lexicons_terms(spark):
+    """Brute force over the definition: whole texts, few distinct documents, so
+    that every repeated term is in the band."""
+    rows = [(1, "one two three four"), (2, "two three nine"), (3, "One two THREE four"), (4, ""), (5, "two three nine")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.fingerprint for r in op6_imatch.fingerprints(df).collect()}
+    assert got[1] == got[3] and got[2] == got[5] and got[1] != got[2] and got[4] != got[2]
+    assert len(got[1].split(".")) == op6_imatch.LEXICONS
+
+
+def test_keep_one_keeps_every_text_of_a_repeated_id(spark):
+    rng = random.Random(12)
+    a, b, c = (sentence(rng, 80) for _ in range(3))
+    for rows in ([(4, a), (5, a), (5, b), (9, c)], [(4, a), (5, b), (5, a), (9, c)]):
+        df = spark.createDataFrame([(i, t, "s", 1) for i, t in rows], "doc_id bigint, text string, source string, h bigint")
+        kept = op7_jaccard.keep_one(df).collect()
+        assert sorted((r.doc_id, r.text) for r in kept) == sorted([(4, a), (5, b), (9, c)])
+        assert kept[0].asDict().keys() == {"doc_id", "text", "source", "h"}
+    again = spark.createDataFrame([(4, a), (4, a), (5, b), (5, b), (5, c), (None, a), (None, a)], "doc_id bigint, text string")
+    assert sorted(map(str, op7_jaccard.keep_one(again).collect())) == sorted(map(str, [
+        r for r in again.distinct().where("doc_id is not null").collect()] + again.where("doc_id is null").collect()))
+    groups = {(r.doc_id, r.n_shingles, r.component_id) for r in op7_jaccard.near_duplicates(
+        spark.createDataFrame([(8, b), (5, a), (5, b)], "doc_id bigint, text string")).collect()}
+    assert {g[2] for g in groups if g[0] == 8} == {5} and len(groups) == 3 - (len({len(a.split()), len(b.split())}) == 1)
