@@ -26,7 +26,7 @@ from strata.llm.common import map_batches, read, texts_of
 
 # Entries of each of the two generations of merged pre-tokens that a worker
 # keeps (a bound on memory; results do not depend on it).
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES = 400_000
 
 # Bytes of text that are encoded together.
 BLOCK = 2_000_000
