@@ -60,7 +60,9 @@ def lexicon(docs: DataFrame) -> DataFrame:
 
 def hashes(rows: DataFrame, keys: list[str], texts: list[str], words: DataFrame) -> DataFrame:
     """keys and, per text column t and sub-lexicon i, the hash t_i (0: none)."""
-    words = words.withColumn("band", F.lit(1))
+    # proven bound: each term of the band is in at least RAREST of all texts, so the lexicon holds at most
+    # (mean distinct terms of a text) / RAREST numbers, whatever the number of texts
+    words = F.broadcast(words.withColumn("band", F.lit(1)))
     none = F.lit(0).cast("bigint")
     sides = F.array(*[F.struct(F.lit(j).alias("side"), terms(F.col(t)).alias("terms")) for j, t in enumerate(texts)])
     exploded = (rows.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.side", F.explode("s.terms").alias("term"))
