@@ -165,6 +165,11 @@ def q_silver_pages(spark, sf_dir):
     return _silver_pages(spark, sf_dir)
 
 
+def q_silver_pages_late(spark, sf_dir):
+    """Silver pages from stored bronze, bodies joined after keep-last."""
+    return content_plan.clean_stored_pages(materialize(TD.raw_pages(spark, sf_dir), "bronze_pages"))
+
+
 def q_silver_comments(spark, sf_dir):
     return _silver_comments(spark, sf_dir)
 
@@ -268,7 +273,7 @@ def q_visibility_pairs(spark, sf_dir):
     return access.visibility_pairs(_secured_docs(spark, sf_dir), access.users_frame(spark, USERS))
 
 
-def q_visibility_check(spark, sf_dir):
+def _visibility_results(spark, sf_dir):
     docs = _secured_docs(spark, sf_dir)
     users = access.users_frame(spark, USERS)
     actual = access.visibility_pairs(docs, users)
@@ -277,8 +282,23 @@ def q_visibility_check(spark, sf_dir):
     u = users.select("user", F.explode(access.effective_groups_col("groups")).alias("g"))
     old = F.when(F.col("space_key").like("%.NET"), F.array(F.lit("team-a"))).otherwise(F.col("allowed_groups"))
     d = docs.select("id", F.explode(old).alias("g"))
-    expected = d.join(u, "g").select("user", "id").distinct()
-    return access.visibility_diff(expected, actual)
+    return d.join(u, "g").select("user", "id").distinct(), actual
+
+
+def q_visibility_check(spark, sf_dir):
+    return access.visibility_diff(*_visibility_results(spark, sf_dir))
+
+
+def q_visibility_classes(spark, sf_dir):
+    """C6 by classes: pairs of group sets with their users, documents and pairs."""
+    pairs = access.visibility_classes(_secured_docs(spark, sf_dir), access.users_frame(spark, USERS))
+    return pairs.withColumns({c: access.groups_to_text(F.from_json(c, "array<string>")) for c in ("user_class", "doc_class")})
+
+
+def q_visibility_check_buckets(spark, sf_dir):
+    """I1 over stored results: only buckets whose checksums differ are compared."""
+    expected, actual = _visibility_results(spark, sf_dir)
+    return access.visibility_diff_buckets(materialize(expected, "visible_expected"), materialize(actual, "visible_actual"))
 
 
 # ----------------------------------------------------------------- gold queries
@@ -500,6 +520,11 @@ ORACLE.update({
                count(*) filter (e and not a) as missing, count(*) filter (a and not e) as unexpected,
                count(*) filter (e <> a) = 0 as passed
         from b group by 1"""),
+    "visibility_classes": O.content_sql(_SECURED + """
+        select array_to_string(list_sort(u.eff), ',') as user_class,
+               array_to_string(list_sort(d.allowed_groups), ',') as doc_class, count(distinct u."user") as n_users,
+               count(distinct d.id) as n_docs, count(*) as n_pairs
+        from users u, secured d where list_has_any(d.allowed_groups, u.eff) group by 1, 2"""),
     "gold_country": O.orders_sql(f"select * from ({_F10}) g where shipping_country = 'NATION_3'"),
     "gold_category": O.orders_sql(f"select * from ({_F11}) g where lower(category) = 'standard'"),
     "gold_daily_range": ("select * from (" + ORACLE["daily_revenue"] + ") g "
@@ -587,6 +612,8 @@ ORACLE.update({
     "rrf_bounded": ORACLE["rrf"],
     "hybrid_bounded": ORACLE["rrf_hybrid"],
     "incremental_pages": ORACLE["silver_pages"],
+    "silver_pages_late": ORACLE["silver_pages"],
+    "visibility_check_buckets": ORACLE["visibility_check"],
     "gold_merge": O.orders_sql(f"""
         select 'revenue_by_country' as table_name, shipping_country as key, total_revenue as revenue, order_count,
                avg_order_value as measure from ({_F10}) a
@@ -673,6 +700,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rrf_bounded": q_rrf_bounded,
     "hybrid_bounded": q_hybrid_bounded,
     "incremental_pages": q_incremental_pages,
+    "silver_pages_late": q_silver_pages_late,
+    "visibility_classes": q_visibility_classes,
+    "visibility_check_buckets": q_visibility_check_buckets,
     "gold_merge": q_gold_merge,
     "etl_orders": q_etl_orders,
     "gold_answers": q_gold_answers,

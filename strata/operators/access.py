@@ -116,6 +116,93 @@ def visibility_diff(expected: DataFrame, actual: DataFrame, keys: Sequence[str]
     return out.withColumn("passed", (F.col("missing") == 0) & (F.col("unexpected") == 0))
 
 
+def _class_of(groups) -> Column:
+    """A group set as text: the JSON of its sorted distinct groups. Equal sets
+    have equal texts, whatever characters the names hold."""
+    return F.to_json(F.array_sort(F.array_distinct(groups)))
+
+
+def document_classes(docs: DataFrame, doc_key: str = "id") -> DataFrame:
+    """Membership: (``doc_key``, doc_class), one row per document row."""
+    return docs.select(doc_key, _class_of(F.col("allowed_groups")).alias("doc_class"))
+
+
+def user_classes(users: DataFrame) -> DataFrame:
+    """Membership: (user, user_class), the class being the effective groups."""
+    return users.select("user", _class_of(effective_groups_col("groups")).alias("user_class"))
+
+
+def visibility_classes(docs: DataFrame, users: DataFrame) -> DataFrame:
+    """C6 by classes: (user_class, doc_class, n_users, n_docs, n_pairs) of all
+    pairs of classes in which the users see the documents.
+
+    Documents with the same group set are seen by the same users, so the sets
+    are counted first (partial aggregation: a class of a third of all documents
+    sends one row per task) and only classes are joined on their groups. With
+    the two memberships this says the same as :func:`visibility_pairs`, without
+    a row per (user, document). Documents without groups (null or empty) are
+    seen by nobody and appear in no pair.
+    """
+    d = (docs.select(_class_of(F.col("allowed_groups")).alias("doc_class"))
+         .groupBy("doc_class").agg(F.count(F.lit(1)).alias("n_docs"))
+         .withColumn("allowed_groups", F.from_json("doc_class", "array<string>")))
+    u = user_classes(users).groupBy("user_class").agg(F.count(F.lit(1)).alias("n_users"))
+    seen = visibility_pairs(d, u.select(F.col("user_class").alias("user"),
+                                        F.from_json("user_class", "array<string>").alias("groups")), "doc_class")
+    return (seen.withColumnRenamed("user", "user_class").join(d.drop("allowed_groups"), "doc_class").join(u, "user_class")
+            .select("user_class", "doc_class", "n_users", "n_docs", (F.col("n_users") * F.col("n_docs")).alias("n_pairs")))
+
+
+def differing_buckets(expected: DataFrame, actual: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Buckets (of the hash of the keys) whose row counts or checksums differ.
+
+    A checksum is the exact sum of two 64-bit hashes per row, so the order of
+    the rows does not matter and repeated rows count. Null flags are hashed
+    too, since Spark's hash skips nulls.
+    """
+    row = [*[F.col(k) for k in keys], *[F.col(k).isNull() for k in keys]]
+
+    def sums(df: DataFrame, n: str, a: str, b: str) -> DataFrame:
+        return (df.select(_bucket(keys, buckets).alias("__bucket"), F.xxhash64(*row).cast("decimal(38,0)").alias("__h"),
+                          F.xxhash64(F.lit(1), *row).cast("decimal(38,0)").alias("__i"))
+                .groupBy("__bucket").agg(F.count(F.lit(1)).alias(n), F.sum("__h").alias(a), F.sum("__i").alias(b)))
+
+    both = sums(expected, "n1", "a1", "b1").join(sums(actual, "n2", "a2", "b2"), "__bucket", "full_outer")
+    same = F.expr("n1 <=> n2 and a1 <=> a2 and b1 <=> b2")
+    return both.where(~same).select("__bucket")
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def visibility_diff_buckets(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = ("user", "id"),
+                            by: str = "user", buckets: int = 4096) -> DataFrame:
+    """I1 on large results: the columns of :func:`visibility_diff`.
+
+    Both sides are first summed to one checksum row per bucket; only rows of
+    buckets that differ are shuffled and compared, so two results that agree
+    but for a few rows cost two scans and a few buckets. The differing buckets
+    are broadcast (at most ``buckets`` numbers). Both frames are read twice:
+    pass stored ones. Equal checksums of different rows (two 64-bit sums that
+    both agree by chance) are the only way to miss a difference.
+    """
+    differ = F.broadcast(differing_buckets(expected, actual, keys, buckets))
+
+    def suspects(df: DataFrame) -> DataFrame:
+        return df.select(*keys, _bucket(keys, buckets).alias("__bucket")).join(differ, "__bucket", "left_semi").drop("__bucket")
+
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    n = (expected.select(by, one.alias("expected"), none.alias("actual"))
+         .unionByName(actual.select(by, none.alias("expected"), one.alias("actual")))
+         .groupBy(by).agg(F.sum("expected").alias("expected"), F.sum("actual").alias("actual")))
+    wrong = (visibility_diff(suspects(expected), suspects(actual), keys, by)
+             .select(F.col(by).alias("__by"), "missing", "unexpected"))
+    out = (n.join(wrong, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
+           .withColumns({c: F.coalesce(c, none) for c in ("missing", "unexpected")}))
+    return out.withColumn("passed", (F.col("missing") == 0) & (F.col("unexpected") == 0))
+
+
 def secured_documents(pages: DataFrame, group_map: DataFrame) -> DataFrame:
     """Searchable documents from silver pages, labelled with their groups."""
     docs = pages.select(F.col("page_id").alias("id"), "title", "space_key", "body_text",

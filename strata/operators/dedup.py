@@ -35,6 +35,25 @@ def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | st
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
+def keep_last_late(stored: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
+    """:func:`keep_last` for wide rows of a frame read from Parquet files.
+
+    The winners are chosen on keys, ordering columns and the place of the row
+    (file path and row number, which no change of splits or lost executor
+    alters); the other columns, bodies for example, are read only for the join
+    with the winners' places. The exchange and sort of keep-last never hold
+    them; where Spark broadcasts the places, no body is shuffled at all, and
+    otherwise its runtime filters may drop the replaced copies before the join.
+    Ties under ``order_by`` go to the greatest place.
+    """
+    place = [F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__at")]
+    order = [as_col(c).alias(f"__o{i}") for i, c in enumerate(order_by)]
+    narrow = stored.select(*keys, *order, *place)
+    # null keys form one group in both forms; the join goes by place, which is never null
+    last = keep_last(narrow, keys, [*[f"__o{i}" for i in range(len(order))], "__path", "__at"])
+    return stored.select("*", *place).join(last.select("__path", "__at"), ["__path", "__at"]).drop("__path", "__at")
+
+
 def drop_meta(df: DataFrame) -> DataFrame:
     """B1: lineage columns (names starting with ``_``) never leave bronze."""
     return df.drop(*[c for c in df.columns if c.startswith("_")])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import coerce as C
 from strata.functions import text as T
-from strata.operators.dedup import drop_meta, keep_last, lineage_order
+from strata.operators.dedup import drop_meta, keep_last, keep_last_late, lineage_order
 from strata.operators.window import running_total
 
 # Declared shapes of the silver tables, used for absent (empty) inputs.
@@ -57,6 +57,13 @@ def clean_pages(bronze: DataFrame, order_by: Sequence[Column | str] | None = Non
     return tidy_pages(keep_last(bronze, ["page_id"], order_by))
 
 
+def clean_stored_pages(bronze: DataFrame, order_by: Sequence[Column | str] | None = None) -> DataFrame:
+    """:func:`clean_pages` for bronze read from Parquet: the bodies stay out of
+    keep-last and join its winners afterwards."""
+    order_by = list(order_by) if order_by is not None else page_order(bronze)
+    return tidy_pages(keep_last_late(bronze, ["page_id"], order_by))
+
+
 def tidy_pages(last: DataFrame) -> DataFrame:
     """The row-wise part of :func:`clean_pages`, for rows that are already the
     last copy of their page."""

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from strata.operators.dedup import keep_last
+from strata.operators.dedup import keep_last, keep_last_late
 from strata.operators.retrieval import top_k_per
 
 
@@ -39,3 +39,28 @@ def test_no_nested_loop_or_python(spark, name):
     plan = final_plan(E.queries()[name](spark, SF_SMALL))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "EvalPython", "InPandas"):
         assert bad not in plan, (name, bad)
+
+
+def test_late_bodies_stay_out_of_keep_last(spark, scratch):
+    rows = spark.range(0, 4000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 97 == 1, F.lit(None)).otherwise(
+            (F.col("id") % 500).cast("string")).alias("k"),
+        (F.col("id") * 7919 % 4001).alias("seq"), F.repeat(F.col("id").cast("string"), 50).alias("body"))
+    rows.unionByName(rows.where("seq % 5 = 0")).write.parquet(f"{scratch}/wide")
+    wide = spark.read.parquet(f"{scratch}/wide")
+    late = keep_last_late(wide, ["k"], ["seq"])
+    want = keep_last(wide, ["k"], ["seq"])
+    assert late.columns == wide.columns
+    assert sorted(map(str, late.collect())) == sorted(map(str, want.collect()))
+    plan = final_plan(late)
+    # the exchange and sort below keep-last's window hold no body
+    window = plan[plan.index("WindowGroupLimit"):]
+    keep = window[:window.index("Scan parquet") if "Scan parquet" in window else None]
+    assert "Exchange hashpartitioning(k" in keep and "body" not in keep
+    # other splits than at write time give the same rows
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert sorted(map(str, keep_last_late(wide, ["k"], ["seq"]).collect())) == sorted(map(str, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
