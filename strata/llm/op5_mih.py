@@ -1,22 +1,26 @@
 """Approximate nearest neighbours by multi-index hashing.
 
-Vectors get binary codes from rotations learned by iterative quantisation
-(signs of the rotated, centred vector; ``ROTATIONS`` rotations side by side).
-A code is cut into 8-bit substrings, and a block of the index holds one table
-per substring from value to rows. By the pigeonhole principle a code within
-Hamming radius R of the query's lies within floor(R / m) of it in one of m
-substrings (in all but R mod m + 1 of them one bit less), so probing the
-values in those small balls retrieves every code within R. Those that are
-within R are ranked by the exact distance of the original vectors.
-
-R is learned with the rotations: the radius that holds ``COVER`` of the true
-neighbours in the sample. If a block has fewer than k rows within R, the
-radius grows for that query until it has k (or all rows).
+Vectors get binary codes of ``BITS`` bits from rotations learned by iterative
+quantisation (signs of the rotated, centred vector; as many rotations side by
+side as fill the code). A code is cut into 16-bit substrings, and a block of
+the index holds one table per substring from value to rows. By the pigeonhole
+principle a code within Hamming radius R of the query's lies within
+floor(R / m) of it in one of m substrings (in all but R mod m + 1 of them one
+bit less), so probing the values in those small balls retrieves every code
+within R. All rows so retrieved (those within R and others that share a
+substring's ball) are ranked by the exact distance of the original vectors.
+
+R grows per query until the distance of its k-th found row is settled: with
+the rotations a radius is learned for each range of distances, the smallest
+whose probes retrieve ``COVER`` of the sample's true neighbours at such
+distances. A query stops when its radius reaches that of its k-th distance in
+the block (and goes on to all rows where a block has fewer than k).
 
 Only the rotations and R come from a bounded sample (``SAMPLE`` vectors with
-the smallest hash of the id). Every valid row is indexed. Blocks of about
-``BLOCK`` rows meet blocks of as many queries; each pair of blocks is one
-group of bounded size, and k results per query and block go on to the merge.
+the smallest hash of the id). Every valid row is indexed. Blocks of at most
+``BLOCK`` rows and ``BLOCK_BYTES`` of vectors meet blocks of queries; each pair
+of blocks is one group of bounded size, and k results per query and block go
+on to the merge.
 
 Vectors that are null, zero or hold null or non-finite components, rows
 without an id, and vectors of another length than the most frequent one take
@@ -36,21 +40,32 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from strata.llm.common import map_batches, read, stored
 
-ROTATIONS = 4
+BITS, WIDE = 512, 16         # bits of a code, and of a substring
 SAMPLE = 4096
 TRIALS = 256                # sample vectors that serve as queries to learn R
-COVER = 0.995
-BLOCK = 4096
+COVER = 0.93
+RANGES = 8                  # ranges of distances that have a radius each
+BLOCK, BLOCK_BYTES = 65536, 32_000_000
+QUERY_BLOCK = 2048
 
-_COUNT = np.bitwise_count(np.arange(256, dtype=np.uint8))
-_BALLS = [np.flatnonzero(_COUNT <= r) for r in range(9)]
+_BY_COUNT = np.argsort(np.bitwise_count(np.arange(1 << WIDE, dtype=np.uint16)), kind="stable")
+_SIZES = np.cumsum(np.bincount(np.bitwise_count(np.arange(1 << WIDE, dtype=np.uint16)), minlength=WIDE + 1))
+
+
+def ball(reach: int) -> np.ndarray:
+    """All substring values with at most ``reach`` bits."""
+    return _BY_COUNT[:_SIZES[min(reach, WIDE)]]
 
 
 @dataclass
 class Codes:
     mean: np.ndarray
-    rotations: np.ndarray       # (dim, bits)
-    radius: int
+    rotations: np.ndarray       # (dim, BITS)
+    edges: np.ndarray           # upper ends of the ranges of distances but the last
+    radii: np.ndarray           # radius of each range, growing
+
+    def radius(self, distance: float) -> int:
+        return int(self.radii[np.searchsorted(self.edges, distance)])
 
     def of(self, vectors: np.ndarray) -> np.ndarray:
         """(rows, bits / 8) code bytes."""
@@ -58,75 +73,89 @@ class Codes:
 
 
 def learn(sample: np.ndarray, k: int) -> Codes:
-    """Rotations by iterative quantisation, and the radius."""
+    """Rotations by iterative quantisation, and the radius of each range of distances."""
     dim = sample.shape[1]
     mean = sample.mean(axis=0)
     x = sample - mean
     out = []
-    for i in range(ROTATIONS):
+    for i in range(-(-BITS // dim)):
         rng = np.random.default_rng(i)
         r = np.linalg.qr(rng.normal(size=(dim, dim)))[0]
         for _ in range(20):
             u, _, vt = np.linalg.svd(np.where(x @ r > 0, 1.0, -1.0).T @ x)
             r = (u @ vt).T
         out.append(r)
-    bits = np.concatenate(out, axis=1)
-    bits = np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8)))
-    codes = Codes(mean, bits, bits.shape[1])
-    own = codes.of(sample)
-    apart = []
+    codes = Codes(mean, np.concatenate(out, axis=1)[:, :BITS], np.empty(0), np.array([BITS]))
+    own = codes.of(sample).view(np.uint16)
+    m = own.shape[1]
+    far, need = [np.empty(0)], [np.empty(0)]
     for i in range(min(TRIALS, len(sample))):
-        d = ((sample - sample[i]) ** 2).sum(axis=1)
+        d = np.sqrt(((sample - sample[i]) ** 2).sum(axis=1))
         d[i] = np.inf
         near = np.argsort(d, kind="stable")[:min(k, len(sample) - 1)]
-        apart.append(np.bitwise_count(own[near] ^ own[i]).sum(axis=1))
-    apart = np.concatenate(apart) if apart else np.array([])
-    if len(apart):
-        codes.radius = int(np.ceil(np.quantile(apart, COVER)))
+        far.append(d[near])
+        # a row that is b bits away in substring j is probed from radius b * m + j on
+        need.append((np.bitwise_count(own[near] ^ own[i]).astype(np.int64) * m + np.arange(m)).min(axis=1))
+    far, need = np.concatenate(far), np.concatenate(need)
+    if len(need):
+        ranges = np.array_split(np.argsort(far, kind="stable"), min(RANGES, len(need)))
+        codes.edges = np.array([far[r[-1]] for r in ranges[:-1]])
+        codes.radii = np.maximum.accumulate([int(np.ceil(np.quantile(need[r], COVER))) for r in ranges])
     return codes
 
 
 class Tables:
-    """The substring tables of one block of codes."""
+    """The substring tables of one block of codes (rows of bytes, an even number)."""
 
     def __init__(self, codes: np.ndarray):
-        n, self.m = codes.shape
-        self.codes = codes
-        order = np.argsort(codes, axis=0, kind="stable")
-        self.rows = order.T.ravel()
-        values = codes.astype(np.int64) + 256 * np.arange(self.m)
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(values.ravel(), minlength=256 * self.m))])
+        self.codes = np.ascontiguousarray(codes)
+        parts = self.codes.view(np.uint16)
+        self.m = parts.shape[1]
+        self.rows = np.argsort(parts, axis=0, kind="stable").T.ravel()
+        values = parts.astype(np.int64) + (np.arange(self.m) << WIDE)
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(values.ravel(), minlength=self.m << WIDE))])
+
+    def probe(self, query: np.ndarray, radius: int) -> np.ndarray:
+        """All rows that the probes for ``radius`` retrieve: every code within
+        it, and those that share a substring's ball."""
+        part, rest = divmod(radius, self.m)
+        value = query.view(np.uint16).astype(np.int64)
+        hit = np.zeros(len(self.codes), dtype=bool)
+        for reach, tables in ((part, range(0, rest + 1)), (part - 1, range(rest + 1, self.m))):
+            for j in tables if reach >= 0 else ():
+                at = (value[j] ^ ball(reach)) + (j << WIDE)
+                start, end = self.first[at], self.first[at + 1]
+                some = end > start
+                start, size = start[some], (end - start)[some]
+                hit[self.rows[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]] = True
+        return np.flatnonzero(hit)
 
     def within(self, query: np.ndarray, radius: int) -> np.ndarray:
         """All rows whose code lies within ``radius`` of the query's."""
-        part, rest = divmod(radius, self.m)
-        probes = []
-        for reach, tables in ((part, range(0, rest + 1)), (part - 1, range(rest + 1, self.m))):
-            if reach >= 0 and len(tables):
-                j = np.asarray(tables)
-                probes.append((np.bitwise_xor.outer(query[j].astype(np.int64), _BALLS[min(reach, 8)]) + 256 * j[:, None]).ravel())
-        probe = np.concatenate(probes)
-        start, size = self.first[probe], self.first[probe + 1] - self.first[probe]
-        at = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        hit = np.zeros(len(self.codes), dtype=bool)
-        hit[self.rows[at]] = True
-        found = np.flatnonzero(hit)
+        found = self.probe(query, radius)
         return found[np.bitwise_count(self.codes[found] ^ query).sum(axis=1) <= radius]
 
 
-def search_block(radius: int, k: int, rows, ids, codes, vectors, query_rows, query_codes, queries):
+def nearest(codes: Codes, tables: Tables, query_code: np.ndarray, query: np.ndarray, k: int, vectors: np.ndarray,
+            skip: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, distances) of all rows that a query's probes retrieve, but those of ``skip``."""
+    reach, last = int(codes.radii[0]), WIDE * tables.m
+    while True:
+        found = tables.probe(query_code, reach)
+        found = found[~skip[found]]
+        d = np.sqrt(((vectors[found] - query) ** 2).sum(axis=1))
+        want = codes.radius(np.partition(d, k - 1)[k - 1]) if len(found) >= k else last
+        if reach >= want:
+            return found, d
+        reach = min(reach + max(1, tables.m // 8), want) if len(found) >= k else min(reach + tables.m, last)
+
+
+def search_block(codes: Codes, k: int, rows, ids, own, vectors, query_rows, query_codes, queries):
     """(query index, row index, distance) of each query's k nearest found in a block."""
-    tables = Tables(codes)
+    tables = Tables(own)
     out = []
     for i in range(len(query_rows)):
-        reach = radius
-        while True:
-            found = tables.within(query_codes[i], reach)
-            found = found[rows[found] != query_rows[i]]
-            if len(found) >= k or reach >= 8 * tables.m:
-                break
-            reach = min(reach + tables.m, 8 * tables.m)
-        d = np.sqrt(((vectors[found] - queries[i]) ** 2).sum(axis=1))
+        found, d = nearest(codes, tables, query_codes[i], queries[i], k, vectors, rows == query_rows[i])
         best = np.lexsort((ids[found], d))[:k]
         out += [(i, found[b], d[b]) for b in best]
     return out
@@ -167,23 +196,23 @@ def search(base: DataFrame, codes: Codes | None, queries: DataFrame, k: int) ->
     index) against all rows of the index ``base``."""
     kind = base.schema["id"].dataType.simpleString()
     n, q = base.count(), queries.count()
-    blocks, query_blocks = max(1, -(-n // BLOCK)), max(1, -(-q // BLOCK))
+    most = max(1, min(BLOCK, BLOCK_BYTES // (8 * codes.rotations.shape[0]))) if codes else BLOCK
+    blocks, query_blocks = max(1, -(-n // most)), max(1, -(-q // min(most, QUERY_BLOCK)))
     left = (base.withColumn("block", F.expr(f"pmod(xxhash64(row), {blocks})"))
             .withColumn("against", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
     right = (queries.select(*[F.col(c).alias(f"q_{c}") for c in ("row", "id", "code", "v")])
              .withColumn("against", F.expr(f"cast(pmod(xxhash64(q_row), {query_blocks}) as int)"))
              .withColumn("block", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)"))))
-    radius = codes.radius if codes else 0
     ids = to_arrow_type(base.schema["id"].dataType)
 
     def matrix(table, name, kind):
-        return np.array([np.frombuffer(x, dtype=kind) for x in table.column(name).to_pylist()])
+        return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind).reshape(table.num_rows, -1)
 
     def block(key, rows: pa.Table, asked: pa.Table) -> pa.Table:
         if not rows.num_rows or not asked.num_rows:
             return pa.table({"query_row": pa.array([], pa.int64()), "query_id": pa.array([], ids), "row": pa.array([], pa.int64()),
                              "vec_id": pa.array([], ids), "score": pa.array([], pa.float64())})
-        found = search_block(radius, k, rows.column("row").to_numpy(), rows.column("id").to_numpy(), matrix(rows, "code", np.uint8),
+        found = search_block(codes, k, rows.column("row").to_numpy(), rows.column("id").to_numpy(), matrix(rows, "code", np.uint8),
                                  matrix(rows, "v", np.float64), asked.column("q_row").to_numpy(), matrix(asked, "q_code", np.uint8),
                                  matrix(asked, "q_v", np.float64))
         a, b = pa.array([i for i, _, _ in found], pa.int64()), pa.array([j for _, j, _ in found], pa.int64())
