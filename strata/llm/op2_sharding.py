@@ -7,9 +7,11 @@ the sort key, and the sorted rows are cut into shards of equally many rows
 neighbours in every dimension, so a shard's file holds narrow ranges of all
 of them and a reader can skip files by any.
 
-Rows of one cell follow by crc32 of the text, id and row, so equal texts stand
-together; runs come from range partitioning on the whole key, so a frequent
-cell or text is spread over tasks. Null metadata has code 0; a null text has
+Equal texts stand together: where their rows have different cells, all take the
+smallest of them (their files hold a few more sources and languages for it), and
+rows of one cell follow by crc32 and hash of the text, id and row. So only a
+shard's border can part them. Runs come from range partitioning on the whole
+key, so a frequent cell or text is spread over tasks. Null metadata has code 0; a null text has
 size 8 and crc32 0; rows that share an id are separate rows; extra columns are
 ignored.
 """
@@ -25,6 +27,7 @@ from strata.llm.common import column_like, map_batches, numbered, ordered, read,
 
 BITS = 8
 SHARDS = 24
+SALT = 64       # a repeated text's rows meet its cell in as many parts
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -63,6 +66,19 @@ def with_code(rows: DataFrame, col: str, out: str) -> DataFrame:
     return rows.join(codes, F.col(col) == F.col("value"), "left").drop("value").fillna(0, [out])
 
 
+def common_cells(cells: DataFrame) -> DataFrame:
+    """``cells`` (stored rows with size, text_crc32, text_hash, d0, d1) with one
+    (d0, d1) for all rows of a text: their smallest. Only texts that stand in
+    several cells are joined, one row each; the join is salted by row, since one
+    text may hold a third of all rows."""
+    text = ["size", "text_crc32", "text_hash"]
+    torn = (cells.groupBy(*text).agg(F.min(F.struct("d0", "d1")).alias("least"), F.max(F.struct("d0", "d1")).alias("most"))
+            .where("least <> most").select(*text, "least", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")))
+    salted = cells.withColumn("salt", F.expr(f"cast(pmod(xxhash64(row), {SALT}) as int)"))
+    return (salted.join(torn, [*text, "salt"], "left").withColumns({d: F.coalesce(f"least.{d}", d) for d in ("d0", "d1")})
+            .drop("least", "salt"))
+
+
 def assign(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(row, doc_id, size, text_crc32, hilbert, shard, slot) of every row of
     ``docs`` (doc_id, text, source, lang)."""
@@ -73,10 +89,11 @@ def assign_rows(docs: DataFrame, shards: int) -> DataFrame:
     """``assign`` of rows (doc_id, text, source, lang, row) numbered by the caller."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", "source", "lang", (F.octet_length(text) + 8).cast("bigint").alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"), "row")
+                       F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"), "row")
     coded = with_code(with_code(rows, "source", "d0"), "lang", "d1").withColumn(
         "d2", F.least(F.floor(F.log2("size") * 8), F.lit((1 << BITS) - 1)).cast("int"))
-    keep = ["row", "doc_id", "size", "text_crc32"]
+    keep = ["row", "doc_id", "size", "text_crc32", "text_hash"]
+    coded = common_cells(stored(coded.select(*keep, "d0", "d1", "d2"), "shard-cells"))
 
     def make():
         def fn(batch):
@@ -86,13 +103,13 @@ def assign_rows(docs: DataFrame, shards: int) -> DataFrame:
         return fn
     kind = rows.schema["doc_id"].dataType.simpleString()
     placed = map_batches(coded.select(*keep, "d0", "d1", "d2"), make,
-                         f"row bigint, doc_id {kind}, size bigint, text_crc32 bigint, hilbert bigint")
-    by = ["hilbert", "text_crc32", "doc_id", "row"]
+                         f"row bigint, doc_id {kind}, size bigint, text_crc32 bigint, text_hash bigint, hilbert bigint")
+    by = ["hilbert", "text_crc32", "text_hash", "doc_id", "row"]
     runs = ordered(placed, by, "shard-rows")
     n = runs.count()
     first = F.ceil(F.col("shard").cast("decimal(20,0)") * n / shards).cast("bigint")
     return (numbered(runs, by).withColumn("shard", F.expr(f"cast((rank * {shards}) div {max(n, 1)} as int)"))
-            .withColumn("slot", F.col("rank") - first).drop("rank"))
+            .withColumn("slot", F.col("rank") - first).drop("rank", "text_hash"))
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
