@@ -43,7 +43,7 @@ from strata.llm.common import map_batches, read, stored
 BITS, WIDE = 512, 16         # bits of a code, and of a substring
 SAMPLE = 4096
 TRIALS = 256                # sample vectors that serve as queries to learn R
-COVER = 0.93
+COVER = 0.95
 RANGES = 8                  # ranges of distances that have a radius each
 BLOCK, BLOCK_BYTES = 65536, 32_000_000
 QUERY_BLOCK = 2048

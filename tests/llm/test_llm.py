@@ -173,6 +173,35 @@ def test_sharding(docs, nothing, tmp_path):
     assert docs.sparkSession.read.parquet(f"{tmp_path}/shards").count() == len(edge_rows())
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Copies of different source and language are parted at most by a border; files stay narrow."""
+    rng = random.Random(8)
+    texts = ["hot text"] * 300 + [None, ""] * 10 + [sentence(rng, n % 40 + 1) for n in range(80)] * 6 + [f"single {i}" for i in range(200)]
+    rng.shuffle(texts)
+    rows = [(i, t, rng.choice("abcdefgh"), rng.choice(["en", "de", None])) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(5)
+    got = op2_sharding.assign(df, 9).collect()
+    place = {r["doc_id"]: (r["shard"], r["slot"]) for r in got}
+    order = {p: i for i, p in enumerate(sorted(place.values()))}
+    at = {}
+    for i, t, *_ in rows:
+        at.setdefault(t or "", []).append(order[place[i]])
+    assert all(max(v) - min(v) + 1 == len(v) for v in at.values())           # each text in one piece of the order
+    parted = [t for t, v in at.items() if len({sorted(place.values())[i][0] for i in v}) > 1]
+    assert len(parted) <= 8 and len(got) == len(rows) == len(order)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test data")
+def test_shards_prune_files(spark):
+    """A shard's file holds a narrow range of every dimension: against a cut by id, readers of one value open fewer."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    meta = {r["doc_id"]: (r["source"], r["lang"], len((r["text"] or "").encode()) // 1000) for r in docs.collect()}
+    shard = {r["doc_id"]: r["shard"] for r in op2_sharding.assign(docs, 24).collect()}
+    opened = [[len({(m[d], s[i]) for i, m in meta.items()}) for s in (shard, {i: n * 24 // len(meta) for n, i in enumerate(sorted(meta))})]
+              for d in range(3)]
+    assert all(mine < plain for mine, plain in opened) and sum(m for m, _ in opened) < 0.7 * sum(p for _, p in opened)
+
+
 def test_licenses(docs, nothing):
     for r in op3_licenses.scan_licenses(docs).collect():
         text = next(x[1] for x in edge_rows() if x[0] == r["doc_id"])
@@ -308,7 +337,7 @@ def test_index_prunes_and_finds():
         probed = op5_mih.nearest(codes, tables, own[q], x[q], 10, x, np.arange(len(x)) == q)[0]
         share.append(len(probed) / len(x))
         found.append(np.isin(np.argsort(d)[:10], probed).mean())
-    assert np.mean(share) < 0.36 and np.mean(found) > 0.9
+    assert np.mean(share) < 0.4 and np.mean(found) > 0.9
 
 
 def test_fingerprints(spark, docs, nothing, tmp_path):
