@@ -7,9 +7,10 @@ rectified; the mean of the pooled features over all chunks goes through one
 logistic layer: P(label = 1).
 
 Training uses a bounded sample: at most ``SAMPLE`` labelled documents of the
-training fold (those with the smallest hash of the id), of each at most
-``SAMPLE_CHUNKS`` evenly spaced pieces of ``CHUNK`` characters. Scoring always
-reads whole texts. Inputs of a score are the text's bytes alone.
+training fold (those with the smallest hash of the id), each with its whole
+text, cut into the same chunks as for scoring; a share ``SHORT`` of them gives one
+short piece more, so that texts far below a chunk are known too. Inputs of a score
+are the text's bytes alone.
 
 Null and empty texts score as one chunk of zero bytes. With no labelled rows
 every score is 0.5; with one class only, the smoothed share of label 1.
@@ -30,11 +31,12 @@ from pyspark.sql import types as T
 from strata.llm.common import column_like, in_fold, map_batches, read
 
 CHUNK, STEP = 256, 192
-FILTERS, WIDTH = 8, 4
-SAMPLE, SAMPLE_CHUNKS = 3000, 8
+FILTERS, WIDTH = 16, 4
+SAMPLE = 3000
+SHORT = 0.25        # share of the sample that also gives one short piece
 ROUNDS, BATCH, RATE = 500, 48, 0.02
-THRESHOLD = 0.7
-REJECT = 0.5        # below this the pipeline drops a document
+BLOCK = 1024        # chunks in memory at a time while training
+THRESHOLD = 0.7     # predicted 1 from here on; the pipeline drops what lies below
 
 
 @dataclass
@@ -105,8 +107,37 @@ def score_texts(model: Model, texts: list[str], block: int = 768) -> np.ndarray:
     return model.probability(total / count[:, None])
 
 
-def train(documents: list[list[bytes]], labels: list[int], seed: int = 7) -> Model:
-    """Fit by Adam on mini-batches; ``documents`` are lists of chunks."""
+def short_pieces(documents: list[bytes], labels: list[int], seed: int = 7) -> tuple[list[bytes], list[int]]:
+    """One piece of 11 bytes to a chunk (evenly by logarithm) of a share SHORT of
+    the documents, with their labels."""
+    rng = np.random.default_rng(seed)
+    pieces, marks = [], []
+    for raw, label in zip(documents, labels):
+        if rng.random() < SHORT:
+            n = int(2 ** rng.uniform(3.5, np.log2(CHUNK)))
+            start = int(rng.integers(0, max(len(raw) - n, 0) + 1))
+            pieces.append(raw[start:start + n])
+            marks.append(label)
+    return pieces, marks
+
+
+def strongest(tables: np.ndarray, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(chunks, FILTERS): where each filter is strongest in a chunk, and how strong."""
+    t = tables.astype(np.float32)
+    first, second = ((t[i][:, None, :] + t[i + 1][None, :, :]).reshape(65536, FILTERS) for i in (0, 2))
+    at, top = [], []
+    for a in range(0, len(chunks), BLOCK):
+        b = chunks[a:a + BLOCK]
+        pair = b[:, :-1].astype(np.int32) * 256 + b[:, 1:]
+        act = np.take(first, pair[:, :-2], axis=0)
+        act += np.take(second, pair[:, 2:], axis=0)
+        at.append(act.argmax(axis=1))
+        top.append(np.take_along_axis(act, at[-1][:, None, :], axis=1)[:, 0, :])
+    return np.concatenate(at), np.concatenate(top)
+
+
+def train(documents: list[bytes], labels: list[int], seed: int = 7) -> Model:
+    """Fit by Adam on mini-batches of whole documents."""
     rng = np.random.default_rng(seed)
     share = (sum(labels) + 1) / (len(labels) + 2)
     model = Model(rng.normal(0, 0.3, (WIDTH, 256, FILTERS)), np.zeros(FILTERS), rng.normal(0, 0.1, FILTERS),
@@ -114,8 +145,9 @@ def train(documents: list[list[bytes]], labels: list[int], seed: int = 7) -> Mod
     if not labels or min(labels) == max(labels):
         model.weight[:] = 0
         return model
-    x = np.stack([np.frombuffer(c[:CHUNK].ljust(CHUNK, b"\0"), dtype=np.uint8) for d in documents for c in d])
-    first = np.cumsum([0] + [len(d) for d in documents])
+    parts = [chunks_of(raw, chunk_starts(len(raw))) for raw in documents]
+    first = np.cumsum([0] + [len(p) for p in parts])
+    x = np.concatenate(parts)
     y = np.asarray(labels, dtype=np.float64)
     params = [model.tables, model.bias, model.weight, np.array([model.offset])]
     m = [np.zeros_like(p) for p in params]
@@ -127,9 +159,8 @@ def train(documents: list[list[bytes]], labels: list[int], seed: int = 7) -> Mod
         n = np.bincount(who, minlength=len(pick))[:, None]
         b = x[rows]
         tables, bias, weight, offset = params
-        act = sum(tables[i].astype(np.float32)[b[:, i:CHUNK - WIDTH + 1 + i]] for i in range(WIDTH))
-        best = act.argmax(axis=1)                                  # (chunks, FILTERS)
-        top = np.take_along_axis(act, best[:, None, :], axis=1)[:, 0, :] + bias
+        best, top = strongest(tables, b)
+        top = top + bias
         feature = np.zeros((len(pick), FILTERS))
         np.add.at(feature, who, np.maximum(top, 0))
         feature /= n
@@ -150,20 +181,14 @@ def train(documents: list[list[bytes]], labels: list[int], seed: int = 7) -> Mod
 
 
 def training_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, quality, chunks): at most SAMPLE rows. ``labels`` holds
-    doc_id and quality of the training fold."""
+    """(doc_id, quality, text): at most SAMPLE rows. ``labels`` holds doc_id
+    and quality of the training fold; of an id with several texts the smallest
+    counts."""
     chosen = (labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE))
-    n = F.length("text")
-    spaced = F.when(n <= CHUNK, F.array("text")).otherwise(F.transform(
-        F.sequence(F.lit(0), F.least(F.lit(SAMPLE_CHUNKS), F.ceil(n / STEP).cast("int")) - 1),
-        lambda j: F.substring(F.col("text"), (F.floor(
-            j * (n - CHUNK) / F.greatest(F.least(F.lit(SAMPLE_CHUNKS), F.ceil(n / STEP).cast("int")) - 1, F.lit(1))) + 1
-        ).cast("int"), F.lit(CHUNK))))
-    pieces = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     # chosen has at most SAMPLE rows of two numbers
-    return (pieces.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", spaced.alias("chunks"))
-            .groupBy("doc_id", "quality").agg(F.min("chunks").alias("chunks")))
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -171,7 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     whose crc32 modulo 4 is 2 are never used."""
     fold = labels.select("doc_id", "quality").where(~in_fold("doc_id", 4, 2))
     rows = sorted(training_sample(docs, fold).collect(), key=lambda r: r["doc_id"])
-    return train([[c.encode() for c in r["chunks"]] for r in rows], [int(r["quality"]) for r in rows])
+    texts, marks = [r["text"].encode() for r in rows], [int(r["quality"]) for r in rows]
+    pieces, more = short_pieces(texts, marks)
+    return train(texts + pieces, marks + more)
 
 
 def with_score(docs: DataFrame, model: Model, score_col: str, text_col: str = "text") -> DataFrame:
@@ -187,7 +214,7 @@ def with_score(docs: DataFrame, model: Model, score_col: str, text_col: str = "t
     return map_batches(docs, make, T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())]))
 
 
-def keep_quality(docs: DataFrame, labels: DataFrame, least: float = REJECT) -> DataFrame:
+def keep_quality(docs: DataFrame, labels: DataFrame, least: float = THRESHOLD) -> DataFrame:
     """The rows whose score is at least ``least``; columns as they are."""
     score = column_like(docs.columns, "score")
     return with_score(docs, fit(docs, labels), score).where(F.col(score) >= least).select(*docs.columns)

@@ -286,6 +286,36 @@ def test_chunks_cover_whole_texts():
     assert np.allclose(op4_quality.score_texts(model, texts, block=5), op4_quality.score_texts(model, texts))
 
 
+def test_scores_by_naive_convolution():
+    rng = np.random.default_rng(1)
+    f = op4_quality.FILTERS
+    model = op4_quality.Model(rng.normal(size=(4, 256, f)).astype(np.float32), rng.normal(size=f).astype(np.float32), rng.normal(size=f), 0.3)
+    for text in ("", "a", "é" * 200, sentence(random.Random(1), 150)):
+        raw = text.encode()
+        pooled = []
+        for start in op4_quality.chunk_starts(len(raw)):
+            chunk = raw[start:start + 256].ljust(256, b"\0")
+            pooled.append([max(0.0, max(sum(float(model.tables[i][chunk[p + i]][k]) for i in range(4)) for p in range(253)) + float(model.bias[k]))
+                           for k in range(f)])
+        z = float(np.mean(pooled, axis=0) @ model.weight + model.offset)
+        assert math.isclose(op4_quality.score_texts(model, [text])[0], 1 / (1 + math.exp(-z)), rel_tol=1e-4)
+        at, top = op4_quality.strongest(model.tables, op4_quality.chunks_of(raw, op4_quality.chunk_starts(len(raw))))
+        assert np.allclose(np.maximum(top + model.bias, 0), pooled, atol=1e-4)
+
+
+def test_training_reads_whole_texts(spark, monkeypatch):
+    """What tells the classes apart stands far behind in long texts, after multi-byte characters."""
+    rng = random.Random(3)
+    rows = [(i, sentence(rng, 900) + " é日本" * 20 + (" qz~" * 60 if i % 2 else "") + sentence(rng, 30)) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    fold = labels.where("doc_id is not null")
+    assert {r["doc_id"]: r["text"] for r in op4_quality.training_sample(docs, fold).collect()} == dict(rows)
+    got = {r["doc_id"]: r["s"] for r in op4_quality.with_score(docs, op4_quality.fit(docs, labels), "s").collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean([(got[i] >= 0.5) == bool(i % 2) for i in held]) > 0.9
+
+
 def test_within_radius_by_brute_force():
     rng = np.random.default_rng(4)
     codes = rng.integers(0, 256, (500, 4), dtype=np.uint8)

@@ -41,4 +41,6 @@ def test_pipeline(spark):
     own = op10_bpe.codec(path)
     assert sorted(r["doc_id"] for r in out) == sorted(r["doc_id"] for r in seen["mixing"].collect())
     assert all(r["n_tokens"] == len(own.encode(clean[r["doc_id"]])) for r in out)
-    assert op4_quality.REJECT <= op4_quality.THRESHOLD
+    model = op4_quality.fit(read(spark, SF, "documents"), read(spark, SF, "labels"))
+    scores = op4_quality.with_score(read(spark, SF, "documents"), model, "own_score").collect()
+    assert sorted(kept) == sorted(r["doc_id"] for r in scores if r["own_score"] >= 0.7)
