@@ -24,6 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from strata import oracle as O  # noqa: E402
 from strata.operators import access  # noqa: E402
 from strata.operators import retrieval as R  # noqa: E402
+from strata.operators.window import positions  # noqa: E402
 from strata.plans import content as content_plan  # noqa: E402
 from strata.plans import gold_queries as GQ  # noqa: E402
 from strata.plans import orders as orders_plan  # noqa: E402
@@ -239,6 +240,35 @@ def q_etl_content(spark, sf_dir):
     return spark.createDataFrame(rows, "table_name string, step string, n long")
 
 
+def q_secured_stored(spark, sf_dir):
+    """Secured documents as a stored gold table: bodies from Parquet, groups from
+    its CSV twin, where they are comma-joined text."""
+    lake, flat, _ = _landed_wiki(spark, sf_dir)
+    groups = TD.space_groups(content_plan.clean_spaces(flat["wiki_spaces"]))
+    gold = pipeline.run_content_etl(lake, flat["wiki_spaces"], flat["wiki_pages"], flat["wiki_comments"], space_groups=groups)
+    table = "wiki_secured_documents"
+    twin = lake.read_csv("gold", table).select("id", access.text_to_groups("allowed_groups").alias("allowed_groups"))
+    return (gold[table].drop("allowed_groups", "_aggregated_at").join(twin, "id")
+            .withColumn("n_groups", F.size("allowed_groups").cast("long"))
+            .withColumn("allowed_groups", access.groups_to_text("allowed_groups")))
+
+
+def q_gold_positions(spark, sf_dir):
+    """H1, H2: the place of every row in the order of its gold table."""
+    orders = materialize(_silver_orders(spark, sf_dir), "silver_orders")
+    pages = materialize(_silver_pages(spark, sf_dir), "silver_pages")
+    comments = materialize(_silver_comments(spark, sf_dir), "silver_comments")
+    gold = orders_plan.build_gold(orders, unique_orders=True) | content_plan.build_gold(pages, comments)
+    keys = {"revenue_by_country": "shipping_country", "revenue_by_category": "category", "daily_revenue": "order_day",
+            "top_customers": "customer_id", "wiki_content_by_space": "space_key", "wiki_author_activity": "author",
+            "wiki_most_discussed": "page_id", "wiki_content_timeline": "day"}
+    out = None
+    for name, df in gold.items():
+        part = positions(df.select(F.lit(name).alias("table_name"), F.col(keys[name]).cast("string").alias("key")))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def q_absent_inputs(spark, sf_dir):
     """Without pages only the timeline is built, from comments alone."""
     gold = content_plan.build_gold(None, _silver_comments(spark, sf_dir))
@@ -665,6 +695,27 @@ ORACLE.update({
                0::bigint as cumulative_pages from c"""),
 })
 
+# The order of every gold table, written out (H1, H2).
+_CONTENT_GOLD = {
+    "wiki_content_by_space": ("space_key", "page_count desc, space_key", ORACLE["content_by_space"]),
+    "wiki_author_activity": ("author", "total_contributions desc, author", ORACLE["author_activity"]),
+    "wiki_most_discussed": ("page_id", "comment_count desc, page_id", ORACLE["most_discussed"]),
+    "wiki_content_timeline": ('"day"', '"day"', ORACLE["content_timeline"]),
+}
+_ORDERS_GOLD = {
+    "revenue_by_country": ("shipping_country", "total_revenue desc, shipping_country", ORACLE["revenue_by_country"]),
+    "revenue_by_category": ("category", "total_revenue desc, category", ORACLE["revenue_by_category"]),
+    "daily_revenue": ("order_day", "order_day", ORACLE["daily_revenue"]),
+    "top_customers": ("customer_id", "total_spend desc, customer_id", ORACLE["top_customers"]),
+}
+ORACLE.update({
+    "secured_stored": ORACLE["secured_documents"].replace(
+        " as allowed_groups from secured", " as allowed_groups, len(allowed_groups) as n_groups from secured"),
+    "gold_positions": "\nunion all\n".join(
+        f"select '{t}' as table_name, cast({key} as varchar) as key, row_number() over (order by {order}) as position "
+        f"from ({body}) g" for t, (key, order, body) in (_ORDERS_GOLD | _CONTENT_GOLD).items()),
+})
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_orders": q_silver_orders,
     "revenue_by_country": q_revenue_by_country,
@@ -710,6 +761,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine": q_quarantine,
     "etl_content": q_etl_content,
     "absent_inputs": q_absent_inputs,
+    "secured_stored": q_secured_stored,
+    "gold_positions": q_gold_positions,
 }
 
 

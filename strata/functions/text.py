@@ -32,6 +32,9 @@ UNCASED_CLASS = r"[^\p{Lu}\p{Ll}\p{Lt}]"
 # Named character references: the HTML 4 set from the standard library
 # (``html.entities.name2codepoint``) plus ``apos``.
 ENTITY_CODEPOINTS = dict(html.entities.name2codepoint, apos=39)
+# Numeric references 128-159 mean the characters of Windows-1252 at these places
+# (five of them have none and stay control characters).
+CP1252_CHARS = {n: ch for n in range(128, 160) if (ch := bytes([n]).decode("cp1252", "ignore"))}
 # -------------------------------------------------------------------------
 
 STRIP_RE = r"\A" + WS_CLASS + r"+|" + WS_CLASS + r"+\z"
@@ -106,37 +109,40 @@ def text_length(c) -> Column:
     return F.coalesce(F.length(as_col(c)).cast("long"), F.lit(0).cast("long"))
 
 
-def _entity_map() -> Column:
-    pairs = []
-    for name, cp in sorted(ENTITY_CODEPOINTS.items()):
-        pairs += [F.lit(name), F.lit(chr(cp))]
-    return F.create_map(*pairs)
+def _literal_map(entries) -> Column:
+    return F.create_map(*[F.lit(x) for pair in entries for x in pair])
 
 
 def _codepoint_char(n: Column) -> Column:
-    """Character of a code point; invalid ones (0, surrogates, > U+10FFFF) -> U+FFFD."""
+    """Character of a code point; 128-159 as in Windows-1252; invalid ones (0,
+    surrogates, > U+10FFFF) -> U+FFFD."""
     valid = (n > 0) & (n <= 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
     ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-    return F.when(valid, ch).otherwise(F.lit("�"))
+    western = F.when(n.between(128, 159), F.try_element_at(_literal_map(CP1252_CHARS.items()), n))
+    return F.when(valid, F.coalesce(western, ch)).otherwise(F.lit("�"))
 
 
 def unescape(c) -> Column:
     """Decode character references in one pass (no double decoding).
 
     The text is split at ``&``; each piece after the first starts with a
-    reference (``name;``, ``#123;``, ``#x1F;``) or is a literal ``&``.
+    reference (``name``, ``#123``, ``#x1F``) or is a literal ``&``. The ``;``
+    after a reference may be missing: then a name ends before the first
+    character that is no letter, digit, ``-`` or ``.``, and a number before the
+    first that is no hexadecimal digit (``&copy 2020`` -> ``© 2020``; ``&copy2020``
+    stays as it is).
     """
-    entities = _entity_map()
+    entities = _literal_map((name, chr(cp)) for name, cp in sorted(ENTITY_CODEPOINTS.items()))
 
     def piece(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-        dec = F.regexp_extract(p, r"^#0*([0-9]{1,7});", 1)
-        hexa = F.regexp_extract(p, r"^#[xX]0*([0-9A-Fa-f]{1,6});", 1)
-        rest = F.substring(p, F.instr(p, ";") + 1, 1 << 30)
+        name = F.regexp_extract(p, r"^([A-Za-z][A-Za-z0-9]*)(?:[^A-Za-z0-9.-]|\z)", 1)
+        dec = F.regexp_extract(p, r"^#0*([0-9]{1,7})(?:[^0-9A-Fa-f]|\z)", 1)
+        hexa = F.regexp_extract(p, r"^#[xX]0*([0-9A-Fa-f]{1,6})(?:[^0-9A-Fa-f]|\z)", 1)
+        rest = F.regexp_replace(p, r"\A#[xX]?[0-9A-Fa-f]+;?", "")
         named = F.try_element_at(entities, name)
         return (
             F.when(i == 0, p)
-            .when(named.isNotNull(), F.concat(named, F.substring(p, F.length(name) + 2, 1 << 30)))
+            .when(named.isNotNull(), F.concat(named, F.regexp_replace(p, r"\A[A-Za-z0-9]+;?", "")))
             .when(dec != "", F.concat(_codepoint_char(dec.cast("int")), rest))
             .when(hexa != "", F.concat(_codepoint_char(F.conv(hexa, 16, 10).cast("int")), rest))
             .otherwise(F.concat(F.lit("&"), p))

@@ -40,20 +40,30 @@ def _entity_map() -> str:
 
 
 def _codepoint(n: str) -> str:
-    return (f"CASE WHEN {n} > 0 AND {n} <= 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) "
+    western = ", ".join(f"{k}: {q(v)}" for k, v in T.CP1252_CHARS.items())
+    return (f"CASE WHEN {n} BETWEEN 128 AND 159 THEN coalesce(map_extract_value(MAP {{{western}}}, {n}), chr({n})) "
+            f"WHEN {n} > 0 AND {n} <= 1114111 AND NOT ({n} BETWEEN 55296 AND 57343) "
             f"THEN chr({n}) ELSE chr(65533) END")
 
 
 def unescape(x: str) -> str:
-    name = "regexp_extract(p, '^([A-Za-z][A-Za-z0-9]*);', 1)"
-    dec = "regexp_extract(p, '^#([0-9]{1,7});', 1)"
-    hexa = "regexp_extract(p, '^#[xX]([0-9A-Fa-f]{1,6});', 1)"
+    # the run of characters a reference may consist of, judged as a whole
+    name = "regexp_extract(p, '^[A-Za-z0-9.-]*')"
+    number = "regexp_extract(p, '^#([0-9A-Fa-f]+)', 1)"
+    hexa = "ltrim(regexp_extract(p, '^#[xX]([0-9A-Fa-f]+)', 1), '0')"
+    dec = f"ltrim({number}, '0')"
     named = f"map_extract_value({_entity_map()}, {name})"
+
+    dec_n, hexa_n = f"coalesce(try_cast({dec} AS INTEGER), 0)", f"coalesce(try_cast('0x' || {hexa} AS INTEGER), 0)"
+
+    def after(pattern: str) -> str:
+        return f"regexp_replace(p, '^{pattern};?', '')"
     piece = (f"CASE WHEN i = 1 THEN p "
-             f"WHEN {named} IS NOT NULL THEN {named} || substr(p, length({name}) + 2) "
-             f"WHEN {dec} <> '' THEN {_codepoint(f'CAST({dec} AS INTEGER)')} || substr(p, length({dec}) + 3) "
-             f"WHEN {hexa} <> '' THEN {_codepoint(f'CAST(' + chr(39) + '0x' + chr(39) + f' || {hexa} AS INTEGER)')}"
-             f" || substr(p, length({hexa}) + 4) "
+             f"WHEN {named} IS NOT NULL THEN {named} || {after('[A-Za-z0-9]+')} "
+             f"WHEN {number} <> '' AND regexp_full_match({dec}, '[0-9]{{0,7}}') "
+             f"THEN {_codepoint(dec_n)} || {after('#[0-9]+')} "
+             f"WHEN regexp_matches(p, '^#[xX][0-9A-Fa-f]') AND length({hexa}) <= 6 "
+             f"THEN {_codepoint(hexa_n)} || {after('#[xX][0-9A-Fa-f]+')} "
              f"ELSE '&' || p END")
     return (f"CASE WHEN strpos({x}, '&') = 0 THEN {x} ELSE "
             f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {piece}), '') END")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators import access
 from strata.plans import content as content_plan
 from strata.plans import orders as orders_plan
 from strata.plans.metrics import StepMetrics
@@ -47,12 +48,15 @@ def _orders_etl(lake: Lake, source_csv: str, top_n: int, ingested_at: str | None
 
 def run_content_etl(lake: Lake, spaces: DataFrame | None, pages: DataFrame | None,
                     comments: DataFrame | None, ingested_at: str | None = None,
-                    step_counts: dict | None = None) -> dict[str, DataFrame]:
+                    step_counts: dict | None = None, space_groups: DataFrame | None = None) -> dict[str, DataFrame]:
     """L2: flattened API tables -> bronze -> silver (Parquet + CSV) -> gold
     (Parquet + CSV). Empty or absent inputs are skipped at every layer.
 
     ``step_counts`` (L3), when given, is filled per landed table with rows in,
-    rows out of silver and duplicates removed, counted by the write jobs."""
+    rows out of silver and duplicates removed, counted by the write jobs.
+    ``space_groups`` (space_key, allowed_groups), when given, adds the gold table
+    ``wiki_secured_documents``: the pages with the groups that may see them (as
+    comma-joined text in the CSV twin)."""
     landed = ingest.ingest_all(lake, {"wiki_spaces": spaces, "wiki_pages": pages,
                                       "wiki_comments": comments}, ingested_at=ingested_at)
     cleaners = {"wiki_spaces": content_plan.clean_spaces,
@@ -74,6 +78,8 @@ def run_content_etl(lake: Lake, spaces: DataFrame | None, pages: DataFrame | Non
             step_counts[name] = {"rows_in": rows_in, "rows_out": rows_out, "duplicates_removed": rows_in - rows_out}
     gold = content_plan.build_gold(silver.get("wiki_pages"), silver.get("wiki_comments"),
                                    spark=lake.spark)
+    if space_groups is not None and "wiki_pages" in silver:
+        gold["wiki_secured_documents"] = access.secured_documents(silver["wiki_pages"], space_groups)
     result = {}
     for name, df in gold.items():
         lake.write_parquet(df.withColumn("_aggregated_at", _stamp(ingested_at)), "gold", name)

@@ -97,6 +97,11 @@ class Lake:
         """A7."""
         return self.spark.read.parquet(self.current(layer, table))
 
+    def read_csv(self, layer: str, table: str) -> DataFrame:
+        """The CSV twin, every column as text (texts may hold line breaks)."""
+        return (self.spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+                .csv(self.path(layer, table, "csv")))
+
     def read_or_empty(self, layer: str, table: str, schema: str | T.StructType) -> DataFrame:
         """A missing table reads as an empty frame with the declared schema."""
         if self.exists(layer, table):

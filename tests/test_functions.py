@@ -152,3 +152,60 @@ def test_html_corner_cases(spark):
              "<p class='a>b'>q</p> 1 < 2": "q 1 < 2", '<a title="x>z': "z", "<style>p{}": ""}
     df = spark.createDataFrame(list(cases.items()), "h string, want string")
     assert [tuple(r) for r in df.select("want", T.html_to_text("h")).collect() if r[0] != r[1]] == []
+
+
+class _References(HTMLParser):
+    """Character references as the parser's own patterns find them."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=False)
+        self.out = ""
+
+    def handle_data(self, data):
+        self.out += data
+
+    def handle_charref(self, name):
+        n = int(name[1:], 16) if name[0] in "xX" else int(name)
+        self.out += html.unescape(f"&#{n};")
+
+    def handle_entityref(self, name):
+        known = T.ENTITY_CODEPOINTS.get(name)
+        self.out += "&" + name if known is None else chr(known)
+
+
+def test_references_without_semicolon(spark):
+    docs = ["&copy 2020 &amp x", "&copy2020 y", "a &lt b &gt c", "&#65 &#65a &#x41 &#x41g &#128; &#x99; &#150 &#129;",
+            "&eacute, &eacute.txt &amp-x &ndash-", "&alpha<b>x</b>&beta!</p>", "&copy&reg&amp;lt;", "&#0; &#55296; &#1114112;",
+            "x &bogus y &nosuch, z", "&#00000000169 t &#xA9\n"]
+    want = []
+    for doc in docs:
+        p = _References()
+        p.feed(doc.replace("<b>", "").replace("</b>", "").replace("</p>", "") + " .")
+        p.close()
+        want.append(p.out)
+    assert col_values(spark, [d.replace("<b>", "").replace("</b>", "").replace("</p>", "") + " ." for d in docs], T.unescape) == want
+    assert col_values(spark, ["<p>&alpha<b>x</b>&beta</p>"], T.html_to_text) == ["α x β"]
+
+
+def test_references_equal_their_oracle(spark):
+    import duckdb
+
+    from strata import oracle as O
+    docs = ["&copy 2020 &amp x", "&copy2020", "&#65 &#65a &#x41 &#x41g &#128; &#x99; &#129;", "&eacute.txt &amp-x", "&copy&reg&amp;lt;",
+            "&#0; &#x0; &#12345678; &#x1234567; &#; &#x; &; &", "&#00000000169 &#x000000A9;", "no reference"]
+    got = col_values(spark, docs, T.unescape)
+    assert got == [duckdb.execute(f"select {O.unescape('x')} from (select ?::varchar as x) t", [d]).fetchone()[0] for d in docs]
+
+
+def test_positions_follow_the_order_over_many_partitions(spark):
+    from strata.operators.window import positions
+    spark_conf = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"), (F.col("id") % 3).alias("t")).repartition(7)
+        got = {r["k"]: r["position"] for r in positions(df.orderBy(F.col("t").desc(), "k")).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", spark_conf)
+    want = sorted(((i % 3, i * 7919 % 5003) for i in range(5000)), key=lambda x: (-x[0], x[1]))
+    assert got == {k: n for n, (_, k) in enumerate(want, 1)}
+    assert positions(df.where("false").orderBy("k")).count() == 0
