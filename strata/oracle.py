@@ -1,8 +1,9 @@
 """DuckDB SQL forms of the library's column rules, for the value-equality
 checks of every registered query (``__spark_entry__.oracle_sql``).
 
-The regular expressions are the same strings the Spark functions use
-(``strata.functions.text``); only the surrounding syntax differs.
+The rules are written anew here, so that an error in a pattern of the library
+shows; only the tables of fixed values (names of characters, Windows-1252) are
+shared with ``strata.functions.text``.
 """
 
 from __future__ import annotations
@@ -15,23 +16,30 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# Python's white space, as characters (``str.isspace``), and any run between two of them.
+SPACES = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(T.STRIP_RE)}, '', 'g')"
+    return f"trim({x}, {q(SPACES)})"
 
 
 def title(x: str) -> str:
-    run = (f"CASE WHEN regexp_matches(r, {q('^' + T.CASED_CLASS)}) "
-           f"THEN upper(substr(r, 1, 1)) || substr(r, 2) ELSE r END")
-    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_transform("
-            f"regexp_extract_all(lower({x}), {q(T.CASE_RUN_RE)}), lambda r: {run}), '') END")
+    # every letter whose left neighbour has no case begins a word
+    cased = "(upper({0}) <> lower({0}) or regexp_matches({0}, '[\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]'))"
+    here, left = "substr(t, k, 1)", "substr(t, k - 1, 1)"
+    start = f"(k = 1 or not {cased.format(left)})"
+    chars = f"list_transform(range(1, length(t) + 1), lambda k: CASE WHEN {start} THEN upper({here}) ELSE {here} END)"
+    return f"list_transform([lower({x})], lambda t: array_to_string({chars}, ''))[1]"
 
 
-def word_count(x: str) -> str:
-    return f"coalesce(len(regexp_extract_all({x}, {q(T.WORD_RE)}))::BIGINT, 0)"
+def words(x: str) -> str:
+    blanks = " " * len(SPACES)
+    return f"coalesce(list_filter(string_split(translate({x}, {q(SPACES)}, {q(blanks)}), ' '), lambda w: w <> ''), [])"
 
 
-def words(x: str) -> str:
-    return f"coalesce(regexp_extract_all({x}, {q(T.WORD_RE)}), [])"
+def word_count(x: str) -> str:
+    return f"len({words(x)})::BIGINT"
 
 
 def _entity_map() -> str:
@@ -69,14 +77,15 @@ def unescape(x: str) -> str:
             f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {piece}), '') END")
 
 
+# Whatever is no text: comments, script and style elements, tags, declarations.
+# The given tables hold no CDATA section and no element that never ends.
+MARKUP = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+          r"|</?[a-z](?:\x22[^\x22]*\x22|'[^']*'|[^'\x22>])*>|<[!?][^>]*>")
+
+
 def html_to_text(x: str) -> str:
-    src = f"regexp_replace(coalesce({x}, ''), {q(T.LONE_LT_RE)}, chr(2) || '\\1', 'g')"
-    tokens = f"regexp_extract_all({src}, {q(T.HTML_TOKEN_RE)})"
-    node = (f"CASE WHEN upper(substr(t, 1, 9)) = '<![CDATA[' "
-            f"THEN replace(substr(t, 10, length(t) - 12), chr(2), '<') "
-            f"WHEN starts_with(t, '<') THEN '' "
-            f"ELSE {unescape('replace(t, chr(2), ' + q('<') + ')')} END")
-    return (f"array_to_string(list_filter(list_transform({tokens}, lambda t: {strip(node)}), "
+    parts = f"string_split(regexp_replace(coalesce({x}, ''), {q(MARKUP)}, chr(1), 'g'), chr(1))"
+    return (f"array_to_string(list_filter(list_transform({parts}, lambda t: {strip(unescape('t'))}), "
             f"lambda s: s <> ''), ' ')")
 
 
@@ -190,8 +199,7 @@ def content_sql(body: str) -> str:
 # ---------------------------------------------------------------- retrieval
 
 def _tokens(x: str) -> str:
-    from strata.operators.retrieval import TOKEN_RE
-    return f"regexp_extract_all(lower({x}), {q(TOKEN_RE)})"
+    return rf"regexp_extract_all(lower({x}), '[\p{{L}}\p{{N}}]+')"
 
 
 def _rank_round(x: str) -> str:
