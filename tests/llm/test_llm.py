@@ -220,6 +220,26 @@ def test_licenses(docs, nothing):
     assert scanner.scan("free software the rights of a person to use it")[2] == []
 
 
+def test_licenses_query(spark, scratch):
+    """The query's base columns against a plain search for the contract's phrases."""
+    phrases = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+    texts = [None, "", "the MIT license", "x Under the MIT License; under the mit-license. cc by nc by nc", "under the mit licenses",
+             "The MIT License, under the mit license, Apache License Version 2.0", "cc by nc cc by nc\x7fcc{by}nc\u00a0cc by nc"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[5]), (3, texts[3])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{scratch}/documents.parquet")
+    want = []
+    for i, text in rows:
+        plain = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        places = [(k, label) for p, label in phrases.items() for k in range(len(plain)) if plain[k:k + len(p.split())] == p.split()]
+        starts = [k for k, _ in places]
+        want.append((i, len(plain), len(places), min(starts, default=None), max(starts, default=None),
+                     ",".join(sorted({label for _, label in places}))))
+    got = op3_licenses.op3_licenses(spark, scratch).collect()
+    assert sorted(map(str, (tuple(r)[:6] for r in got))) == sorted(map(str, want))
+    assert all(set(filter(None, r["base_labels"].split(","))) <= set(r["labels"].split(",")) for r in got)
+    assert next(r for r in got if r["doc_id"] == 2)["labels"] == "mit"        # by the method, without a base place
+
+
 def test_short_templates_inside_longer_matches():
     """Every template that stands whole in a text is covered, whatever word comes before or after it."""
     scanner = op3_licenses.Scanner()
