@@ -512,6 +512,24 @@ def test_language_model(spark, docs, nothing, monkeypatch, head):
     assert op8_hmm.fit(nothing.select("doc_id", "text"), op8_hmm.count_words(nothing)).n == 0
 
 
+def test_every_round_reads_all_texts(spark):
+    """The model against the same rounds done by hand over every text, of more texts than a sample would take."""
+    rng = random.Random(15)
+    texts = [sentence(rng, rng.randrange(1, 9)) for _ in range(3600)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    counts = op8_hmm.count_words(docs).cache()
+    got, own = op8_hmm.fit(docs, counts), op8_hmm.start_model(counts)
+    sequences = [own.look_up(op8_hmm.tokens(t))[0] for t in texts]
+    for _ in range(8):
+        e, a, b = np.zeros_like(own.emit), np.zeros(op8_hmm.STATES), np.zeros((op8_hmm.STATES, op8_hmm.STATES))
+        op8_hmm.expected(own, sequences, e, a, b)
+        emit, start, follow = e + op8_hmm.PRIOR * own.unigram[:, None], a + 1, b * own.follow + 1
+        own = op8_hmm.Model(**{**own.__dict__, "emit": emit / emit.sum(axis=0), "start": start / start.sum(),
+                               "follow": follow / follow.sum(axis=1, keepdims=True)})
+    assert np.allclose(got.follow, own.follow, rtol=1e-3) and np.allclose(got.start, own.start, rtol=1e-3)
+    assert np.allclose(got.emit, own.emit, rtol=1e-3, atol=1e-9)
+
+
 def test_forward_by_enumeration():
     rng = np.random.default_rng(8)
     k, m = op8_hmm.STATES, 5
