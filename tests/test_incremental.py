@@ -108,3 +108,32 @@ def test_top_customers_reads_silver_once(spark):
     assert one[0].order_count == other[0].order_count == 60
     plan = P.top_customers(silver, 3, unique_orders=True)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 1 and "Join" not in plan
+
+
+def test_no_task_holds_a_whole_bucket(spark, scratch):
+    """A bucket's last copies come from several tasks, null keys stay one group, and a second batch replaces."""
+    lake = Lake(spark, f"{scratch}/spread")
+    rows = [(f"k{i % 600}" if i % 50 else None, i) for i in range(2000)]
+    put = lambda part: I.merge_changes(
+        lake, "things", spark.createDataFrame(part, "k string, at long"), ["k"], ["at"], lambda df: df, 2)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        put(rows[:1500]), put(rows[1500:])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    last = {}
+    for k, at in rows:
+        last[k] = max(at, last.get(k, -1))
+    assert sorted(map(str, last.items())) == sorted(str((r["k"], r["at"])) for r in I.read_silver(lake, "things", 2).collect())
+    written = [f for f in files(lake, "bronze", "things__latest") if "bucket_of_2=0/" in f]
+    assert len(written) > 1 and not os.listdir(f"{lake.root}/_staged")
+
+
+def test_moved_files_never_replace_others(spark, scratch):
+    """The drops of one write share file names; both arrive."""
+    lake = Lake(spark, f"{scratch}/moved")
+    spark.range(100).selectExpr("id", "id % 2 as d").coalesce(1).write.partitionBy("d").parquet(f"{scratch}/drops")
+    for k in (0, 1):
+        lake.move_files(f"{scratch}/drops/d={k}", f"{scratch}/landing", prefix=f"drop-{k}-")
+    assert spark.read.parquet(f"{scratch}/landing").count() == 100
