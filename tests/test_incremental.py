@@ -137,3 +137,38 @@ def test_moved_files_never_replace_others(spark, scratch):
     for k in (0, 1):
         lake.move_files(f"{scratch}/drops/d={k}", f"{scratch}/landing", prefix=f"drop-{k}-")
     assert spark.read.parquet(f"{scratch}/landing").count() == 100
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (found.apply(i).getName() for i in range(found.size())) if n.startswith("shuffle_")}
+
+
+def test_a_merge_leaves_no_shuffle_files(spark, scratch):
+    """The shuffle files of a merge go with the write that used them; before, they stayed until the driver's garbage collection."""
+    lake, before = Lake(spark, f"{scratch}/lean"), shuffle_files(spark)
+    merge(lake, raw(spark, [(f"O{i}", i, "completed", 1) for i in range(300)]))
+    merge(lake, raw(spark, [(f"O{i}", i + 1, "completed", 2) for i in range(100, 400)]))
+    assert I.read_silver(lake, "orders", BUCKETS).count() == 400
+    own = {n for n in shuffle_files(spark) - before if n.endswith(".data")}
+    assert len(own) <= 8, own                                        # of the count above, not of the merges
+
+
+@pytest.mark.parametrize("scans", [2, 100])
+def test_buckets_merged_in_rounds_are_those_of_one(spark, scratch, monkeypatch, scans):
+    """Rounds of one bucket each, read from the batch or dealt first; stored rows, nulls and gold as in one round."""
+    lake = Lake(spark, f"{scratch}/rounds")
+    rows = [(f"O{i % 90}" if i % 40 else None, i, "cancelled" if i % 7 == 0 else "completed", i) for i in range(400)]
+    met = []
+    monkeypatch.setattr(I, "ROUND_BYTES", 1)
+    monkeypatch.setattr(I, "SCAN_ROUNDS", scans)
+    monkeypatch.setattr(I, "_merge_buckets", lambda *a, f=I._merge_buckets: (met.append(a[7]), f(*a))[1])
+    for n, part in enumerate((rows[:250], rows[250:])):
+        raw(spark, part).write.parquet(f"{scratch}/batch {n}")                                 # a name that Spark encodes
+        assert merge(lake, spark.read.parquet(f"{scratch}/batch {n}")) == list(range(BUCKETS))
+    assert met == [[b] for b in range(BUCKETS)] * 2 and not os.listdir(f"{lake.root}/_staged")
+    want = P.clean_orders(raw(spark, rows), order_by=["_seq"])
+    assert sorted(map(str, I.read_silver(lake, "orders", BUCKETS).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    fresh = {n: df.collect() for n, df in P.build_gold(want).items()}
+    for name, got in gold_rows(spark, lake).items():
+        assert list(map(str, got)) == list(map(str, fresh[name])), name
