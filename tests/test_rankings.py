@@ -84,3 +84,24 @@ def test_no_whole_list_is_sorted(spark):
 def test_a_bucket_gives_only_its_head(texts):
     ranking = R.bm25_ranking(*texts)
     assert ranking._met(None, 3).count() <= 3 * ranking.buckets * 4 < R.bm25_scores(*texts).count()
+
+
+def test_buckets_follow_the_queries_not_their_files(spark, scratch, monkeypatch):
+    """Queries picked from the vectors by a join: the buckets grow with the vectors, not with their square."""
+    monkeypatch.setattr(R, "BUCKET_BYTES", 8192)
+    monkeypatch.setattr(R, "BUCKET_QUERY_BYTES", 2048)
+    rng = random.Random(8)
+    rows = [(i, [rng.random() for _ in range(64)]) for i in range(400)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).write.parquet(f"{scratch}/vectors")
+    stored = spark.read.parquet(f"{scratch}/vectors")
+    size = R._bytes_of(stored)
+    asked = (stored.join(spark.range(4).withColumnRenamed("id", "vec_id"), "vec_id", "left_semi")
+             .select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector")))
+    ranking = R.vector_ranking(stored, asked)
+    assert size > 64 * 1024 and ranking.buckets == max(8, -(-size * 2 // 8192))          # 4 queries: 2080 bytes, 2 shares
+    whole = R.vector_top_k(stored, asked, k=9)
+    assert rows_of(ranking.heads(9)) == rows_of(whole.withColumnRenamed("vec_id", "item"))
+
+
+def rows_of(df):
+    return rows(df, "query_id", "item", "rank")
