@@ -103,5 +103,21 @@ def test_buckets_follow_the_queries_not_their_files(spark, scratch, monkeypatch)
     assert rows_of(ranking.heads(9)) == rows_of(whole.withColumnRenamed("vec_id", "item"))
 
 
+def test_a_document_is_one_row_of_its_places(spark, scratch, texts):
+    """Places are dealt as a row of terms per document, formerly a row each; copies and null ids keep theirs."""
+    docs = texts[0].unionByName(texts[0].limit(3).withColumn("doc_id", F.lit(None).cast("long")))
+    docs.write.parquet(f"{scratch}/docs")
+    texts[1].write.parquet(f"{scratch}/asked")
+    texts = docs, asked = spark.read.parquet(f"{scratch}/docs"), spark.read.parquet(f"{scratch}/asked")
+    left = R.bm25_ranking(docs, asked).left
+    assert left.count() < docs.count() < left.agg(F.sum(F.size("terms"))).first()[0]
+    assert rows_of(R.bm25_top_k(docs, texts[1], k=5).withColumnRenamed("doc_id", "item")) == rows_of(
+        R.bm25_ranking(docs, texts[1]).heads(5))
+    weights, qterms = R.bm25_weights(docs, texts[1])                     # an exact sum by joins, row by row
+    sums = weights.join(qterms, "term").groupBy("query_id", "doc_id").agg(F.round(F.sum("w"), 6).alias("s")).filter("doc_id is not null")
+    got = R.bm25_scores(docs, texts[1]).withColumn("s", F.round("s", 6)).filter("doc_id is not null")
+    assert rows(sums, "query_id", "doc_id", "s") == rows(got, "query_id", "doc_id", "s")
+
+
 def rows_of(df):
     return rows(df, "query_id", "item", "rank")
